@@ -153,14 +153,13 @@ def nearest_dropoff_grid(batched: DataFrame, cell_m: float | None = None) -> Dat
         F.floor(F.col("dn") / F.col("cell")).alias("cy"),
     )
     offsets = F.array(*[F.lit(v) for v in (-1, 0, 1)])
-    p = z.select(
-        "batch_id",
-        F.col("rn").alias("src_rn"),
-        "pe",
-        "pn",
-        "cell",
-        (F.floor(F.col("pe") / F.col("cell")) + F.explode(offsets)).alias("cx"),
-    ).select("*", (F.floor(F.col("pn") / F.col("cell")) + F.explode(offsets)).alias("cy"))
+    p = (
+        z.select("batch_id", F.col("rn").alias("src_rn"), "pe", "pn", "cell", F.explode(offsets).alias("ox"))
+        .select("*", F.explode(offsets).alias("oy"))
+        .withColumn("cx", F.floor(F.col("pe") / F.col("cell")) + F.col("ox"))
+        .withColumn("cy", F.floor(F.col("pn") / F.col("cell")) + F.col("oy"))
+        .drop("ox", "oy")
+    )
     cand = p.join(d, ["batch_id", "cx", "cy"]).filter(F.col("src_rn") != F.col("dst_rn"))
     dist = planar_distance("pe", "pn", "de", "dn")
     near = cand.groupBy("batch_id", "src_rn").agg(

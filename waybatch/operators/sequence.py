@@ -60,7 +60,7 @@ def range_id(df: DataFrame, column: str, bounds: list[float], out: str = _BUCKET
     keyed = df.withColumn(
         _KEY, F.coalesce(F.col(column).cast("double"), F.lit(float("-inf")))
     )
-    splits = [float("-inf")] + bounds + [float("inf")]
+    splits = [float("-inf")] + (bounds or [0.0]) + [float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol=_KEY, outputCol=out, handleInvalid="keep")
     return bucketizer.transform(keyed).withColumn(out, F.col(out).cast("int")).drop(_KEY)
 
@@ -86,7 +86,7 @@ def with_sequence(
         for r in bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
     }
     offsets, running = [], 0
-    for b in range(len(bounds) + 1):
+    for b in range(max(len(bounds), 1) + 1):
         offsets.append(running)
         running += counts.get(b, 0)
     offset = F.element_at(F.lit(offsets), F.col(_BUCKET) + F.lit(1))

@@ -293,10 +293,10 @@ UNION ALL SELECT 'header_only', 'header_only', CAST(0 AS BIGINT)"""
         "SELECT 'input' AS source, 'empty' AS rule, CAST(NULL AS VARCHAR) AS \"column\", CAST(count(*) = 0 AS BIGINT) AS n_bad FROM nt",
         "SELECT 'input', 'required_columns', NULL, CAST(0 AS BIGINT)",
         "SELECT 'input', 'duplicate_id', 'delivery_id', count(*) FROM (SELECT delivery_id FROM nt GROUP BY delivery_id HAVING count(*) > 1)",
-    ] + [f"SELECT 'input', '{r}', '{c}', count_if({p}) FROM nt" for r, c, p in rules]
+    ] + [f"SELECT 'input', '{r}', '{c}', CAST(count_if({p}) AS BIGINT) FROM nt" for r, c, p in rules]
     q["quality_report"] = with_fixtures(["raw_text"], norm) + "SELECT *, n_bad = 0 AS passed FROM (\n" + "\nUNION ALL ".join(parts) + ") x"
     q["invalid_timestamps"] = with_fixtures(["raw_text"]) + f"""SELECT count(*) AS n_rows,
-       count_if(TRY_CAST({_nulls('"timestamp"')} AS TIMESTAMP) IS NULL) AS n_invalid FROM raw_text"""
+       CAST(count_if(TRY_CAST({_nulls('"timestamp"')} AS TIMESTAMP) IS NULL) AS BIGINT) AS n_invalid FROM raw_text"""
     q["timestamp_parse"] = with_fixtures(["raw_text"]) + f"""SELECT delivery_id, TRY_CAST({_nulls('"timestamp"')} AS TIMESTAMP) AS ts FROM raw_text"""
     q["duplicate_ids"] = with_fixtures(["deliveries_dup"]) + """SELECT 'input' AS source, delivery_id, count(*) AS n_rows
 FROM deliveries_dup GROUP BY delivery_id HAVING count(*) > 1"""
@@ -352,13 +352,13 @@ SELECT batch_id, rn, nearest_rn, dist FROM (
     q["batch_metrics"] = with_fixtures(["deliveries_dup"], batched_cte("deliveries_dup", "row_no")) + """SELECT batch_id, CAST(count(*) AS BIGINT) AS rows_in,
        count(DISTINCT delivery_id) AS rows_out FROM bt GROUP BY batch_id"""
     stored = with_fixtures(["deliveries"], batched_cte("deliveries", "delivery_id"), input_route_cte(),
-                           "rk AS (SELECT *, row_number() OVER (ORDER BY batch_id, visit_seq) AS k FROM ro)")
-    q["routes_readback"] = stored + _stored_select("rk", "k")
+                           "rk AS (SELECT *, row_number() OVER (ORDER BY batch_id, visit_seq) AS route_k FROM ro)")
+    q["routes_readback"] = stored + _stored_select("rk", "route_k")
     q["ingest_route_store"] = q["routes_readback"]
     q["routes_append_dedup"] = q["routes_readback"]
-    q["routes_append_key"] = stored + """SELECT CAST(k AS BIGINT) AS route_key, delivery_id FROM rk
-UNION ALL SELECT CAST(k + (SELECT count(*) FROM rk) AS BIGINT), delivery_id FROM rk"""
-    one = _stored_select("rk", "k").replace("SELECT CAST(k AS BIGINT) AS route_key, ", "SELECT ")
+    q["routes_append_key"] = stored + """SELECT CAST(route_k AS BIGINT) AS route_key, delivery_id FROM rk
+UNION ALL SELECT CAST(route_k + (SELECT count(*) FROM rk) AS BIGINT), delivery_id FROM rk"""
+    one = _stored_select("rk", "route_k").replace("SELECT CAST(route_k AS BIGINT) AS route_key, ", "SELECT ")
     q["routes_append"] = stored + one + "\nUNION ALL\n" + one
     q["geometry_repair"] = with_fixtures(["deliveries"], f"""g AS (SELECT delivery_id, pickup_lat,
   CASE WHEN delivery_id % 13 = 0 THEN NULL ELSE pickup_lon END AS pickup_lon,
