@@ -92,7 +92,10 @@ def quality_report(df: DataFrame, source_col: str | None = None) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_n")] + [
         F.count_if(pred).alias(f"_r{i}") for i, (_r, _c, pred) in enumerate(rules)
     ]
-    per_source = t.groupBy(SOURCE).agg(*aggs)
+    if source_col:
+        per_source = t.groupBy(SOURCE).agg(*aggs)
+    else:  # a global aggregate gives a row even for empty input
+        per_source = t.agg(*aggs).withColumn(SOURCE, F.lit("input"))
     dup = (
         t.groupBy(SOURCE, "delivery_id")
         .agg(F.count(F.lit(1)).alias("_k"))

@@ -123,15 +123,46 @@ def nearest_dropoff(batched: DataFrame) -> DataFrame:
     return _best(cand)
 
 
-def nearest_dropoff_grid(batched: DataFrame, cell_m: float | None = None) -> DataFrame:
+def _grid_candidates(pending: DataFrame, d: DataFrame, factor: float) -> DataFrame:
+    """Pickups against the dropoffs in their 3x3 cells at ``cell0 * factor``."""
+    cell = F.col("cell0") * F.lit(factor)
+    offsets = F.array(*[F.lit(v) for v in (-1, 0, 1)])
+    dl = d.select(
+        "batch_id", "dst_rn", "de", "dn",
+        F.floor(F.col("de") / cell).alias("cx"), F.floor(F.col("dn") / cell).alias("cy"),
+    )
+    pl = (
+        pending.select("batch_id", "src_rn", "pe", "pn", "cell0", F.explode(offsets).alias("ox"))
+        .select("*", F.explode(offsets).alias("oy"))
+        .withColumn("cx", F.floor(F.col("pe") / cell) + F.col("ox"))
+        .withColumn("cy", F.floor(F.col("pn") / cell) + F.col("oy"))
+        .drop("ox", "oy")
+    )
+    return pl.join(dl, ["batch_id", "cx", "cy"]).filter(F.col("src_rn") != F.col("dst_rn"))
+
+
+def nearest_dropoff_grid(
+    batched: DataFrame,
+    cell_m: float | None = None,
+    levels: int = 5,
+    growth: float = 4.0,
+) -> DataFrame:
     """Same answer as :func:`nearest_dropoff`, without all pairs.
 
     Dropoffs go into square cells; each pickup looks at its 3x3 cells. A
     best candidate nearer than the cell size is exact (nothing outside the
-    3x3 can be nearer). Pickups without such a candidate are settled by
-    brute force against their batch. The default cell size per batch is
-    twice the mean spacing of its dropoffs.
+    3x3 can be nearer, ties included). Pickups left open try cells
+    ``growth`` times larger, up to ``levels`` times; the rest is settled by
+    brute force against its batch. The first cell size per batch is a
+    quarter of the mean dropoff spacing, so clustered points settle early
+    with few candidates and sparse ones move up a level.
+
+    Each level's result is checkpointed to the shared checkpoint folder,
+    so later levels and the final union do not recompute earlier joins.
     """
+    from waybatch.session import checkpoint_root
+
+    checkpoint_root(batched.sparkSession)
     z = with_projection(batched)
     w = Window.partitionBy("batch_id")
     if cell_m is None:
@@ -140,42 +171,42 @@ def nearest_dropoff_grid(batched: DataFrame, cell_m: float | None = None) -> Dat
             F.max("dn").over(w) - F.min("dn").over(w),
             F.lit(1.0),
         )
-        cell = F.greatest(F.lit(2.0) * extent / F.ceil(F.sqrt(F.count(F.lit(1)).over(w))), F.lit(1.0))
+        cell0 = F.greatest(extent / F.ceil(F.sqrt(F.count(F.lit(1)).over(w))) / F.lit(4.0), F.lit(1.0))
     else:
-        cell = F.lit(float(cell_m))
-    z = z.withColumn("cell", cell)
-    d = z.select(
-        "batch_id",
-        F.col("rn").alias("dst_rn"),
-        "de",
-        "dn",
-        F.floor(F.col("de") / F.col("cell")).alias("cx"),
-        F.floor(F.col("dn") / F.col("cell")).alias("cy"),
-    )
-    offsets = F.array(*[F.lit(v) for v in (-1, 0, 1)])
-    p = (
-        z.select("batch_id", F.col("rn").alias("src_rn"), "pe", "pn", "cell", F.explode(offsets).alias("ox"))
-        .select("*", F.explode(offsets).alias("oy"))
-        .withColumn("cx", F.floor(F.col("pe") / F.col("cell")) + F.col("ox"))
-        .withColumn("cy", F.floor(F.col("pn") / F.col("cell")) + F.col("oy"))
-        .drop("ox", "oy")
-    )
-    cand = p.join(d, ["batch_id", "cx", "cy"]).filter(F.col("src_rn") != F.col("dst_rn"))
+        cell0 = F.lit(float(cell_m))
+    z = z.select("batch_id", "rn", "pe", "pn", "de", "dn", cell0.alias("cell0")).checkpoint()
+    d = z.select("batch_id", F.col("rn").alias("dst_rn"), "de", "dn", "cell0")
+    pending = z.select("batch_id", F.col("rn").alias("src_rn"), "pe", "pn", "cell0")
     dist = planar_distance("pe", "pn", "de", "dn")
-    near = cand.groupBy("batch_id", "src_rn").agg(
-        F.min(F.struct(dist.alias("dist"), F.col("dst_rn"))).alias("_wb_best"),
-        F.first("cell").alias("cell"),
-    )
-    accepted = near.filter(F.col("_wb_best.dist") < F.col("cell") * F.lit(_GRID_SAFE)).select(
-        "batch_id",
-        F.col("src_rn").alias("rn"),
-        F.col("_wb_best.dst_rn").alias("nearest_rn"),
-        F.col("_wb_best.dist").alias("dist"),
-    )
-    p_all, d_all = _pickups_dropoffs(z)
-    left = p_all.join(accepted.select("batch_id", F.col("rn").alias("src_rn")), ["batch_id", "src_rn"], "left_anti")
-    rest = _best(left.join(d_all, "batch_id").filter(F.col("src_rn") != F.col("dst_rn")))
-    return accepted.unionByName(rest)
+    parts = []
+    for level in range(levels):
+        factor = growth**level
+        near = (
+            _grid_candidates(pending, d, factor)
+            .groupBy("batch_id", "src_rn")
+            .agg(F.min(F.struct(dist.alias("dist"), F.col("dst_rn"))).alias("_wb_best"), F.first("cell0").alias("cell0"))
+            .filter(F.col("_wb_best.dist") < F.col("cell0") * F.lit(factor * _GRID_SAFE))
+            .select(
+                "batch_id",
+                F.col("src_rn").alias("rn"),
+                F.col("_wb_best.dst_rn").alias("nearest_rn"),
+                F.col("_wb_best.dist").alias("dist"),
+            )
+            .checkpoint()
+        )
+        parts.append(near)
+        pending = pending.join(
+            near.select("batch_id", F.col("rn").alias("src_rn")), ["batch_id", "src_rn"], "left_anti"
+        ).checkpoint()
+        if pending.isEmpty():
+            break
+    else:
+        dz = d.join(pending.select("batch_id").distinct(), "batch_id", "left_semi")
+        parts.append(_best(pending.join(dz, "batch_id").filter(F.col("src_rn") != F.col("dst_rn"))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def route_input_order(batched: DataFrame, dedup_scope: str = "batch") -> DataFrame:

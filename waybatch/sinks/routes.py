@@ -91,8 +91,10 @@ def append_routes(
     create_routes_table(spark, path)
     stored = to_stored(routes)
     target = read_routes(spark, path)
-    if dedupe:
-        stored = stored.join(target.select(*NATURAL_KEY), NATURAL_KEY, "left_anti")
+    if dedupe:  # null equals null in the natural key
+        t = target.select(*[F.col(c).alias(f"_wb_t_{c}") for c in NATURAL_KEY])
+        cond = [stored[c].eqNullSafe(t[f"_wb_t_{c}"]) for c in NATURAL_KEY]
+        stored = stored.join(t, cond, "left_anti")
     base = target.agg(F.coalesce(F.max("route_key"), F.lit(0)).alias("m")).first()["m"]
     keyed, n = with_sequence(stored, list(order_by), name="route_key", start=base + 1)
     delivery_id = F.lit(None).cast("long") if parity else F.col("delivery_id").cast("long")

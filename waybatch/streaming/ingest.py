@@ -35,10 +35,15 @@ def delivery_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
         "*",
         F.col("_metadata.file_path").alias(FILE_COL),
         F.col("_metadata.file_block_start").alias(BLOCK_COL),
-        F.monotonically_increasing_id().alias(ROW_COL),
     )
 
 
+def tag_rows(batch: DataFrame) -> DataFrame:
+    """Scan row id inside a micro-batch (not allowed on the stream itself);
+    the micro-batch is a file scan, so ids are consecutive per split."""
+    return batch.withColumn(ROW_COL, F.monotonically_increasing_id())
+
+
 def start_route_stream(
     spark: SparkSession,
     folder: str,
@@ -54,6 +59,7 @@ def start_route_stream(
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
+        batch = tag_rows(batch)
         if strict:
             raise_on_failure(quality_report(batch, source_col=FILE_COL))
         routes = optimize_routes(typed_deliveries(batch), order_by=FILE_ORDER, batch_size=batch_size, mode=mode)
