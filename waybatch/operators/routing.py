@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybatch.functions.geo import planar_distance, utm_forward, wkt_point
-from waybatch.operators.batching import assign_batches, dedup_first, with_batch_zone
+from waybatch.operators.batching import assign_batches, by_batch, dedup_first, with_batch_zone
 
 ROUTE_MODES = ("input_order", "nearest")
 _DELIVERY_PASS = ["delivery_id", "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon", "timestamp"]
@@ -73,6 +73,19 @@ def stop_path(batched: DataFrame) -> DataFrame:
     return s.withColumn("visit_seq", visit.cast("int"))
 
 
+def _pair_input(batched: DataFrame) -> DataFrame:
+    """Projected stops, narrow, checkpointed once in the shared folder.
+
+    The pickup and dropoff sides of the pair join both read it, so the
+    upstream plan (sequence, batch windows, projection) runs once instead
+    of once per join side; only the narrow stop table is shuffled again.
+    """
+    from waybatch.session import checkpoint_root
+
+    checkpoint_root(batched.sparkSession)
+    return with_projection(batched).select("batch_id", "rn", "pe", "pn", "de", "dn").checkpoint()
+
+
 def _pickups_dropoffs(projected: DataFrame):
     p = projected.select("batch_id", F.col("rn").alias("src_rn"), "pe", "pn")
     d = projected.select("batch_id", F.col("rn").alias("dst_rn"), "de", "dn")
@@ -82,7 +95,7 @@ def _pickups_dropoffs(projected: DataFrame):
 def delivery_edges(batched: DataFrame) -> DataFrame:
     """Edge table: own edge ``p_i -> d_i`` (weight 0) and every foreign edge
     ``p_i -> d_j`` (j != i) weighted by UTM metres in the batch's zone."""
-    z = with_projection(batched)
+    z = _pair_input(batched)
     p, d = _pickups_dropoffs(z)
     foreign = p.join(d, "batch_id").filter(F.col("src_rn") != F.col("dst_rn"))
     foreign = foreign.select(
@@ -117,7 +130,7 @@ def _best(candidates: DataFrame) -> DataFrame:
 def nearest_dropoff(batched: DataFrame) -> DataFrame:
     """Nearest foreign dropoff per pickup by brute force over the batch
     (``b * (b - 1)`` pairs per batch). Batches of one delivery give no row."""
-    z = with_projection(batched)
+    z = _pair_input(batched)
     p, d = _pickups_dropoffs(z)
     cand = p.join(d, "batch_id").filter(F.col("src_rn") != F.col("dst_rn"))
     return _best(cand)
@@ -215,7 +228,7 @@ def route_input_order(batched: DataFrame, dedup_scope: str = "batch") -> DataFra
 
     One exchange on ``batch_id`` serves the dedup and the numbering.
     """
-    b = batched.repartition("batch_id")
+    b = by_batch(batched)
     kept = dedup_first(b, scope=dedup_scope)
     w = Window.partitionBy("batch_id").orderBy("rn")
     out = kept.withColumn("visit_seq", F.row_number().over(w))

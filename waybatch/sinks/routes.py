@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from waybatch.functions.geo import is_wkt_point, wkt_point
 from waybatch.operators.sequence import with_sequence
 from waybatch.schema import DELIVERY_COLUMNS, ROUTES_SCHEMA, TIMESTAMP_TEXT_FORMAT
-from waybatch.session import path_exists
+from waybatch.session import checkpoint_root, path_exists
 
 NATURAL_KEY = ["pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon", "timestamp"]
 
@@ -96,6 +96,10 @@ def append_routes(
         cond = [stored[c].eqNullSafe(t[f"_wb_t_{c}"]) for c in NATURAL_KEY]
         stored = stored.join(t, cond, "left_anti")
     base = target.agg(F.coalesce(F.max("route_key"), F.lit(0)).alias("m")).first()["m"]
+    # The numbering reads its input three times (bounds, counts, rows):
+    # run the route plan once into the shared checkpoint folder.
+    checkpoint_root(spark)
+    stored = stored.checkpoint()
     keyed, n = with_sequence(stored, list(order_by), name="route_key", start=base + 1)
     delivery_id = F.lit(None).cast("long") if parity else F.col("delivery_id").cast("long")
     out = keyed.select(
