@@ -20,7 +20,7 @@ def test_file_report_statuses(spark, tmp_dir):
         "deep.csv": ("ok", 3),
         "wrong.csv": ("missing_columns", 1),
         "header.csv": ("header_only", 0),
-        "blank.csv": ("empty", 1),
+        "blank.csv": ("empty", 0),
         "latin.csv": ("non_utf8", 1),
         "quoted.csv": ("ok", 3),
     }

@@ -84,7 +84,7 @@ def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> Da
     )
     return per_file.select(
         "file_path", "file_name", "header", "n_lines",
-        (F.col("n_nonblank") - F.lit(1)).alias("n_data_lines"), status.alias("status"),
+        F.greatest(F.col("n_nonblank") - F.lit(1), F.lit(0)).alias("n_data_lines"), status.alias("status"),
     )
 
 
