@@ -245,37 +245,55 @@ def _route_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def walk_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Greedy nearest neighbour walk over one batch (pandas, in a task).
-
-    Start at the first pickup; from each dropoff go to the nearest unvisited
-    pickup (ties: lower row). Distances come from millimetre UTM
-    coordinates, so they equal the Spark and SQL ones bit for bit. Then the
-    first visit of each ``delivery_id`` is kept and numbered 1..k.
-    O(b^2) time, O(b) memory: no distance matrix.
-    """
-    if pdf.empty:
-        return pdf.assign(visit_seq=pd.Series(dtype="int32"))
-    pdf = pdf.sort_values("rn", kind="stable").reset_index(drop=True)
-    pe, pn = pdf["pe"].to_numpy(), pdf["pn"].to_numpy()
-    de, dn = pdf["de"].to_numpy(), pdf["dn"].to_numpy()
-    m = len(pdf)
+def greedy_order(pe, pn, de, dn) -> np.ndarray:
+    """Visiting order of rows 0..m-1 (arrays in row order): start at row 0;
+    from the dropoff of the current row go to the nearest unvisited pickup,
+    lowest row on ties. Visited rows are masked; the candidate arrays are
+    compacted whenever half of them are used, so the work stays near
+    ``m^2 / 2`` distance evaluations. O(m) memory, no distance matrix."""
+    m = len(pe)
     order = np.empty(m, dtype=np.int64)
-    remaining = np.arange(1, m, dtype=np.int64)
-    cur = 0
+    if m == 0:
+        return order
     order[0] = 0
+    idx = np.arange(1, m, dtype=np.int64)  # candidates, ascending row
+    cpe, cpn = pe[idx], pn[idx]
+    live = np.ones(len(idx), dtype=bool)
+    n_live = len(idx)
+    cur = 0
     for step in range(1, m):
-        dx = pe[remaining] - de[cur]
-        dy = pn[remaining] - dn[cur]
+        dx = cpe - de[cur]
+        dy = cpn - dn[cur]
         dist = np.sqrt(dx * dx + dy * dy)
-        k = int(np.argmin(dist))  # first minimum = lowest row, remaining is sorted
-        cur = int(remaining[k])
+        dist[~live] = np.inf
+        k = int(np.argmin(dist))  # first minimum = lowest row
+        cur = int(idx[k])
         order[step] = cur
-        remaining = np.delete(remaining, k)
-    routed = pdf.iloc[order].reset_index(drop=True)
-    routed = routed.drop_duplicates(subset=["delivery_id"], keep="first").reset_index(drop=True)
-    routed["visit_seq"] = np.arange(1, len(routed) + 1, dtype=np.int32)
-    return routed
+        live[k] = False
+        n_live -= 1
+        if n_live and n_live * 2 <= len(idx):
+            idx, cpe, cpn = idx[live], cpe[live], cpn[live]
+            live = np.ones(len(idx), dtype=bool)
+    return order
+
+
+def walk_batch(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Greedy nearest neighbour route of one batch (pandas, in a task).
+
+    Distances come from millimetre UTM coordinates, so they equal the Spark
+    and SQL ones bit for bit. The first visit of each ``delivery_id`` is
+    kept and numbered 1..k.
+    """
+    if pdf.empty:
+        return pdf.assign(visit_seq=pd.Series(dtype="int32"))
+    by_row = np.argsort(pdf["rn"].to_numpy(), kind="stable")
+    cols = [pdf[c].to_numpy(dtype=np.float64)[by_row] for c in ("pe", "pn", "de", "dn")]
+    visit = by_row[greedy_order(*cols)]
+    ids = pdf["delivery_id"].to_numpy()[visit]
+    _, first = np.unique(ids, return_index=True)
+    keep = visit[np.sort(first)]
+    out = pdf.iloc[keep]
+    return out.assign(visit_seq=np.arange(1, len(keep) + 1, dtype=np.int32))
 
 
 _WALK_FIELDS = [
