@@ -55,3 +55,10 @@ def test_prepare_box_and_ids_have_gaps(spark):
 def test_row_params():
     with pytest.raises(ValueError, match="cannot exceed"):
         check_row_params(10, 20)
+
+
+def test_route_job_metrics(spark, tmp_dir):
+    write_text(f"{tmp_dir}/raw/a.csv", THREE_ROWS)
+    res = jobs.route_job_metrics(spark, f"{tmp_dir}/routes", full_path=f"{tmp_dir}/raw", batch_size=2, mode="nearest")
+    assert (res.rows_in, res.rows_routed, res.rows_appended) == (3, 3, 3)
+    assert res.stored.count() == 3

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waybatch.operators.batching import FILE_ORDER, check_batch_size
@@ -75,6 +75,27 @@ def stage_input(text: DataFrame, spark: SparkSession) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@dataclass
+class RouteResult:
+    stored: DataFrame
+    rows_in: int
+    rows_routed: int
+    rows_appended: int
+
+
+def route_job_metrics(
+    spark: SparkSession,
+    target_path: str,
+    **kwargs,
+) -> RouteResult:
+    """:func:`route_job` with counters taken by ``Observation`` while the
+    data flows (no extra job): rows read and rows routed."""
+    obs_in, obs_out = Observation("waybatch_in"), Observation("waybatch_out")
+    appended = []
+    stored = route_job(spark, target_path, _observe=(obs_in, obs_out), _appended=appended, **kwargs)
+    return RouteResult(stored, obs_in.get["rows"], obs_out.get["rows"], appended[0])
+
+
 def route_job(
     spark: SparkSession,
     target_path: str,
@@ -87,6 +108,8 @@ def route_job(
     strict: bool = True,
     stage: bool = True,
     dedupe: bool = False,
+    _observe=None,
+    _appended=None,
 ) -> DataFrame:
     """Ingest -> quality check -> route -> append; returns the stored table.
 
@@ -104,8 +127,14 @@ def route_job(
     if strict:
         raise_on_failure(quality_report(text, source_col=FILE_COL))
     typed = typed_deliveries(text)
+    if _observe:
+        typed = typed.observe(_observe[0], F.count(F.lit(1)).alias("rows"))
     routes = optimize_routes(typed, order_by=FILE_ORDER, batch_size=batch_size, mode=mode)
-    append_routes(spark, routes, target_path, dedupe=dedupe)
+    if _observe:
+        routes = routes.observe(_observe[1], F.count(F.lit(1)).alias("rows"))
+    n = append_routes(spark, routes, target_path, dedupe=dedupe)
+    if _appended is not None:
+        _appended.append(n)
     return spark.read.parquet(target_path)
 
 
