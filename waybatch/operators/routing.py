@@ -171,7 +171,8 @@ def nearest_dropoff_grid(
     with few candidates and sparse ones move up a level.
 
     Each level's result is checkpointed to the shared checkpoint folder,
-    so later levels and the final union do not recompute earlier joins.
+    as is the set of pickups still open, so later levels and the final
+    union do not recompute earlier joins.
     """
     from waybatch.session import checkpoint_root
 
