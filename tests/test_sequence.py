@@ -64,3 +64,17 @@ def test_file_order_sequence(spark, tmp_dir):
     got = [r.delivery_id for r in out.orderBy("seq").collect()]
     assert got == [7, 8, 5, 1, 9, 2]
     assert sorted(r.seq for r in out.collect()) == list(range(1, 7))
+
+
+def test_dense_key_needs_no_shuffle(spark):
+    df = spark.range(0, 1000).select((F.col("id") + 50).alias("k"))
+    out, n = sequence.with_sequence(df, "k", start=1)
+    assert n == 1000
+    assert sorted((r.k, r.seq) for r in out.collect()) == [(k, k - 49) for k in range(50, 1050)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    # one hole: no longer dense, numbered by the range path
+    gappy = df.filter(F.col("k") != 60)
+    out, n = sequence.with_sequence(gappy, "k")
+    got = dict((r.k, r.seq) for r in out.collect())
+    assert n == 999 and got[59] == 10 and got[61] == 11 and got[1049] == 999

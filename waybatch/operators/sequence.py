@@ -21,6 +21,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybatch.session import broadcast_if_small
 
@@ -42,17 +43,23 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _bounds_from(values) -> list[float]:
+    values = values or []
+    return sorted({v for v in values if v is not None and not math.isnan(v)})
+
+
 def range_bounds(df: DataFrame, column: str, num_buckets: int) -> list[float]:
     """Sorted distinct approximate quantiles cutting ``column`` into ranges."""
     if num_buckets <= 1:
         return []
+    row = df.agg(_quantiles(column, num_buckets).alias("q")).first()
+    return _bounds_from(row["q"] if row is not None else None)
+
+
+def _quantiles(column: str, num_buckets: int):
     probs = [i / num_buckets for i in range(1, num_buckets)]
     accuracy = max(10_000, 20 * num_buckets)
-    row = df.agg(
-        F.percentile_approx(F.col(column).cast("double"), probs, accuracy).alias("q")
-    ).first()
-    values = row["q"] if row is not None and row["q"] is not None else []
-    return sorted({v for v in values if v is not None and not math.isnan(v)})
+    return F.percentile_approx(F.col(column).cast("double"), probs, accuracy)
 
 
 def range_id(df: DataFrame, column: str, bounds: list[float], out: str = _BUCKET) -> DataFrame:
@@ -75,12 +82,27 @@ def with_sequence(
     """Adds ``name`` = start, start+1, ... in the order of ``order_by``.
 
     ``order_by`` must be unique and its first column numeric. Returns the
-    frame and the row count.
+    frame and the row count. One pass gathers count, min, max and the
+    range bounds; a single integral key that is already dense
+    (``max - min + 1 == count``) is numbered by a projection alone, with
+    no shuffle.
     """
     cols = _order_columns(order_by)
     nb = num_buckets or _default_buckets(df)
-    bounds = range_bounds(df, cols[0], nb)
-    bucketed = range_id(df, cols[0], bounds)
+    lead = cols[0]
+    integral = len(cols) == 1 and isinstance(
+        df.schema[lead].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    )
+    aggs = [F.count(F.lit(1)).alias("n"), F.count(lead).alias("nk"), F.min(lead).alias("lo"), F.max(lead).alias("hi")]
+    if nb > 1:
+        aggs.append(_quantiles(lead, nb).alias("q"))
+    stats = df.agg(*aggs).first()
+    n = stats["n"]
+    if integral and n > 0 and stats["nk"] == n and stats["hi"] - stats["lo"] + 1 == n:
+        seq = F.col(lead).cast("long") - F.lit(int(stats["lo"])) + F.lit(start)
+        return df.withColumn(name, seq.cast("long")), n
+    bounds = _bounds_from(stats["q"]) if nb > 1 else []
+    bucketed = range_id(df, lead, bounds)
     counts = {
         r[_BUCKET]: r["n"]
         for r in bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
