@@ -297,6 +297,44 @@ def walk_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.assign(visit_seq=np.arange(1, len(keep) + 1, dtype=np.int32))
 
 
+def _walk_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Walks every batch of a frame sorted by ``(batch_id, rn)``."""
+    bids = pdf["batch_id"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, bids[1:] != bids[:-1]])
+    ends = np.r_[starts[1:], len(bids)]
+    pe, pn, de, dn = (pdf[c].to_numpy(dtype=np.float64) for c in ("pe", "pn", "de", "dn"))
+    ids = pdf["delivery_id"].to_numpy()
+    keep_parts, seq_parts = [], []
+    for a, b in zip(starts, ends):
+        visit = a + greedy_order(pe[a:b], pn[a:b], de[a:b], dn[a:b])
+        _, first = np.unique(ids[visit], return_index=True)
+        kept = visit[np.sort(first)]
+        keep_parts.append(kept)
+        seq_parts.append(np.arange(1, len(kept) + 1, dtype=np.int32))
+    keep = np.concatenate(keep_parts)
+    return pdf.iloc[keep].assign(visit_seq=np.concatenate(seq_parts))
+
+
+def walk_partition(chunks):
+    """``mapInPandas`` body: chunks of one partition sorted by
+    ``(batch_id, rn)``. Finished batches are walked chunk by chunk; the
+    last, possibly cut batch is carried into the next chunk (at most
+    ``batch_size`` rows), so no per-batch Arrow round trip is paid."""
+    carry = None
+    for pdf in chunks:
+        if carry is not None and len(carry):
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        if pdf.empty:
+            continue
+        bids = pdf["batch_id"].to_numpy()
+        cut = int(np.searchsorted(bids, bids[-1], side="left"))
+        carry = pdf.iloc[cut:]
+        if cut:
+            yield _walk_sorted(pdf.iloc[:cut])
+    if carry is not None and len(carry):
+        yield _walk_sorted(carry)
+
+
 _WALK_FIELDS = [
     T.StructField("batch_id", T.LongType()),
     T.StructField("rn", T.IntegerType()),
@@ -318,14 +356,15 @@ WALK_SCHEMA = T.StructType(_WALK_FIELDS)
 def route_nearest(batched: DataFrame) -> DataFrame:
     """The route as documented: greedy nearest neighbour per batch.
 
-    ``applyInPandas`` on ``batch_id``: batches run in parallel, each one is
-    at most ``batch_size`` rows. The window that finds the batch zone and
-    the grouping share one exchange.
+    Rows are hash-partitioned by ``batch_id`` (the exchange the batch-zone
+    window already needs), sorted by ``(batch_id, rn)`` inside each
+    partition, and walked by ``mapInPandas`` many batches per Arrow chunk.
+    Batches run in parallel; each holds at most ``batch_size`` rows.
     """
     z = with_projection(batched)
     cols = [f.name for f in _WALK_FIELDS if f.name != "visit_seq"]
     z = z.select(*[F.col(c).cast(WALK_SCHEMA[c].dataType) for c in cols])
-    walked = z.groupBy("batch_id").applyInPandas(walk_batch, schema=WALK_SCHEMA)
+    walked = z.sortWithinPartitions("batch_id", "rn").mapInPandas(walk_partition, schema=WALK_SCHEMA)
     return _route_columns(walked)
 
 
