@@ -13,7 +13,7 @@ from waybatch.operators.quality import invalid_timestamps, quality_report, raise
 from waybatch.operators.routing import optimize_routes
 from waybatch.operators.sequence import BLOCK_COL, FILE_COL, ROW_COL
 from waybatch.schema import (
-    DEFAULT_LIBRARY_BATCH_SIZE,
+    DEFAULT_PIPELINE_BATCH_SIZE,
     DEFAULT_MAX_ROWS,
     DEFAULT_SAMPLE_ROWS,
     DELIVERY_COLUMNS,
@@ -102,7 +102,7 @@ def route_job(
     full_path: str | None = None,
     sample_path: str | None = None,
     source: str = "auto",
-    batch_size: int = DEFAULT_LIBRARY_BATCH_SIZE,
+    batch_size: int = DEFAULT_PIPELINE_BATCH_SIZE,
     mode: str = "nearest",
     use_inline_sample: bool = False,
     strict: bool = True,
