@@ -220,7 +220,7 @@ def planar_distance(x1, y1, x2, y2) -> Column:
 
 def wkt_number(x) -> Column:
     """Plain decimal text of a coordinate: no exponent, no trailing zeros."""
-    text = _col(x).cast("decimal(18,10)").cast("string")
+    text = _col(x).try_cast("decimal(18,10)").cast("string")  # out of range: null
     return F.regexp_replace(text, r"\.?0+$", "")
 
 
