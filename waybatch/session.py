@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def _driver_memory() -> str:
+    """About 60% of physical memory, at most 16 GiB (local mode runs all
+    tasks in the driver JVM)."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = int(next(line for line in f if line.startswith("MemTotal")).split()[1])
+        gb = max(1, min(16, int(kb / 1024 / 1024 * 0.6)))
+    except (OSError, StopIteration, ValueError):
+        gb = 4
+    return f"{gb}g"
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "waybatch") -> SparkSession:
     """Session for tests and local runs; on a cluster use the cluster's own."""
     return (
@@ -26,7 +38,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", _driver_memory())
         .getOrCreate()
     )
 
