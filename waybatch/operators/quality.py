@@ -50,6 +50,7 @@ def _rule_names():
 
 RULE_ORDER = ["empty", "required_columns", "duplicate_id"] + _rule_names()
 
+# The error texts of the studied validator, one per rule.
 _MESSAGES = {
     "empty": "CSV data is empty or lacks a header",
     "required_columns": "CSV schema mismatch: expected {expected}",
