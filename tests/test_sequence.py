@@ -78,3 +78,23 @@ def test_dense_key_needs_no_shuffle(spark):
     out, n = sequence.with_sequence(gappy, "k")
     got = dict((r.k, r.seq) for r in out.collect())
     assert n == 999 and got[59] == 10 and got[61] == 11 and got[1049] == 999
+
+
+def test_composite_key_with_hot_leading_value(spark):
+    # a third of the rows share the leading value; order is (src, line)
+    rows = [("hot", i) for i in range(3000)] + [(f"s{i % 37:02d}", i) for i in range(6000)]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "src string, line long")
+    out, n = sequence.with_sequence(df, ["src", "line"], start=1, num_buckets=8)
+    got = [(r.src, r.line) for r in out.orderBy("seq").collect()]
+    assert n == 9000 and got == sorted(rows)
+    assert sorted(r.seq for r in out.collect()) == list(range(1, 9001))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 3000  # the hot source is split across ranges
+
+
+def test_string_key(spark):
+    df = spark.createDataFrame([(f"k{i:05d}",) for i in random.Random(5).sample(range(100000), 500)], "k string")
+    out, n = sequence.with_sequence(df, "k")
+    got = [r.k for r in out.orderBy("seq").collect()]
+    assert got == sorted(got) and n == 500

@@ -81,15 +81,19 @@ def with_sequence(
 ) -> tuple[DataFrame, int]:
     """Adds ``name`` = start, start+1, ... in the order of ``order_by``.
 
-    ``order_by`` must be unique and its first column numeric. Returns the
-    frame and the row count. One pass gathers count, min, max and the
-    range bounds; a single integral key that is already dense
-    (``max - min + 1 == count``) is numbered by a projection alone, with
-    no shuffle.
+    ``order_by`` must be unique. Returns the frame and the row count.
+
+    A single numeric key: one pass gathers count, min, max and range
+    bounds; an integral key that is already dense (``max - min + 1 ==
+    count``) is numbered by a projection alone, with no shuffle; otherwise
+    rows are numbered inside quantile ranges of the key. Composite or
+    non-numeric keys go through :func:`_with_range_sequence`.
     """
     cols = _order_columns(order_by)
     nb = num_buckets or _default_buckets(df)
     lead = cols[0]
+    if len(cols) > 1 or not isinstance(df.schema[lead].dataType, T.NumericType):
+        return _with_range_sequence(df, cols, name, start, nb)
     integral = len(cols) == 1 and isinstance(
         df.schema[lead].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     )
@@ -119,6 +123,35 @@ def with_sequence(
     return out, running
 
 
+def _with_range_sequence(df: DataFrame, cols: list[str], name: str, start: int, nb: int) -> tuple[DataFrame, int]:
+    """Sequence for composite or non-numeric keys.
+
+    Spark's range partitioner cuts the whole key tuple (so a repeated
+    leading value is split by the next column), rows are sorted inside
+    each range and the result is checkpointed to the shared folder, which
+    fixes which row sits where even if tasks are recomputed later. Rows
+    are counted per range (one number per range reaches the driver) and
+    numbered by range offset + scan position; there is no window.
+    """
+    from waybatch.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    order = [F.col(c).asc_nulls_first() for c in cols]
+    ranged = df.repartitionByRange(max(1, nb), *order).sortWithinPartitions(*order).checkpoint()
+    pid = F.spark_partition_id()
+    counts = {r["p"]: r["n"] for r in ranged.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, running = [], 0
+    for p in range(ranged.rdd.getNumPartitions()):
+        offsets.append(running)
+        running += counts.get(p, 0)
+    if not offsets:
+        return ranged.withColumn(name, F.lit(None).cast("long")), 0
+    tagged = ranged.withColumn("_wb_p", pid).withColumn("_wb_m", F.monotonically_increasing_id())
+    local = F.col("_wb_m") - F.shiftleft(F.col("_wb_p").cast("long"), 33)
+    seq = F.element_at(F.lit(offsets), F.col("_wb_p") + F.lit(1)) + local + F.lit(start)
+    return tagged.withColumn(name, seq.cast("long")).drop("_wb_p", "_wb_m"), running
+
+
 def with_file_order(df: DataFrame) -> DataFrame:
     """Tags rows of a file scan with file, split start and scan row id.
 
