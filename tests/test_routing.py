@@ -141,3 +141,15 @@ def test_bad_batch_size():
     for bad in (0, -1, 1.5, True):
         with pytest.raises(ValueError):
             check_batch_size(bad)
+
+
+def test_dedup_scope_all_with_many_copies(spark):
+    from waybatch.operators.batching import dedup_first
+
+    rows = [(7 if i % 3 == 0 else i, i) for i in range(3000)]  # a third are copies of id 7
+    df = spark.createDataFrame(rows, "delivery_id long, seq long").withColumn("batch_id", F.floor(F.col("seq") / 100))
+    kept = sorted((r.delivery_id, r.seq) for r in dedup_first(df, order="seq", scope="all").collect())
+    expect = sorted({d: s for s, d in sorted(((s, d) for d, s in rows), reverse=True)}.items())
+    assert kept == expect
+    per_batch = dedup_first(df, order="seq", scope="batch").count()
+    assert per_batch == len({(s // 100, d) for d, s in rows})

@@ -87,12 +87,21 @@ def with_batch_zone(batched: DataFrame) -> DataFrame:
 
 def dedup_first(batched: DataFrame, key: str = "delivery_id", order: str = "rn", scope: str = "batch") -> DataFrame:
     """Keeps the first row of each ``key`` per batch (``scope="batch"``),
-    or over the whole input (``scope="all"``)."""
-    parts = ["batch_id", key] if scope == "batch" else [key]
-    if scope not in ("batch", "all"):
+    or over the whole input (``scope="all"``, ``order`` then must be
+    unique over the input, e.g. ``seq``).
+
+    Per batch, a window on ``(batch_id, key)`` sees at most ``batch_size``
+    rows. Over all rows one id may have any number of copies, so the first
+    position per id is found by an aggregate (combined map-side, so a hot
+    id never gathers in one task) and joined back on the unique position.
+    """
+    if scope == "batch":
+        w = Window.partitionBy("batch_id", key).orderBy(F.col(order).asc())
+        return batched.withColumn("_wb_k", F.row_number().over(w)).filter(F.col("_wb_k") == 1).drop("_wb_k")
+    if scope != "all":
         raise ValueError("scope must be 'batch' or 'all'")
-    w = Window.partitionBy(*parts).orderBy(F.col(order).asc())
-    return batched.withColumn("_wb_k", F.row_number().over(w)).filter(F.col("_wb_k") == 1).drop("_wb_k")
+    first = batched.groupBy(key).agg(F.min(order).alias(order))
+    return batched.join(first, [key, order], "left_semi")
 
 
 def batch_metrics(batched: DataFrame, key: str = "delivery_id") -> DataFrame:

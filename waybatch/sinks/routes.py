@@ -92,7 +92,9 @@ def append_routes(
     stored = to_stored(routes)
     target = read_routes(spark, path)
     if dedupe:  # null equals null in the natural key
-        t = target.select(*[F.col(c).alias(f"_wb_t_{c}") for c in NATURAL_KEY])
+        # distinct first: stored copies of one key collapse map-side, so a
+        # much-repeated key cannot skew the anti join
+        t = target.select(*[F.col(c).alias(f"_wb_t_{c}") for c in NATURAL_KEY]).distinct()
         cond = [stored[c].eqNullSafe(t[f"_wb_t_{c}"]) for c in NATURAL_KEY]
         stored = stored.join(t, cond, "left_anti")
     base = target.agg(F.coalesce(F.max("route_key"), F.lit(0)).alias("m")).first()["m"]
