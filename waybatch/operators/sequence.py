@@ -181,7 +181,8 @@ def with_file_order_sequence(df: DataFrame, name: str = "seq", start: int = 1) -
         "_wb_r0",
         F.coalesce(F.sum("_wb_n").over(w), F.lit(0)).alias("_wb_off"),
     )
-    joined = df.join(broadcast_if_small(offsets), [FILE_COL, BLOCK_COL])
+    # one row per file split with its path: broadcast below 200k splits
+    joined = df.join(broadcast_if_small(offsets, 200_000), [FILE_COL, BLOCK_COL])
     seq = F.col("_wb_off") + (F.col(ROW_COL) - F.col("_wb_r0")) + F.lit(start)
     return joined.withColumn(name, seq.cast("long")).drop("_wb_off", "_wb_r0")
 
