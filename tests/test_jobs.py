@@ -62,3 +62,13 @@ def test_route_job_metrics(spark, tmp_dir):
     res = jobs.route_job_metrics(spark, f"{tmp_dir}/routes", full_path=f"{tmp_dir}/raw", batch_size=2, mode="nearest")
     assert (res.rows_in, res.rows_routed, res.rows_appended) == (3, 3, 3)
     assert res.stored.count() == 3
+
+
+def test_prepare_drop_invalid_option(spark):
+    trips = spark.createDataFrame(
+        [(0, "2024-05-01 08:00:00", 1, 1), (1, "bad", 1, 1)],
+        "k long, tpep_pickup_datetime string, PULocationID int, DOLocationID int",
+    )
+    zones = spark.createDataFrame([(1, 40.7, -74.0)], "locationid int, lat double, lon double")
+    assert prepare_deliveries(trips, zones, order_by="k").count() == 2
+    assert [r.delivery_id for r in prepare_deliveries(trips, zones, order_by="k", drop_invalid=True).collect()] == [1]

@@ -45,6 +45,7 @@ def prepare_deliveries(
     pickup_col: str = "PULocationID",
     dropoff_col: str = "DOLocationID",
     time_col: str = "tpep_pickup_datetime",
+    drop_invalid: bool = False,
 ) -> DataFrame:
     """Trips to the six delivery columns.
 
@@ -53,7 +54,8 @@ def prepare_deliveries(
     gives both the head and the ids. Coordinates come from the zone lookup
     with its default; rows with a missing coordinate or outside the box
     are dropped; timestamps move to 2025 (``shift_policy`` for 29 Feb);
-    missing timestamps are kept.
+    missing or unparsable timestamps are kept (counted by
+    ``quality.invalid_timestamps``) unless ``drop_invalid``.
     """
     check_row_params(max_rows, sample_rows)
     if order_by == "file_order":
@@ -68,4 +70,5 @@ def prepare_deliveries(
         F.col(time_col).try_cast("timestamp_ntz").alias("timestamp"),
     ).dropna(subset=COORD_COLUMNS)
     out = bbox_filter(out, lat_bounds, lon_bounds)
-    return out.withColumn("timestamp", shift_year("timestamp", shift_policy)).select(*DELIVERY_COLUMNS)
+    out = out.withColumn("timestamp", shift_year("timestamp", shift_policy)).select(*DELIVERY_COLUMNS)
+    return out.filter(F.col("timestamp").isNotNull()) if drop_invalid else out
