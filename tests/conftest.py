@@ -23,6 +23,7 @@ def spark():
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="waybatch-test-ckpt-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="waybatch-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

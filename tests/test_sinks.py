@@ -54,3 +54,14 @@ def test_sample_skipped_when_empty(spark, tmp_dir):
     assert sinks.write_sample_csv(full, f"{tmp_dir}/s", "delivery_id", 2) is True
     back = spark.read.option("header", "true").csv(f"{tmp_dir}/s")
     assert sorted(int(r.delivery_id) for r in back.collect()) == [1, 2]
+
+
+def test_append_to_catalog_table(spark):
+    name = "wb_routes_catalog"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert sinks.append_routes(spark, _routes(spark), name) == 3
+    assert sinks.append_routes(spark, _routes(spark), name, dedupe=True) == 0
+    assert sinks.append_routes(spark, _routes(spark), name) == 3
+    keys = sorted(r.route_key for r in sinks.read_routes(spark, name).collect())
+    assert keys == [1, 2, 3, 4, 5, 6]
+    spark.sql(f"DROP TABLE {name}")

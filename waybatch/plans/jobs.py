@@ -21,7 +21,7 @@ from waybatch.schema import (
     YIELD_RATIO,
 )
 from waybatch.session import scratch_path
-from waybatch.sinks.routes import append_routes, write_delivery_csv, write_sample_csv
+from waybatch.sinks.routes import append_routes, read_routes, write_delivery_csv, write_sample_csv
 from waybatch.sources.files import load_deliveries, typed_deliveries
 
 
@@ -135,8 +135,8 @@ def route_job(
     n = append_routes(spark, routes, target_path, dedupe=dedupe)
     if _appended is not None:
         _appended.append(n)
-    return spark.read.parquet(target_path)
+    return read_routes(spark, target_path)
 
 
 def stored_routes(spark: SparkSession, target_path: str) -> DataFrame:
-    return spark.read.parquet(target_path).orderBy(F.col("route_key"))
+    return read_routes(spark, target_path).orderBy(F.col("route_key"))

@@ -63,14 +63,33 @@ def to_stored(routes: DataFrame) -> DataFrame:
     return r.withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_TEXT_FORMAT))
 
 
-def create_routes_table(spark: SparkSession, path: str) -> None:
-    """Creates an empty table with the fixed schema if none is there."""
-    if not path_exists(spark, path):
-        spark.createDataFrame([], ROUTES_SCHEMA).write.mode("ignore").parquet(path)
+def is_table_name(target: str) -> bool:
+    """A catalog table name (``db.routes``) rather than a folder path."""
+    return "/" not in target and ":" not in target
 
 
-def read_routes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ROUTES_SCHEMA).parquet(path)
+def create_routes_table(spark: SparkSession, target: str) -> None:
+    """Creates an empty route table with the fixed schema if none is there:
+    a Parquet folder, or a catalog table (``USING parquet``)."""
+    empty = spark.createDataFrame([], ROUTES_SCHEMA)
+    if is_table_name(target):
+        if not spark.catalog.tableExists(target):
+            empty.write.format("parquet").mode("ignore").saveAsTable(target)
+    elif not path_exists(spark, target):
+        empty.write.mode("ignore").parquet(target)
+
+
+def read_routes(spark: SparkSession, target: str) -> DataFrame:
+    if is_table_name(target):
+        return spark.table(target).select(*ROUTES_SCHEMA.names)
+    return spark.read.schema(ROUTES_SCHEMA).parquet(target)
+
+
+def _append(df: DataFrame, target: str) -> None:
+    if is_table_name(target):
+        df.write.format("parquet").mode("append").saveAsTable(target)
+    else:
+        df.write.mode("append").parquet(target)
 
 
 def append_routes(
@@ -82,6 +101,7 @@ def append_routes(
     parity: bool = False,
 ) -> int:
     """Appends routes with ``route_key`` continuing above the stored maximum.
+    ``path`` is a folder or a catalog table name.
 
     ``dedupe`` drops rows whose natural key (coordinates, timestamp) is
     already stored (left anti join against the table). ``parity`` stores
@@ -110,5 +130,5 @@ def append_routes(
         *[F.col(c).cast(ROUTES_SCHEMA[c].dataType) for c in ROUTES_SCHEMA.names[2:]],
     )
     if n:
-        out.write.mode("append").parquet(path)
+        _append(out, path)
     return n
