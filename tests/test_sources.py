@@ -64,3 +64,11 @@ def test_scan_trips_prunes_columns(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "fare" not in plan.split("ReadSchema")[1].split("\n")[0]
     assert df.columns[:3] == ["tpep_pickup_datetime", "PULocationID", "DOLocationID"]
+
+
+def test_bom_header(spark, tmp_dir):
+    write_text(f"{tmp_dir}/raw/bom.csv", "﻿" + THREE_ROWS)
+    rep = files.csv_file_report(spark, f"{tmp_dir}/raw").first()
+    assert rep.status == "ok"
+    typed = files.typed_deliveries(files.read_delivery_csv(spark, f"{tmp_dir}/raw"))
+    assert sorted(r.delivery_id for r in typed.collect()) == [1, 2, 3]

@@ -73,7 +73,7 @@ def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> Da
         F.count_if(F.trim(F.col("value")) != F.lit("")).alias("n_nonblank"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
     )
-    names = F.split(F.regexp_replace(F.col("header"), '"', ""), ",")
+    names = F.split(F.regexp_replace(F.col("header"), '^\ufeff|"', ""), ",")
     has_all = reduce(lambda a, b: a & b, [F.array_contains(names, F.lit(c)) for c in required])
     status = (
         F.when(~F.col("utf8"), F.lit("non_utf8"))
@@ -104,7 +104,7 @@ def read_delivery_csv(spark: SparkSession, paths, required=DELIVERY_COLUMNS, rep
         groups.setdefault(r["header"], []).append(r["file_path"])
     frames = []
     for header, files in sorted(groups.items()):
-        names = [n.strip('"') for n in header.split(",")]
+        names = [n.strip('"') for n in header.lstrip("\ufeff").split(",")]
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
         df = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(sorted(files))
         df = with_file_order(df)
