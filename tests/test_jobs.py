@@ -72,3 +72,18 @@ def test_prepare_drop_invalid_option(spark):
     zones = spark.createDataFrame([(1, 40.7, -74.0)], "locationid int, lat double, lon double")
     assert prepare_deliveries(trips, zones, order_by="k").count() == 2
     assert [r.delivery_id for r in prepare_deliveries(trips, zones, order_by="k", drop_invalid=True).collect()] == [1]
+
+
+def test_prepare_in_file_order(spark, tmp_dir):
+    from waybatch.sources.files import scan_trips
+
+    # two Parquet files; ids follow file name then row order, head cuts by it
+    a = [("2024-01-01 10:00:00", 1, 1, 5.0), ("2024-01-01 11:00:00", 1, 1, 6.0)]
+    b = [("2024-01-02 10:00:00", 1, 1, 7.0), ("2024-01-02 11:00:00", 1, 1, 8.0), ("2024-01-02 12:00:00", 1, 1, 9.0)]
+    schema = "tpep_pickup_datetime string, PULocationID int, DOLocationID int, fare double"
+    spark.createDataFrame(b, schema).coalesce(1).write.parquet(f"{tmp_dir}/t/part=1")
+    spark.createDataFrame(a, schema).coalesce(1).write.parquet(f"{tmp_dir}/t/part=0")
+    trips = scan_trips(spark, [f"{tmp_dir}/t/part=0", f"{tmp_dir}/t/part=1"])
+    zones = spark.createDataFrame([(1, 40.7, -74.0)], "locationid int, lat double, lon double")
+    out = prepare_deliveries(trips, zones, max_rows=4, sample_rows=1).orderBy("delivery_id").collect()
+    assert [(r.delivery_id, r.timestamp.day, r.timestamp.hour) for r in out] == [(1, 1, 10), (2, 1, 11), (3, 2, 10), (4, 2, 11)]
