@@ -153,3 +153,20 @@ def test_dedup_scope_all_with_many_copies(spark):
     assert kept == expect
     per_batch = dedup_first(df, order="seq", scope="batch").count()
     assert per_batch == len({(s // 100, d) for d, s in rows})
+
+
+def test_cell_walk_equals_scan_walk(monkeypatch):
+    monkeypatch.setattr(routing, "GRID_WALK_MIN", 2)
+    rng = np.random.default_rng(21)
+    for trial in range(120):
+        m = int(rng.integers(2, 300))
+        if trial % 3 == 0:
+            a = rng.uniform(0, 1000, (4, m))
+        elif trial % 3 == 1:
+            a = np.round(rng.uniform(0, 5, (4, m)))  # many exact ties
+        else:  # clustered pickups, dropoffs far outside them
+            c = rng.uniform(0, 1e5, (4, 2))
+            k = rng.integers(0, 4, m)
+            a = np.round(np.vstack([c[k, 0] + rng.normal(0, 30, m), c[k, 1] + rng.normal(0, 30, m),
+                                    rng.uniform(-1e5, 2e5, m), rng.uniform(-1e5, 2e5, m)]), 3)
+        assert np.array_equal(routing.greedy_order(*a), routing.greedy_order_cells(*a)), trial

@@ -13,6 +13,8 @@ however large or skewed the input is; batches spread over tasks by hash of
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -297,6 +299,89 @@ def walk_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.assign(visit_seq=np.arange(1, len(keep) + 1, dtype=np.int32))
 
 
+# Batches at least this large walk with the cell index below.
+GRID_WALK_MIN = 2000
+
+
+class _PickupCells:
+    """Unvisited pickups in square cells, for exact nearest queries."""
+
+    def __init__(self, rows: np.ndarray, pe: np.ndarray, pn: np.ndarray):
+        self.pe, self.pn = pe, pn
+        x, y = pe[rows], pn[rows]
+        self.x0, self.y0 = float(x.min()), float(y.min())
+        span = max(float(x.max()) - self.x0, float(y.max()) - self.y0, 1e-9)
+        self.g = max(1, int(math.ceil(math.sqrt(len(rows) / 4.0))))
+        self.cell = span / self.g * (1.0 + 1e-12)
+        ix = np.minimum(((x - self.x0) / self.cell).astype(np.int64), self.g - 1)
+        iy = np.minimum(((y - self.y0) / self.cell).astype(np.int64), self.g - 1)
+        cid = ix * self.g + iy
+        order = np.argsort(cid, kind="stable")  # rows stay ascending inside a cell
+        self.members = rows[order]
+        bounds = np.searchsorted(cid[order], np.arange(self.g * self.g + 1))
+        self.start, self.end = bounds[:-1], bounds[1:]
+        self.size = len(rows)
+
+    def nearest(self, qx: float, qy: float, alive: np.ndarray) -> int:
+        """Lowest row among the unvisited pickups nearest to (qx, qy)."""
+        g, cell = self.g, self.cell
+        cx = min(max(int(math.floor((qx - self.x0) / cell)), 0), g - 1)
+        cy = min(max(int(math.floor((qy - self.y0) / cell)), 0), g - 1)
+        best_d, best_row = math.inf, -1
+        r = 0
+        while True:
+            lo_x, hi_x, lo_y, hi_y = cx - r, cx + r, cy - r, cy + r
+            for ix in range(max(lo_x, 0), min(hi_x, g - 1) + 1):
+                edge = ix in (lo_x, hi_x)
+                for iy in (range(max(lo_y, 0), min(hi_y, g - 1) + 1) if edge else (lo_y, hi_y)):
+                    if iy < 0 or iy >= g:
+                        continue
+                    c = ix * g + iy
+                    m = self.members[self.start[c]:self.end[c]]
+                    if not len(m):
+                        continue
+                    m = m[alive[m]]
+                    if not len(m):
+                        continue
+                    dx = self.pe[m] - qx
+                    dy = self.pn[m] - qy
+                    d = np.sqrt(dx * dx + dy * dy)
+                    k = int(np.argmin(d))
+                    dk, rk = float(d[k]), int(m[k])
+                    if dk < best_d or (dk == best_d and rk < best_row):
+                        best_d, best_row = dk, rk
+            covers = lo_x <= 0 and lo_y <= 0 and hi_x >= g - 1 and hi_y >= g - 1
+            # any pickup outside the searched square is at least this far
+            gap = min(qx - (self.x0 + lo_x * cell), self.x0 + (hi_x + 1) * cell - qx,
+                      qy - (self.y0 + lo_y * cell), self.y0 + (hi_y + 1) * cell - qy)
+            if covers or (best_row >= 0 and best_d < gap - 1e-6 * cell):
+                return best_row
+            r += 1
+
+
+def greedy_order_cells(pe, pn, de, dn) -> np.ndarray:
+    """Same order as :func:`greedy_order` for large batches, searching
+    rings of cells around each dropoff instead of every pickup. The index
+    is rebuilt over the unvisited pickups whenever half of them are used."""
+    m = len(pe)
+    if m < GRID_WALK_MIN:
+        return greedy_order(pe, pn, de, dn)
+    order = np.empty(m, dtype=np.int64)
+    alive = np.ones(m, dtype=bool)
+    order[0], alive[0] = 0, False
+    n_alive = m - 1
+    cells = _PickupCells(np.flatnonzero(alive), pe, pn)
+    cur = 0
+    for step in range(1, m):
+        nxt = cells.nearest(float(de[cur]), float(dn[cur]), alive)
+        order[step], alive[nxt] = nxt, False
+        cur = nxt
+        n_alive -= 1
+        if n_alive and n_alive * 2 <= cells.size:
+            cells = _PickupCells(np.flatnonzero(alive), pe, pn)
+    return order
+
+
 def _walk_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
     """Walks every batch of a frame sorted by ``(batch_id, rn)``."""
     bids = pdf["batch_id"].to_numpy()
@@ -306,7 +391,7 @@ def _walk_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
     ids = pdf["delivery_id"].to_numpy()
     keep_parts, seq_parts = [], []
     for a, b in zip(starts, ends):
-        visit = a + greedy_order(pe[a:b], pn[a:b], de[a:b], dn[a:b])
+        visit = a + greedy_order_cells(pe[a:b], pn[a:b], de[a:b], dn[a:b])
         _, first = np.unique(ids[visit], return_index=True)
         kept = visit[np.sort(first)]
         keep_parts.append(kept)
