@@ -27,7 +27,7 @@ from waybatch.plans import fixtures as fx
 from waybatch.plans import jobs
 from waybatch.plans.oracle_sql import build as _build_sql
 from waybatch.schema import DELIVERY_COLUMNS
-from waybatch.session import checkpoint_root, scratch_path
+from waybatch.session import scratch_path
 from waybatch.sinks import routes as sinks
 from waybatch.sources import files
 
@@ -265,4 +265,4 @@ def oracle_sql() -> dict[str, str]:
     return _build_sql()
 
 
-__all__ = ["entry", "queries", "oracle_sql", "checkpoint_root"]
+__all__ = ["entry", "queries", "oracle_sql"]

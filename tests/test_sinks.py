@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from waybatch.operators import routing
 from waybatch.operators.batching import assign_batches
