@@ -13,9 +13,13 @@ then read it back lazily.
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

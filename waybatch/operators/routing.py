@@ -446,6 +446,9 @@ def route_nearest(batched: DataFrame) -> DataFrame:
     partition, and walked by ``mapInPandas`` many batches per Arrow chunk.
     Batches run in parallel; each holds at most ``batch_size`` rows.
     """
+    from waybatch.session import ship_package
+
+    ship_package(batched.sparkSession)
     z = with_projection(batched)
     cols = [f.name for f in _WALK_FIELDS if f.name != "visit_seq"]
     z = z.select(*[F.col(c).cast(WALK_SCHEMA[c].dataType) for c in cols])

@@ -3,8 +3,10 @@ size-checked broadcasts."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,3 +96,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.globStatus(hpath)
     return found is not None and len(found) > 0
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes ``waybatch`` importable by Python workers (pandas functions
+    refer to it by module name), like ``--py-files``: the package is zipped
+    on the driver once per application and handed to ``addPyFile``, which
+    serves it to every executor. Harmless where it is installed already."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import waybatch
+
+    pkg_dir = os.path.dirname(os.path.abspath(waybatch.__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, zip_path = tempfile.mkstemp(prefix="waybatch-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, names in os.walk(pkg_dir):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(sc.applicationId)
