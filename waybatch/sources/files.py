@@ -58,23 +58,37 @@ def _text_lines(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def _pos_col(c: str) -> str:
+    return f"pos_{c}"
+
+
 def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> DataFrame:
     """One row per ``*.csv`` file under ``paths`` (recursive).
 
     ``status``: ``ok``, ``non_utf8``, ``empty`` (blank), ``header_only``,
     ``missing_columns``. Zero-byte files yield no lines and so no row;
     they are skipped all the same. The header is the first line of the
-    file: smallest (split start, row id).
+    file (smallest scan row of its first split). Every aggregate has a
+    fixed-width buffer (counts, flags, and for the header only the
+    position of each required column and the column count), so Spark
+    hash-aggregates the lines in one pass without sorting them.
     """
     lines = _text_lines(spark, paths)
+    in_head = F.col("_wb_block") == F.lit(0)
+    first = F.when(in_head, F.col("_wb_row"))
+    names = F.split(F.regexp_replace(F.col("value"), '^\ufeff|"', ""), ",")
+
+    def head(e):
+        return F.min_by(F.when(in_head, e), first)
+
     per_file = lines.groupBy("file_path", "file_name").agg(
-        F.min_by("value", F.struct("_wb_block", "_wb_row")).alias("header"),
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.trim(F.col("value")) != F.lit("")).alias("n_nonblank"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        head(F.size(names)).alias("n_columns"),
+        *[head(F.array_position(names, F.lit(c)).cast("int")).alias(_pos_col(c)) for c in required],
     )
-    names = F.split(F.regexp_replace(F.col("header"), '^\ufeff|"', ""), ",")
-    has_all = reduce(lambda a, b: a & b, [F.array_contains(names, F.lit(c)) for c in required])
+    has_all = reduce(lambda a, b: a & b, [F.col(_pos_col(c)) > 0 for c in required])
     status = (
         F.when(~F.col("utf8"), F.lit("non_utf8"))
         .when(F.col("n_nonblank") == 0, F.lit("empty"))
@@ -83,30 +97,36 @@ def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> Da
         .otherwise(F.lit("ok"))
     )
     return per_file.select(
-        "file_path", "file_name", "header", "n_lines",
-        F.greatest(F.col("n_nonblank") - F.lit(1), F.lit(0)).alias("n_data_lines"), status.alias("status"),
+        "file_path", "file_name", "n_lines",
+        F.greatest(F.col("n_nonblank") - F.lit(1), F.lit(0)).alias("n_data_lines"),
+        "n_columns", *[_pos_col(c) for c in required], status.alias("status"),
     )
 
 
 def read_delivery_csv(spark: SparkSession, paths, required=DELIVERY_COLUMNS, report: DataFrame | None = None) -> DataFrame:
     """Valid delivery CSV files as text columns plus file-order tags.
 
-    Files are grouped by header; each group is read with its own header as
-    an all-text schema, so files ordering their columns differently line
-    up by name. The report (one row per file) is the only thing collected.
+    Files are grouped by header layout (column count and the position of
+    each required column); each group is read with a matching all-text
+    schema, so files ordering their columns differently line up by name.
+    The report (one row per file) is the only thing collected.
     """
     report = report if report is not None else csv_file_report(spark, paths, required)
-    ok = report.filter(F.col("status") == F.lit("ok")).select("file_path", "header").collect()
+    layout = ["n_columns"] + [_pos_col(c) for c in required]
+    ok = report.filter(F.col("status") == F.lit("ok")).select("file_path", *layout).collect()
     if not ok:
         raise IngestError(f"No valid CSV content found in {_as_list(paths)}")
-    groups: dict[str, list[str]] = {}
+    groups: dict[tuple, list[str]] = {}
     for r in ok:
-        groups.setdefault(r["header"], []).append(r["file_path"])
+        groups.setdefault(tuple(r[c] for c in layout), []).append(r["file_path"])
     frames = []
-    for header, files in sorted(groups.items()):
-        names = [n.strip('"') for n in header.lstrip("\ufeff").split(",")]
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        df = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(sorted(files))
+    for key, group_files in sorted(groups.items()):
+        n_columns, positions = key[0], dict(zip(required, key[1:]))
+        by_pos = {p: c for c, p in positions.items()}
+        schema = T.StructType(
+            [T.StructField(by_pos.get(i, f"_wb_other_{i}"), T.StringType(), True) for i in range(1, n_columns + 1)]
+        )
+        df = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(sorted(group_files))
         df = with_file_order(df)
         frames.append(df.select(*required, "_wb_file", "_wb_block", "_wb_row"))
     return reduce(lambda a, b: a.unionByName(b), frames)
