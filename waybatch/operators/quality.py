@@ -104,7 +104,11 @@ def quality_report(df: DataFrame, source_col: str | None = None) -> DataFrame:
         .groupBy(SOURCE)
         .agg(F.count(F.lit(1)).alias("_dup"))
     )
-    joined = per_source.join(dup, SOURCE, "left")
+    # one row per source; a union and a small aggregate, no join
+    cols = [c for c in per_source.columns if c != SOURCE]
+    joined = per_source.unionByName(dup, allowMissingColumns=True).groupBy(SOURCE).agg(
+        *[F.max(c).alias(c) for c in cols + ["_dup"]]
+    )
     entries = [
         F.struct(F.lit("empty").alias("rule"), F.lit(None).cast("string").alias("column"),
                  (F.col("_n") == 0).cast("long").alias("n_bad")),

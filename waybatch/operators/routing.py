@@ -116,7 +116,12 @@ def delivery_edges(batched: DataFrame) -> DataFrame:
 
 
 def _best(candidates: DataFrame) -> DataFrame:
-    """Arg-min per pickup: smallest distance, then smallest dropoff row."""
+    """Arg-min per pickup: smallest distance, then smallest dropoff row.
+
+    ``min(struct)`` runs as a sort-based aggregate; each group is one
+    pickup's candidates (at most ``batch_size``). Measured against a
+    ``row_number`` window and against two fixed-width hash aggregates
+    joined back, it was the fastest of the three exact forms."""
     dist = planar_distance("pe", "pn", "de", "dn")
     best = candidates.groupBy("batch_id", "src_rn").agg(
         F.min(F.struct(dist.alias("dist"), F.col("dst_rn"))).alias("_wb_best")

@@ -68,11 +68,8 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deliveries_times(spark: SparkSession, sf_dir: str, copies: int) -> DataFrame:
     """``copies`` shifted copies of the deliveries (bench scale-up); key
     ``delivery_id * copies + k``."""
-    d = deliveries(spark, sf_dir)
-    k = spark.range(copies).select(F.col("id").alias("_k"))
-    return d.crossJoin(F.broadcast(k)).withColumn(
-        "delivery_id", F.col("delivery_id") * F.lit(copies) + F.col("_k")
-    ).drop("_k")
+    d = deliveries(spark, sf_dir).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return d.withColumn("delivery_id", F.col("delivery_id") * F.lit(copies) + F.col("_k")).drop("_k")
 
 
 def deliveries_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,13 +98,11 @@ def zone_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One closed trapezoid per nation, UTM 18N metres."""
     n = F.col("n_nationkey")
     s = F.col("seq")
-    seqs = spark.range(5).select(F.col("id").cast("int").alias("seq"))
     x = F.lit(560000) + F.lit(1500) * n + F.when(s == 1, F.lit(1000)).when(s == 2, F.lit(500)).otherwise(F.lit(0))
     y = F.lit(4490000) + F.lit(900) * n + F.when(s.isin(2, 3), F.lit(1000)).otherwise(F.lit(0))
     return (
         table(spark, sf_dir, "nation")
-        .select("n_nationkey")
-        .crossJoin(F.broadcast(seqs))
+        .select("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("seq"))
         .select(
             n.cast("int").alias("zone_id"), F.lit(0).alias("ring"), s,
             x.cast("double").alias("x"), y.cast("double").alias("y"),
