@@ -64,3 +64,15 @@ def test_append_to_catalog_table(spark):
     keys = sorted(r.route_key for r in sinks.read_routes(spark, name).collect())
     assert keys == [1, 2, 3, 4, 5, 6]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_append_key_with_short_batches(spark, tmp_dir):
+    rows = [(i, 40.7 + k / 100, -74.0, 40.7, -74.0, None) for k, i in enumerate([1, 1, 2, 3, 4, 5, 6])]
+    d = spark.createDataFrame([(k,) + r for k, r in enumerate(rows)],
+                              "k long, delivery_id long, pickup_lat double, pickup_lon double, "
+                              "dropoff_lat double, dropoff_lon double, timestamp timestamp_ntz")
+    routes = routing.route_input_order(assign_batches(d, "k", 2))  # batch 0 keeps one row
+    path = f"{tmp_dir}/routes"
+    assert sinks.append_routes(spark, routes, path) == 6
+    got = sorted((r.route_key, r.delivery_id) for r in sinks.read_routes(spark, path).collect())
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6)]

@@ -122,7 +122,17 @@ def append_routes(
     # run the route plan once into the shared checkpoint folder.
     checkpoint_root(spark)
     stored = stored.checkpoint()
-    keyed, n = with_sequence(stored, list(order_by), name="route_key", start=base + 1)
+    if tuple(order_by) == ("batch_id", "visit_seq"):
+        # one numeric key in the same order; dense when batches are full,
+        # and then the key needs no shuffle at all
+        m = stored.agg(F.max("visit_seq")).first()[0] or 1
+        stored = stored.withColumn(
+            "_wb_order", F.col("batch_id").cast("long") * F.lit(int(m)) + F.col("visit_seq").cast("long") - F.lit(1)
+        )
+        keyed, n = with_sequence(stored, "_wb_order", name="route_key", start=base + 1)
+        keyed = keyed.drop("_wb_order")
+    else:
+        keyed, n = with_sequence(stored, list(order_by), name="route_key", start=base + 1)
     delivery_id = F.lit(None).cast("long") if parity else F.col("delivery_id").cast("long")
     out = keyed.select(
         F.col("route_key"),
