@@ -98,3 +98,13 @@ def test_string_key(spark):
     out, n = sequence.with_sequence(df, "k")
     got = [r.k for r in out.orderBy("seq").collect()]
     assert got == sorted(got) and n == 500
+
+
+def test_head_paths_agree_on_fixture(spark):
+    from conftest import SF_TINY
+    from waybatch.plans import fixtures as fx
+
+    trips = fx.trips(spark, SF_TINY)
+    a = sorted(tuple(r) for r in sequence.head_rows(trips, "trip_id", 700).collect())
+    b = sorted(tuple(r) for r in sequence.head_rows(trips, "trip_id", 700, small_limit=0).collect())
+    assert a == b and len(a) == 700
