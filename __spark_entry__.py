@@ -206,6 +206,19 @@ def q_batch_count(spark, sf):
         F.floor((n + F.lit(BATCH - 1)) / F.lit(BATCH)).cast("long").alias("n_batches"))
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, where they are installed."""
+    try:
+        import corpus_pipeline
+        from waybatch.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "waybatch.llm"):
+            raise
+        return {}, {}
+    sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return llm.queries() | {"pipeline": corpus_pipeline.run}, llm.oracle_sql() | sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     stops = lambda s, sf: routing.stops(_batched(s, sf))
     return {
@@ -262,11 +275,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "optimize_routes": lambda s, sf: routing.optimize_routes(
             fx.deliveries_far_dup(s, sf), order_by="row_no", batch_size=BATCH, mode="input_order"),
         "ingest_route_store": q_ingest_route_store,
+        **_training_data()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return _build_sql()
+    return _build_sql() | _training_data()[1]
 
 
 __all__ = ["entry", "queries", "oracle_sql"]
