@@ -10,9 +10,9 @@ whole stretches are skipped by size, by position, and by set relations:
    with sets that those do not already tie to it, so that a group of near
    copies costs a pair a member, not a pair a pair. These pairs are verified
    on the whole sets.
-3. What the verified links imply is not computed again: a list whose sets are
-   all of one class is dropped, and of the rest only sets of different classes
-   are compared, now each with each.
+3. A list all of whose pairs are verified has nothing left: what was skipped
+   is implied by links. In a list with a pair that failed, sets that the links
+   don't tie are compared again, now each with each.
 
 "Open" is what size, position and parity leave open: parities of two sets
 bound the number of differing elements exactly from below.
@@ -144,11 +144,12 @@ def _parity(g: np.ndarray, bits: int) -> bytes:
 
 
 def _bits(n: int) -> int:
-    return min(MAX_BITS, max(64, 1 << int(2 * n - 1).bit_length()))
+    return min(MAX_BITS, max(64, 1 << int(n - 1).bit_length()))
 
 
 def _index(words: int, percent: int, levels):
-    """Index entries ``(token, node, n, place)``; place 0 has the set's parity."""
+    """Index entries ``(token, node, at)``, ``at`` being set size and place in
+    one number; place 0 has the set's parity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for b in steps(batches, "text"):
@@ -167,9 +168,8 @@ def _index(words: int, percent: int, levels):
             for i in heads:
                 parities[i] = _parity(g[edges[d[i]]:edges[d[i] + 1]], _bits(int(n[d[i]])))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token.view(np.int64)), pa.array(ids[d], pa.int64()), pa.array(n[d].astype(np.int32)),
-                 pa.array(place.astype(np.int32)), pa.array(parities, pa.binary())],
-                ["token", "node", "n", "place", "parity"])
+                [pa.array(token.view(np.int64)), pa.array(ids[d], pa.int64()), pa.array(n[d] << 32 | place), pa.array(parities, pa.binary())],
+                ["token", "node", "at", "parity"])
     return run
 
 
@@ -213,7 +213,7 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of key-sorted lists: the entries of lists with two sets or more."""
-    names = ["token", "n", "node", "place"]
+    names = ["token", "at", "node"]
     for c in _whole_groups(batches, names):
         starts, ends = _runs(c["token"])
         keep = np.repeat(ends - starts > 1, ends - starts)
@@ -254,7 +254,7 @@ def _open(c: dict[str, np.ndarray], at: slice, percent: int, sparse: bool) -> It
     size, position and parity leave a link open. Sets of one class are
     skipped; if ``sparse``, also what is implied once the open pairs given so
     far are taken as links."""
-    n, place, side = c["n"][at].astype(np.int64), c["place"][at], c["side"][at]
+    n, place, side = c["at"][at] >> 32, c["at"][at] & 0xFFFFFFFF, c["side"][at]
     known = c["component"][at].copy()
     parity = _fold(c["parity"][at].tolist(), min(len(x) for x in c["parity"][at]))
     two_sided = (side != side[0]).any()
@@ -280,40 +280,42 @@ def _open(c: dict[str, np.ndarray], at: slice, percent: int, sparse: bool) -> It
 def _across(percent: int, sparse: bool):
     """Candidate pairs of key-sorted lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _whole_groups(batches, ["cell", "n", "node", "place", "component", "side", "parity"]):
+        for c in _whole_groups(batches, ["cell", "at", "node", "component", "side", "parity"]):
             found = []
             for s, e in zip(*_runs(c["cell"]), strict=True):
                 if (c["component"][s:e] != c["component"][s]).any():
                     node = c["node"][s:e]
-                    found += [(np.full(len(j), node[i]), node[j]) for i, j in _open(c, slice(s, e), percent, sparse)]
+                    found += [(np.full(len(j), c["cell"][s]), np.full(len(j), node[i]), node[j]) for i, j in _open(c, slice(s, e), percent, sparse)]
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+                cell, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["cell", "a", "b"])
     return run
 
 
-def _candidates(spark: SparkSession, lists: DataFrame, parities: DataFrame, percent: int, sparse: bool) -> DataFrame:
-    """Pairs to verify, from lists ``(token, size, n, node, place, component)``.
+def _cells(lists: DataFrame) -> DataFrame:
+    """Lists ``(token, size, at, node)`` as cells whose sets one task compares.
     A list of up to ``BLOCK`` sets is one cell. A longer one is cut into
     blocks, and each pair of blocks is a cell of its own."""
-    whole = lists.filter(F.col("size") <= BLOCK).select(
-        F.struct("token", F.lit(0).alias("i"), F.lit(0).alias("j")).alias("at"), F.lit(0).alias("side"), "n", "node", "place", "component")
+    whole = lists.filter(F.col("size") <= BLOCK).select(F.xxhash64("token").alias("cell"), F.lit(0).alias("side"), "at", "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (lists.filter(F.col("size") > BLOCK)
              .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))))
-    dealt = dealt.select(
-        F.struct("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("at"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "n", "node", "place", "component")
-    cells = (whole.union(dealt).join(parities, "node")
-             .select(F.xxhash64("at").alias("cell"), "n", "node", "place", "component", "side", "parity")
-             .repartition("cell").sortWithinPartitions("cell", "n", "node"))
-    return table(spark, cells.mapInArrow(_across(percent, sparse), "a long, b long").distinct(), "jaccard-pairs")
+    return whole.union(dealt.select(
+        F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "at", "node"))
+
+
+def _candidates(spark: SparkSession, cells: DataFrame, parities: DataFrame, percent: int, sparse: bool) -> DataFrame:
+    """``(cell, a, b)``: pairs to verify, from cells with components."""
+    cells = (cells.join(parities, "node").select("cell", "at", "node", "component", "side", "parity")
+             .repartition("cell").sortWithinPartitions("cell", "at", "node"))
+    return table(spark, cells.mapInArrow(_across(percent, sparse), "cell long, a long, b long"), "jaccard-pairs")
 
 
 def _verify(spark: SparkSession, reps: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the candidate pairs that are linked, on the whole sets."""
+    pairs = pairs.select("a", "b").distinct()
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = table(spark, reps.join(small(ids), "doc_id", "left_semi").mapInArrow(_arrays(words), "node long, elements binary"), "jaccard-elements")
     a = sets.select(F.col("node").alias("a"), F.col("elements").alias("xa"))
@@ -345,21 +347,19 @@ def link_classes(spark: SparkSession, docs: DataFrame, words: int = 5, percent:
     reps = docs.filter("doc_id is not null").join(small(spare), "doc_id", "left_anti")
 
     levels = spark.sparkContext.broadcast(element_levels(reps, words))
-    entries = table(spark, reps.mapInArrow(_index(words, percent, levels), "token long, node long, n int, place int, parity binary"), "jaccard-index")
-    parities = entries.filter("place = 0").select("node", "parity")
-    lists = entries.select("token", "n", "node", "place").repartition("token").sortWithinPartitions("token", "n", "node")
-    lists = table(spark, lists.mapInArrow(_listed, "token long, n int, node long, place int"), "jaccard-lists")
-    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
-    links = _verify(spark, reps, _candidates(
-        spark, lists.join(sizes, "token").withColumn("component", F.col("node")), parities, percent, True), words, percent)
-
-    # What is left: sets of different classes in one list.
-    placed = lists.join(connected_components(spark, links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = table(spark, placed, "jaccard-placed")
-    mixed = (placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-             .filter("lo < hi").select("token", "size"))
-    rest = _candidates(spark, placed.join(mixed, "token"), parities, percent, False).join(links, ["a", "b"], "left_anti")
-    links = links.union(_verify(spark, reps, rest, words, percent))
+    entries = table(spark, reps.mapInArrow(_index(words, percent, levels), "token long, node long, at long, parity binary"), "jaccard-index")
+    parities = entries.filter("parity is not null").select("node", "parity")
+    lists = entries.select("token", "at", "node").repartition("token").sortWithinPartitions("token", "at", "node")
+    lists = table(spark, lists.mapInArrow(_listed, "token long, at long, node long"), "jaccard-lists")
+    cells = _cells(lists.join(lists.groupBy("token").agg(F.count(F.lit(1)).alias("size")), "token"))
+    pairs = _candidates(spark, cells.withColumn("component", F.col("node")), parities, percent, True)
+    links = _verify(spark, reps, pairs, words, percent)
+
+    # Where a pair taken as a link was none, what it seemed to imply is open still.
+    open_cells = table(spark, pairs.join(links, ["a", "b"], "left_anti").select("cell").distinct(), "jaccard-cells")
+    cells = cells.join(small(open_cells), "cell", "left_semi").join(connected_components(spark, links), "node", "left")
+    rest = _candidates(spark, cells.withColumn("component", F.coalesce("component", "node")), parities, percent, False)
+    links = links.union(_verify(spark, reps, rest.join(links, ["a", "b"], "left_anti"), words, percent))
     found = connected_components(spark, copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).union(links))
     return slim.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

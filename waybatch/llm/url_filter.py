@@ -57,7 +57,7 @@ def _address(key: str, n_blocks: int) -> list[Column]:
     """Block number and, for each of its words, a mask of two bits."""
     h = F.xxhash64(F.lit("bits"), key)
     one = F.lit(1).cast("long")
-    bit = [F.shiftleft(one, F.pmod(F.shiftrightunsigned(h, 6 * i), F.lit(64)).cast("int")) for i in range(2 * BLOCK_WORDS)]
+    bit = [F.call_function("shiftleft", one, F.pmod(F.shiftrightunsigned(h, 6 * i), F.lit(64)).cast("int")) for i in range(2 * BLOCK_WORDS)]
     return [F.pmod(F.xxhash64(key), F.lit(n_blocks)).alias("block"),
             *(bit[2 * w].bitwiseOR(bit[2 * w + 1]).alias(f"m{w}") for w in range(BLOCK_WORDS))]
 
