@@ -87,8 +87,10 @@ def _kernel(model: Model, present: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[str, np.ndarray]]) -> Model:
-    """Fits on ``(language, distinct n-gram hashes)``."""
+    """Fits on ``(language, distinct n-gram hashes)``; with none, everything is ``und``."""
     langs = sorted({lang for lang, _ in rows})
+    if not langs:
+        return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
     rows = sorted(rows, key=lambda r: (len(r[1]) < 200, r[0], r[1].tobytes()[:64]))
     by_lang = {lang: [r for r in rows if r[0] == lang] for lang in langs}
     every, n = np.unique(np.concatenate([*(g for _, g in rows), np.zeros(0, np.uint64)]), return_counts=True)
