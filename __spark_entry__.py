@@ -76,10 +76,31 @@ def q_csv_roundtrip(spark, sf):
 def q_source_fallback(spark, sf):
     root = scratch_path(spark, "source-fallback")
     sinks.write_delivery_csv(fx.deliveries(spark, sf), f"{root}/raw")
-    text = files.load_deliveries(spark, f"{root}/raw", sample_path=f"{root}/raw/sample_deliveries.csv")
+    text = files.load_deliveries(spark, f"{root}/raw", sample_path=f"{root}/raw/sample_deliveries.csv", source="auto")
     return _delivery_cols(files.typed_deliveries(text))
 
 
+def q_source_full_with_sample(spark, sf):
+    root = scratch_path(spark, "source-full")
+    d = fx.deliveries(spark, sf)
+    sinks.write_delivery_csv(d, f"{root}/raw")
+    sinks.write_sample_csv(d, f"{root}/sample", "delivery_id", 10)
+    text = files.load_deliveries(spark, f"{root}/raw", sample_path=f"{root}/sample")
+    return _delivery_cols(files.typed_deliveries(text))
+
+
+def q_trips_scan(spark, sf):
+    path = scratch_path(spark, "trips")
+    trips = fx.trips(spark, sf)
+    trips.withColumn("fare", F.lit(1.0)).write.parquet(path)
+    return files.scan_trips(spark, path, columns=trips.columns, file_order=False)
+
+
+def _keyed(spark, sf, *keys):
+    o = fx.table(spark, sf, "orders").select(*keys)
+    return sequence.with_sequence(o, o.columns)[0]
+
+
 def q_sample_csv(spark, sf):
     path = scratch_path(spark, "sample-csv")
     sinks.write_sample_csv(fx.deliveries(spark, sf), path, "delivery_id", 10_000)
@@ -103,6 +124,9 @@ def q_csv_file_report(spark, sf):
                      F.col("pickup_lon").alias("lon"), F.col("timestamp").alias("time"))
     wrong.write.option("header", "true").csv(f"{root}/wrong_columns")
     sinks.write_delivery_csv(d.filter(F.lit(False)), f"{root}/header_only")
+    # one field more than the header has: lines as a single column, with another separator
+    lines = F.concat_ws(",", *[F.col(c).cast("string") for c in DELIVERY_COLUMNS], F.lit("extra"))
+    d.select(lines.alias(",".join(DELIVERY_COLUMNS))).write.option("header", "true").option("sep", "|").csv(f"{root}/malformed")
     rep = files.csv_file_report(spark, root)
     source = F.element_at(F.split(F.col("file_path"), "/"), -2)
     return rep.groupBy(source.alias("source"), "status").agg(
@@ -222,12 +246,13 @@ def _training_data() -> tuple[dict, dict]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     stops = lambda s, sf: routing.stops(_batched(s, sf))
     return {
-        "trips_scan": lambda s, sf: fx.trips(s, sf),
+        "trips_scan": q_trips_scan,
         "zone_centroid": lambda s, sf: lookup.zone_centroid(fx.zone_vertices(s, sf)),
         "zone_centroid_wgs84": q_zone_centroid_wgs84,
         "csv_file_report": q_csv_file_report,
         "csv_roundtrip": q_csv_roundtrip,
         "source_fallback": q_source_fallback,
+        "source_full_with_sample": q_source_full_with_sample,
         "sql_view": q_sql_view,
         "routes_readback": q_routes_readback,
         "sample_csv": q_sample_csv,
@@ -235,7 +260,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "routes_append_key": q_routes_append_key,
         "routes_append_dedup": q_routes_append_dedup,
         "prepare_deliveries": q_prepare,
-        "yield_check": lambda s, sf: quality.yield_check(q_prepare(s, sf), 1_000_000),
+        "yield_check": lambda s, sf: quality.yield_check(q_prepare(s, sf), fx.trips(s, sf).count()),
         "zone_lookup": q_zone_lookup,
         "bbox_filter": lambda s, sf: bbox_filter(q_zone_lookup(s, sf)),
         "unknown_zones": lambda s, sf: lookup.unknown_zones(fx.trips(s, sf), fx.zones(s, sf), "pulocationid", "dolocationid"),
@@ -259,6 +284,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "batch_id", "rn", "delivery_id", "row_no"),
         "batch_metrics": lambda s, sf: batching.batch_metrics(_batched(s, sf, fx.deliveries_dup, "row_no")),
         "sequence_ids": lambda s, sf: sequence.with_sequence(fx.trips(s, sf), "trip_id")[0].select("trip_id", "seq"),
+        "sequence_sparse": lambda s, sf: _keyed(s, sf, (F.col("o_orderkey") * 7).alias("k")),
+        "sequence_composite": lambda s, sf: _keyed(s, sf, "o_custkey", "o_orderkey"),
         "batch_assign": lambda s, sf: _batched(s, sf).select("delivery_id", "seq", "batch_id", "rn"),
         "batch_crs": lambda s, sf: batching.batch_crs(_batched(s, sf)),
         "head_rows": lambda s, sf: sequence.head_rows(fx.trips(s, sf), "trip_id", 10_000),

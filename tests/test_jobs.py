@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import THREE_ROWS, write_text
 from waybatch.operators.prepare import check_row_params, prepare_deliveries
@@ -8,13 +9,6 @@ from waybatch.operators.quality import QualityError
 from waybatch.plans import jobs
 
 
-def test_inline_sample_job(spark, tmp_dir):
-    out = jobs.route_job(spark, f"{tmp_dir}/routes", use_inline_sample=True, batch_size=10)
-    rows = out.orderBy("route_key").collect()
-    assert [r.delivery_id for r in rows][0] == 10001 and len(rows) == 5
-    assert all(r.geometry.startswith("POINT (") for r in rows)
-
-
 def test_csv_job_two_files(spark, tmp_dir):
     write_text(f"{tmp_dir}/raw/a.csv", THREE_ROWS.split("\n")[0] + "\n" + THREE_ROWS.split("\n")[1] + "\n")
     write_text(f"{tmp_dir}/raw/b.csv", THREE_ROWS.split("\n")[0] + "\n" + THREE_ROWS.split("\n")[2] + "\n")
@@ -23,7 +17,7 @@ def test_csv_job_two_files(spark, tmp_dir):
 
 
 def test_csv_job_rejects_bad_values(spark, tmp_dir):
-    write_text(f"{tmp_dir}/raw/a.csv", THREE_ROWS.replace("40.7130", "invalid"))
+    write_text(f"{tmp_dir}/raw/a.csv", THREE_ROWS.replace("40.7517", "invalid"))
     with pytest.raises(QualityError, match="must be numeric"):
         jobs.route_job(spark, f"{tmp_dir}/routes", full_path=f"{tmp_dir}/raw", batch_size=10)
 
@@ -87,3 +81,19 @@ def test_prepare_in_file_order(spark, tmp_dir):
     zones = spark.createDataFrame([(1, 40.7, -74.0)], "locationid int, lat double, lon double")
     out = prepare_deliveries(trips, zones, max_rows=4, sample_rows=1).orderBy("delivery_id").collect()
     assert [(r.delivery_id, r.timestamp.day, r.timestamp.hour) for r in out] == [(1, 1, 10), (2, 1, 11), (3, 2, 10), (4, 2, 11)]
+
+
+def test_all_trips_unless_a_cap_is_asked_for(spark):
+    trips = spark.range(1500).select(
+        F.col("id").alias("k"), F.lit("2024-05-01 08:00:00").alias("tpep_pickup_datetime"), F.lit(1).alias("PULocationID"), F.lit(1).alias("DOLocationID"))
+    zones = spark.createDataFrame([(1, 40.7, -74.0)], "locationid int, lat double, lon double")
+    assert prepare_deliveries(trips, zones, order_by="k").count() == 1500
+    assert prepare_deliveries(trips, zones, order_by="k", max_rows=100).count() == 100
+
+
+def test_full_set_is_read_though_a_sample_lies_beside_it(spark, tmp_dir):
+    write_text(f"{tmp_dir}/raw/a.csv", THREE_ROWS)
+    write_text(f"{tmp_dir}/sample.csv", "\n".join(THREE_ROWS.split("\n")[:2]) + "\n")
+    args = dict(full_path=f"{tmp_dir}/raw", sample_path=f"{tmp_dir}/sample.csv", batch_size=10)
+    assert jobs.route_job(spark, f"{tmp_dir}/r1", **args).count() == 3
+    assert jobs.route_job(spark, f"{tmp_dir}/r2", source="auto", **args).count() == 1

@@ -33,8 +33,9 @@ def duck():
 
 
 import __spark_entry__ as entry  # noqa: E402
+from waybatch.plans.oracle_sql import build  # noqa: E402
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(build())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_TINY), reason="driver tables missing")

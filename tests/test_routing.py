@@ -168,3 +168,14 @@ def test_cell_walk_equals_scan_walk(monkeypatch):
             a = np.round(np.vstack([c[k, 0] + rng.normal(0, 30, m), c[k, 1] + rng.normal(0, 30, m),
                                     rng.uniform(-1e5, 2e5, m), rng.uniform(-1e5, 2e5, m)]), 3)
         assert np.array_equal(routing.greedy_order(*a), routing.greedy_order_cells(*a)), trial
+
+
+def test_rows_without_a_place_come_last_at_any_batch_size(spark):
+    rng = np.random.default_rng(3)
+    for n in (100, 3000):
+        c = rng.random((4, n))
+        c[0, n // 2] = np.nan
+        c[3, 0] = np.nan
+        order = routing.greedy_order_cells(*c)
+        assert sorted(order.tolist()) == list(range(n))
+        assert order.tolist()[-2:] == [0, n // 2]

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import HEADER, write_text
@@ -108,3 +110,19 @@ def test_head_paths_agree_on_fixture(spark):
     a = sorted(tuple(r) for r in sequence.head_rows(trips, "trip_id", 700).collect())
     b = sorted(tuple(r) for r in sequence.head_rows(trips, "trip_id", 700, small_limit=0).collect())
     assert a == b and len(a) == 700
+
+
+def test_repeated_keys_raise_and_null_and_nan_have_places(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        sequence.with_sequence(spark.createDataFrame([(1,), (1,), (3,)], "k long"), "k")
+    df = spark.createDataFrame([(float("nan"),), (None,), (2.5,), (-1.0,), (float("inf"),)], "k double")
+    out, n = sequence.with_sequence(df, "k", num_buckets=3)
+    got = [r.k for r in out.orderBy("seq").collect()]
+    assert n == 5 and got[0] is None and got[1:4] == [-1.0, 2.5, float("inf")] and got[4] != got[4]
+
+
+def test_sparse_keys_are_dealt_evenly(spark):
+    df = spark.range(80_000).select((F.col("id") * 7).alias("k"))
+    out, _ = sequence.with_sequence(df, "k", num_buckets=8)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) <= 1.5 * sum(sizes) / len(sizes) and len(sizes) == 8

@@ -72,3 +72,12 @@ def test_bom_header(spark, tmp_dir):
     assert rep.status == "ok"
     typed = files.typed_deliveries(files.read_delivery_csv(spark, f"{tmp_dir}/raw"))
     assert sorted(r.delivery_id for r in typed.collect()) == [1, 2, 3]
+
+
+def test_malformed_rows_are_reported_and_their_file_skipped(spark, tmp_dir):
+    write_text(f"{tmp_dir}/more.csv", HEADER + "1,40.7,-74.0,40.7,-74.0,2025-01-01 00:00:00,x\n")
+    write_text(f"{tmp_dir}/fewer.csv", HEADER + "2,40.7,-74.0\n")
+    write_text(f"{tmp_dir}/quoted.csv", HEADER + '3,40.7,-74.0,40.7,-74.0,"2025-01-01, noon"\n')
+    got = {r.file_name: r.status for r in files.csv_file_report(spark, tmp_dir).collect()}
+    assert got == {"more.csv": "malformed", "fewer.csv": "ok", "quoted.csv": "ok"}
+    assert sorted(r.delivery_id for r in files.read_delivery_csv(spark, tmp_dir).collect()) == ["2", "3"]

@@ -12,17 +12,16 @@ from waybatch.schema import (
     COORD_COLUMNS,
     DEFAULT_LAT_BOUNDS,
     DEFAULT_LON_BOUNDS,
-    DEFAULT_MAX_ROWS,
-    DEFAULT_SAMPLE_ROWS,
     DELIVERY_COLUMNS,
 )
 
 
-def check_row_params(max_rows: int, sample_rows: int) -> None:
-    if sample_rows > max_rows:
-        raise ValueError(f"sample_rows ({sample_rows}) cannot exceed max_rows ({max_rows})")
-    if max_rows < 0 or sample_rows < 0:
-        raise ValueError("max_rows and sample_rows must be >= 0")
+def check_row_params(max_rows: int | None, sample_rows: int) -> None:
+    """``max_rows`` is a cap that the caller asks for; ``None`` means all rows."""
+    if sample_rows < 0 or (max_rows is not None and max_rows < 0):
+        raise ValueError("row numbers must not be negative")
+    if max_rows is not None and sample_rows > max_rows:
+        raise ValueError(f"a sample of {sample_rows} rows cannot exceed the cap of {max_rows} rows")
 
 
 def bbox_filter(df: DataFrame, lat_bounds=DEFAULT_LAT_BOUNDS, lon_bounds=DEFAULT_LON_BOUNDS) -> DataFrame:
@@ -37,8 +36,8 @@ def prepare_deliveries(
     trips: DataFrame,
     zones: DataFrame,
     order_by="file_order",
-    max_rows: int = DEFAULT_MAX_ROWS,
-    sample_rows: int = DEFAULT_SAMPLE_ROWS,
+    max_rows: int | None = None,
+    sample_rows: int = 0,
     lat_bounds=DEFAULT_LAT_BOUNDS,
     lon_bounds=DEFAULT_LON_BOUNDS,
     shift_policy: str = "clamp",
@@ -49,8 +48,8 @@ def prepare_deliveries(
 ) -> DataFrame:
     """Trips to the six delivery columns.
 
-    The first ``max_rows`` trips (in ``order_by`` order, or file order) get
-    ids 1..n before any filter, so filtered rows leave gaps. One sequence
+    All trips, or the first ``max_rows`` if given, get ids 1..n in ``order_by``
+    order (or file order) before any filter, so filtered rows leave gaps. One sequence
     gives both the head and the ids. Coordinates come from the zone lookup
     with its default; rows with a missing coordinate or outside the box
     are dropped; timestamps move to 2025 (``shift_policy`` for 29 Feb);
@@ -62,7 +61,7 @@ def prepare_deliveries(
         seq = with_file_order_sequence(trips, name="delivery_id")
     else:
         seq, _ = with_sequence(trips, order_by, name="delivery_id")
-    head = seq.filter(F.col("delivery_id") <= F.lit(max_rows))
+    head = seq if max_rows is None else seq.filter(F.col("delivery_id") <= F.lit(max_rows))
     looked = zone_lookup(head, zones, pickup_col, dropoff_col)
     out = looked.select(
         "delivery_id",

@@ -126,20 +126,16 @@ def quality_report(df: DataFrame, source_col: str | None = None) -> DataFrame:
 
 def raise_on_failure(report: DataFrame) -> None:
     """Raises :class:`QualityError` for the first failing rule, in the
-    studied order (per source in name order). The report is one row per
-    (source, rule), so collecting it is bounded by the file count."""
-    rows = report.filter(~F.col("passed")).collect()
-    if not rows:
-        return
-    rank = {k: i for i, k in enumerate(RULE_ORDER)}
-
-    def key(r):
-        name = r["rule"] if r["rule"] in ("empty", "required_columns", "duplicate_id") else f"{r['rule']}:{r['column']}"
-        return (r["source"] or "", rank.get(name, len(rank)))
-
-    first = sorted(rows, key=key)[0]
-    msg = _MESSAGES[first["rule"]].format(column=first["column"], expected=DELIVERY_COLUMNS)
-    raise QualityError(f"{msg} ({first['source']}: {first['n_bad']} rows)")
+    studied order (per source in name order). Only that row reaches the
+    driver."""
+    named = F.when(F.col("rule").isin("empty", "required_columns", "duplicate_id"), F.col("rule")).otherwise(
+        F.concat_ws(":", "rule", "column"))
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(k) for k in RULE_ORDER]), named), F.lit(0))
+    failed = report.filter(~F.col("passed")).select("*", F.when(rank == 0, len(RULE_ORDER) + 1).otherwise(rank).alias("rank"))
+    first = failed.orderBy(F.coalesce("source", F.lit("")), "rank").limit(1).collect()
+    if first:
+        msg = _MESSAGES[first[0]["rule"]].format(column=first[0]["column"], expected=DELIVERY_COLUMNS)
+        raise QualityError(f"{msg} ({first[0]['source']}: {first[0]['n_bad']} rows)")
 
 
 def duplicate_ids(df: DataFrame, source_col: str | None = None, key: str = "delivery_id") -> DataFrame:

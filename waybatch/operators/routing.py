@@ -368,6 +368,10 @@ def greedy_order_cells(pe, pn, de, dn) -> np.ndarray:
     """Same order as :func:`greedy_order` for large batches, searching
     rings of cells around each dropoff instead of every pickup. The index
     is rebuilt over the unvisited pickups whenever half of them are used."""
+    placed = np.isfinite(pe) & np.isfinite(pn) & np.isfinite(de) & np.isfinite(dn)
+    if not placed.all():  # at any batch size: rows without a place come last, in row order
+        at = np.flatnonzero(placed)
+        return np.concatenate([at[greedy_order_cells(pe[at], pn[at], de[at], dn[at])], np.flatnonzero(~placed)])
     m = len(pe)
     if m < GRID_WALK_MIN:
         return greedy_order(pe, pn, de, dn)

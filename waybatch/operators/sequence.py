@@ -3,11 +3,10 @@ into one task.
 
 Two forms:
 
-* ``with_sequence`` orders by explicit columns. The first column (numeric)
-  is cut into ranges at approximate quantiles; a range id is a pure
-  function of the key, so recomputing a lost task gives the same answer.
-  Rows are counted per range (a handful of numbers reach the driver), the
-  counts are prefix-summed, and rows are numbered inside their range.
+* ``with_sequence`` orders by explicit columns with a unique key. Rows are
+  range-partitioned by the key and sorted in their range; rows are counted
+  per range (a handful of numbers reach the driver), and the counts are
+  prefix-summed.
 * ``with_file_order_sequence`` numbers rows in the order they sit in their
   files (file name, then position). Each file split is read by one task in
   file order, so the row id given at scan time is consecutive inside a
@@ -16,9 +15,6 @@ Two forms:
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +24,6 @@ from waybatch.session import broadcast_if_small
 FILE_COL = "_wb_file"
 BLOCK_COL = "_wb_block"
 ROW_COL = "_wb_row"
-_KEY = "_wb_key"
-_BUCKET = "_wb_bucket"
 
 
 def _order_columns(order_by) -> list[str]:
@@ -43,35 +37,6 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _bounds_from(values) -> list[float]:
-    values = values or []
-    return sorted({v for v in values if v is not None and not math.isnan(v)})
-
-
-def range_bounds(df: DataFrame, column: str, num_buckets: int) -> list[float]:
-    """Sorted distinct approximate quantiles cutting ``column`` into ranges."""
-    if num_buckets <= 1:
-        return []
-    row = df.agg(_quantiles(column, num_buckets).alias("q")).first()
-    return _bounds_from(row["q"] if row is not None else None)
-
-
-def _quantiles(column: str, num_buckets: int):
-    probs = [i / num_buckets for i in range(1, num_buckets)]
-    accuracy = max(10_000, 20 * num_buckets)
-    return F.percentile_approx(F.col(column).cast("double"), probs, accuracy)
-
-
-def range_id(df: DataFrame, column: str, bounds: list[float], out: str = _BUCKET) -> DataFrame:
-    """Adds ``out``: index of the range of ``column`` (nulls go to range 0)."""
-    keyed = df.withColumn(
-        _KEY, F.coalesce(F.col(column).cast("double"), F.lit(float("-inf")))
-    )
-    splits = [float("-inf")] + (bounds or [0.0]) + [float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol=_KEY, outputCol=out, handleInvalid="keep")
-    return bucketizer.transform(keyed).withColumn(out, F.col(out).cast("int")).drop(_KEY)
-
-
 def with_sequence(
     df: DataFrame,
     order_by,
@@ -81,60 +46,37 @@ def with_sequence(
 ) -> tuple[DataFrame, int]:
     """Adds ``name`` = start, start+1, ... in the order of ``order_by``.
 
-    ``order_by`` must be unique. Returns the frame and the row count.
-
-    A single numeric key: one pass gathers count, min, max and range
-    bounds; an integral key that is already dense (``max - min + 1 ==
-    count``) is numbered by a projection alone, with no shuffle; otherwise
-    rows are numbered inside quantile ranges of the key. Composite or
-    non-numeric keys go through :func:`_with_range_sequence`.
+    ``order_by`` must be unique (nulls equal nulls); repeated keys raise
+    :class:`ValueError`, as their order would depend on the run. Nulls come
+    first, NaN after all numbers. Returns the frame and the row count.
+
+    A single integral key that is dense (``max - min + 1`` and the number of
+    different keys are both the row count) is numbered by a projection. All
+    other keys go through Spark's range partitioner, which cuts the whole key
+    tuple (so a repeated leading value is split by the next column). Rows are
+    sorted inside each range and checkpointed to the shared folder, which
+    fixes which row sits where even if tasks are recomputed later. They are
+    counted per range (one number per range reaches the driver) and numbered
+    by range offset + scan position; there is no window.
     """
+    from waybatch.session import checkpoint_root
+
     cols = _order_columns(order_by)
     nb = num_buckets or _default_buckets(df)
     lead = cols[0]
-    if len(cols) > 1 or not isinstance(df.schema[lead].dataType, T.NumericType):
-        return _with_range_sequence(df, cols, name, start, nb)
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*cols)).alias("keys")]
     integral = len(cols) == 1 and isinstance(
         df.schema[lead].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     )
-    aggs = [F.count(F.lit(1)).alias("n"), F.count(lead).alias("nk"), F.min(lead).alias("lo"), F.max(lead).alias("hi")]
-    if nb > 1:
-        aggs.append(_quantiles(lead, nb).alias("q"))
+    if integral:
+        aggs += [F.count(lead).alias("nk"), F.min(lead).alias("lo"), F.max(lead).alias("hi")]
     stats = df.agg(*aggs).first()
     n = stats["n"]
+    if stats["keys"] != n:
+        raise ValueError(f"order_by {cols} is not unique: {n} rows, {stats['keys']} different keys; add columns or use file order")
     if integral and n > 0 and stats["nk"] == n and stats["hi"] - stats["lo"] + 1 == n:
         seq = F.col(lead).cast("long") - F.lit(int(stats["lo"])) + F.lit(start)
         return df.withColumn(name, seq.cast("long")), n
-    bounds = _bounds_from(stats["q"]) if nb > 1 else []
-    bucketed = range_id(df, lead, bounds)
-    counts = {
-        r[_BUCKET]: r["n"]
-        for r in bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    offsets, running = [], 0
-    for b in range(max(len(bounds), 1) + 1):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    offset = F.element_at(F.lit(offsets), F.col(_BUCKET) + F.lit(1))
-    w = Window.partitionBy(_BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in cols])
-    out = bucketed.withColumn(
-        name, (offset + F.row_number().over(w) + F.lit(start - 1)).cast("long")
-    ).drop(_BUCKET)
-    return out, running
-
-
-def _with_range_sequence(df: DataFrame, cols: list[str], name: str, start: int, nb: int) -> tuple[DataFrame, int]:
-    """Sequence for composite or non-numeric keys.
-
-    Spark's range partitioner cuts the whole key tuple (so a repeated
-    leading value is split by the next column), rows are sorted inside
-    each range and the result is checkpointed to the shared folder, which
-    fixes which row sits where even if tasks are recomputed later. Rows
-    are counted per range (one number per range reaches the driver) and
-    numbered by range offset + scan position; there is no window.
-    """
-    from waybatch.session import checkpoint_root
-
     checkpoint_root(df.sparkSession)
     order = [F.col(c).asc_nulls_first() for c in cols]
     ranged = df.repartitionByRange(max(1, nb), *order).sortWithinPartitions(*order).checkpoint()

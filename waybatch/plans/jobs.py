@@ -8,19 +8,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waybatch.operators.batching import FILE_ORDER, check_batch_size
-from waybatch.operators.prepare import prepare_deliveries
+from waybatch.operators.prepare import check_row_params, prepare_deliveries
 from waybatch.operators.quality import invalid_timestamps, quality_report, raise_on_failure, yield_check
 from waybatch.operators.routing import optimize_routes
-from waybatch.operators.sequence import BLOCK_COL, FILE_COL, ROW_COL
+from waybatch.operators.sequence import FILE_COL
 from waybatch.schema import (
     DEFAULT_PIPELINE_BATCH_SIZE,
-    DEFAULT_MAX_ROWS,
     DEFAULT_SAMPLE_ROWS,
     DELIVERY_COLUMNS,
-    INLINE_SAMPLE_ROWS,
     YIELD_RATIO,
 )
-from waybatch.session import scratch_path
+from waybatch.session import delete_path, scratch_path
 from waybatch.sinks.routes import append_routes, read_routes, write_delivery_csv, write_sample_csv
 from waybatch.sources.files import load_deliveries, typed_deliveries
 
@@ -39,7 +37,7 @@ def prepare_job(
     output_path: str,
     sample_path: str | None = None,
     order_by="file_order",
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_rows: int | None = None,
     sample_rows: int = DEFAULT_SAMPLE_ROWS,
     **kwargs,
 ) -> PrepareResult:
@@ -49,30 +47,26 @@ def prepare_job(
     written folder, so the trip plan runs one time.
     """
     spark = trips.sparkSession
-    prepared = prepare_deliveries(trips, zones, order_by=order_by, max_rows=max_rows, sample_rows=sample_rows, **kwargs)
+    check_row_params(max_rows, sample_rows if max_rows is not None else 0)
+    prepared = prepare_deliveries(trips, zones, order_by=order_by, max_rows=max_rows, **kwargs)
     write_delivery_csv(prepared, output_path)
     written = typed_deliveries(spark.read.option("header", "true").schema(
         ", ".join(f"`{c}` string" for c in DELIVERY_COLUMNS)).csv(output_path))
     stats = invalid_timestamps(written).first()
-    warn = yield_check(written, max_rows, YIELD_RATIO).first()["warn"]
+    n_trips = trips.count()
+    expected = n_trips if max_rows is None else min(n_trips, max_rows)
+    warn = yield_check(written, expected, YIELD_RATIO).first()["warn"]
     sampled = write_sample_csv(written, sample_path, "delivery_id", sample_rows) if sample_path else False
     return PrepareResult(stats["n_rows"], stats["n_invalid"], bool(warn), sampled)
 
 
-def inline_sample(spark: SparkSession) -> DataFrame:
-    """The five built-in rows as text columns with an order tag."""
-    rows = [tuple(str(v) for v in r) + ("inline", 0, i) for i, r in enumerate(INLINE_SAMPLE_ROWS)]
-    schema = ", ".join(f"`{c}` string" for c in DELIVERY_COLUMNS)
-    return spark.createDataFrame(rows, f"{schema}, {FILE_COL} string, {BLOCK_COL} long, {ROW_COL} long")
-
-
-def stage_input(text: DataFrame, spark: SparkSession) -> DataFrame:
+def stage_input(text: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
     """Writes the checked text input once as Parquet in the shared folder:
     later passes (checks, sequence, routing) read columns, not CSV text,
     and a lost executor does not send the job back to the CSV."""
     path = scratch_path(spark, "staged-input")
     text.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 @dataclass
@@ -101,10 +95,9 @@ def route_job(
     target_path: str,
     full_path: str | None = None,
     sample_path: str | None = None,
-    source: str = "auto",
+    source: str = "full",
     batch_size: int = DEFAULT_PIPELINE_BATCH_SIZE,
     mode: str = "nearest",
-    use_inline_sample: bool = False,
     strict: bool = True,
     stage: bool = True,
     dedupe: bool = False,
@@ -116,14 +109,12 @@ def route_job(
     The only driver-side data are per-file reports and per-range counts.
     """
     check_batch_size(batch_size)
-    if use_inline_sample:
-        text = inline_sample(spark)
-    else:
-        if full_path is None:
-            raise ValueError("full_path is required unless use_inline_sample")
-        text = load_deliveries(spark, full_path, sample_path, source)
-        if stage:
-            text = stage_input(text, spark)
+    if full_path is None:
+        raise ValueError("full_path is required")
+    text = load_deliveries(spark, full_path, sample_path, source)
+    staged = None
+    if stage:
+        text, staged = stage_input(text, spark)
     if strict:
         raise_on_failure(quality_report(text, source_col=FILE_COL))
     typed = typed_deliveries(text)
@@ -135,8 +126,6 @@ def route_job(
     n = append_routes(spark, routes, target_path, dedupe=dedupe)
     if _appended is not None:
         _appended.append(n)
+    if staged:
+        delete_path(spark, staged)  # the routes are stored; the copy is not needed any more
     return read_routes(spark, target_path)
-
-
-def stored_routes(spark: SparkSession, target_path: str) -> DataFrame:
-    return read_routes(spark, target_path).orderBy(F.col("route_key"))

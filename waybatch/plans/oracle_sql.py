@@ -242,14 +242,15 @@ FROM trips LEFT JOIN zones p ON pulocationid = p.locationid LEFT JOIN zones d ON
   COALESCE(p.lat, CAST(4075 AS DOUBLE)/100) AS pickup_lat, COALESCE(p.lon, CAST(-7398 AS DOUBLE)/100) AS pickup_lon,
   COALESCE(d.lat, CAST(4075 AS DOUBLE)/100) AS dropoff_lat, COALESCE(d.lon, CAST(-7398 AS DOUBLE)/100) AS dropoff_lon,
   tpep_pickup_datetime AS ts
-  FROM h LEFT JOIN zones p ON pulocationid = p.locationid LEFT JOIN zones d ON dolocationid = d.locationid
-  WHERE delivery_id <= 1000000)""")
+  FROM h LEFT JOIN zones p ON pulocationid = p.locationid LEFT JOIN zones d ON dolocationid = d.locationid)""")
     prepared += f"""SELECT delivery_id, pickup_lat, pickup_lon, dropoff_lat, dropoff_lon,
        ts + (2025 - year(ts)) * INTERVAL 1 YEAR AS "timestamp"
 FROM l WHERE {box}"""
     q["prepare_deliveries"] = prepared
-    q["yield_check"] = f"""SELECT count(*) AS n_rows, CAST(1000000 AS BIGINT) AS expected,
-       count(*) < {L(900000)} AS warn FROM ({prepared}) x"""
+    q["yield_check"] = with_fixtures(["trips"]) + f"""SELECT n_rows, expected, n_rows < expected * {L(9)} / 10 AS warn FROM
+  (SELECT count(*) AS n_rows, (SELECT count(*) FROM trips) AS expected FROM ({prepared}) x)"""
+    q["sequence_sparse"] = "SELECT o_orderkey * 7 AS k, row_number() OVER (ORDER BY o_orderkey) AS seq FROM orders"
+    q["sequence_composite"] = "SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS seq FROM orders"
     q["unknown_zones"] = with_fixtures(["trips", "zones"]) + """SELECT locationid, role, count(*) AS n_trips FROM (
   SELECT 'pickup' AS role, CAST(pulocationid AS INTEGER) AS locationid FROM trips
   UNION ALL SELECT 'dropoff', CAST(dolocationid AS INTEGER) FROM trips) r
@@ -267,12 +268,13 @@ GROUP BY locationid, role"""
     q["utm_crs"] = with_fixtures(["deliveries"]) + f"SELECT delivery_id, {utm_crs_sql('pickup_lon', 'pickup_lat')} AS crs FROM deliveries"
     e, n = utm_forward_sql("pickup_lon", "pickup_lat", utm_zone_sql("pickup_lon"), f"(pickup_lat < {L(0)})")
     q["utm_project"] = with_fixtures(["deliveries"]) + f"SELECT delivery_id, {e} AS easting, {n} AS northing FROM deliveries"
-    for key in ("sql_view", "csv_roundtrip", "source_fallback"):
+    for key in ("sql_view", "csv_roundtrip", "source_fallback", "source_full_with_sample"):
         q[key] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries"
     q["sample_csv"] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries ORDER BY delivery_id LIMIT 10000"
     q["union_files"] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries UNION ALL SELECT {deliv} FROM deliveries"
     q["csv_file_report"] = with_fixtures(["deliveries"]) + """SELECT 'good' AS source, 'ok' AS status, count(*) AS n_data_lines FROM deliveries
 UNION ALL SELECT 'wrong_columns', 'missing_columns', count(*) FROM deliveries
+UNION ALL SELECT 'malformed', 'malformed', count(*) FROM deliveries
 UNION ALL SELECT 'header_only', 'header_only', CAST(0 AS BIGINT)"""
 
     # quality

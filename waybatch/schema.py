@@ -19,10 +19,8 @@ DEFAULT_ZONE_LAT = 40.75
 DEFAULT_ZONE_LON = -73.98
 DEFAULT_LAT_BOUNDS = (40.5, 41.0)
 DEFAULT_LON_BOUNDS = (-74.3, -73.7)
-DEFAULT_MAX_ROWS = 1_000_000
 DEFAULT_SAMPLE_ROWS = 10_000
 DEFAULT_PIPELINE_BATCH_SIZE = 50_000
-DEFAULT_LIBRARY_BATCH_SIZE = 100
 TARGET_YEAR = 2025
 YIELD_RATIO = 0.9
 TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -32,15 +30,6 @@ NULL_TOKENS = [
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
     "n/a", "nan", "null",
 ]
-# The five inline rows used when the job runs on its built-in sample.
-INLINE_SAMPLE_ROWS = [
-    (10001, 40.7128, -74.0060, 40.7140, -74.0070, "2025-02-20 10:00:00"),
-    (10002, 40.7130, -74.0050, 40.7150, -74.0060, "2025-02-20 10:05:00"),
-    (10003, 40.7140, -74.0070, 40.7128, -74.0060, "2025-02-20 10:10:00"),
-    (10004, 40.7150, -74.0080, 40.7160, -74.0090, "2025-02-20 10:16:00"),
-    (10005, 40.7160, -74.0090, 40.7170, -74.0100, "2025-02-20 10:20:00"),
-]
-
 DELIVERY_SCHEMA = T.StructType(
     [
         T.StructField("delivery_id", T.LongType(), True),
@@ -71,13 +60,3 @@ ROUTES_SCHEMA = T.StructType(
         T.StructField("geometry", T.StringType(), True),
     ]
 )
-
-ZONE_VERTEX_SCHEMA = T.StructType(
-    [
-        T.StructField("zone_id", T.IntegerType(), False),
-        T.StructField("ring", T.IntegerType(), False),
-        T.StructField("seq", T.IntegerType(), False),
-        T.StructField("x", T.DoubleType(), False),
-        T.StructField("y", T.DoubleType(), False),
-    ]
-)

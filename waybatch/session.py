@@ -98,6 +98,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder of this library on its Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 _SHIPPED: set[str] = set()
 
 

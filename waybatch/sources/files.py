@@ -66,7 +66,8 @@ def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> Da
     """One row per ``*.csv`` file under ``paths`` (recursive).
 
     ``status``: ``ok``, ``non_utf8``, ``empty`` (blank), ``header_only``,
-    ``missing_columns``. Zero-byte files yield no lines and so no row;
+    ``missing_columns``, ``malformed`` (a row has more fields than the
+    header; commas in quotes separate none; rows with fewer end in nulls). Zero-byte files yield no lines and so no row;
     they are skipped all the same. The header is the first line of the
     file (smallest scan row of its first split). Every aggregate has a
     fixed-width buffer (counts, flags, and for the header only the
@@ -85,6 +86,7 @@ def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> Da
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.trim(F.col("value")) != F.lit("")).alias("n_nonblank"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.max(F.size(F.split(F.regexp_replace(F.col("value"), '"([^"]|"")*"', ""), ","))).alias("n_most"),
         head(F.size(names)).alias("n_columns"),
         *[head(F.array_position(names, F.lit(c)).cast("int")).alias(_pos_col(c)) for c in required],
     )
@@ -94,6 +96,7 @@ def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> Da
         .when(F.col("n_nonblank") == 0, F.lit("empty"))
         .when(F.col("n_nonblank") <= 1, F.lit("header_only"))
         .when(~has_all, F.lit("missing_columns"))
+        .when(F.col("n_most") > F.col("n_columns"), F.lit("malformed"))
         .otherwise(F.lit("ok"))
     )
     return per_file.select(
@@ -145,9 +148,9 @@ def typed_deliveries(text_df: DataFrame) -> DataFrame:
     return text_df.select(*[casts[f.name].cast(f.dataType).alias(f.name) for f in DELIVERY_SCHEMA], *extra)
 
 
-def choose_source(spark: SparkSession, sample_path: str | None, full_path: str, source: str = "auto") -> str:
-    """``auto``: the sample if it exists, else the full folder; error if
-    neither has anything."""
+def choose_source(spark: SparkSession, sample_path: str | None, full_path: str, source: str = "full") -> str:
+    """``full``: the full folder. Only on request ``auto`` (the sample if it
+    exists, else the full folder) or ``sample``. What is missing is an error."""
     if source not in ("auto", "sample", "full"):
         raise ValueError("source must be 'auto', 'sample' or 'full'")
     if source in ("auto", "sample") and sample_path and path_exists(spark, sample_path):
@@ -163,10 +166,10 @@ def load_deliveries(
     spark: SparkSession,
     full_path: str,
     sample_path: str | None = None,
-    source: str = "auto",
+    source: str = "full",
     required=DELIVERY_COLUMNS,
 ) -> DataFrame:
-    """Sample-first load of delivery CSVs as text with file-order tags."""
+    """Load of delivery CSVs as text with file-order tags."""
     chosen = choose_source(spark, sample_path, full_path, source)
     return read_delivery_csv(spark, chosen, required)
 

@@ -1,10 +1,11 @@
 """Route delivery CSV files as they arrive.
 
-The file source keeps track of files already seen in its checkpoint, so a
-restarted query neither loses nor repeats files; each micro-batch is a
-static DataFrame routed with the batch operators and appended to the route
-table. Batches of ``batch_size`` rows are cut inside each micro-batch, in
-file order.
+The file source keeps track of files already seen in its checkpoint. Each
+micro-batch's files are checked and read like any delivery CSV (columns by
+name, bad files skipped), routed with the batch operators and appended to the
+route table. Batches of ``batch_size`` rows are cut inside each micro-batch,
+in file order. Appending is at least once: a failure after an append and
+before the stream's commit routes that micro-batch's files again.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from waybatch.operators.batching import FILE_ORDER
 from waybatch.operators.quality import quality_report, raise_on_failure
 from waybatch.operators.routing import optimize_routes
-from waybatch.operators.sequence import BLOCK_COL, FILE_COL, ROW_COL
+from waybatch.operators.sequence import BLOCK_COL, FILE_COL
 from waybatch.schema import DELIVERY_TEXT_SCHEMA
 from waybatch.sinks.routes import append_routes
-from waybatch.sources.files import typed_deliveries
+from waybatch.sources.files import IngestError, read_delivery_csv, typed_deliveries
 
 
 def delivery_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -38,12 +39,6 @@ def delivery_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
     )
 
 
-def tag_rows(batch: DataFrame) -> DataFrame:
-    """Scan row id inside a micro-batch (not allowed on the stream itself);
-    the micro-batch is a file scan, so ids are consecutive per split."""
-    return batch.withColumn(ROW_COL, F.monotonically_increasing_id())
-
-
 def start_route_stream(
     spark: SparkSession,
     folder: str,
@@ -59,10 +54,14 @@ def start_route_stream(
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch = tag_rows(batch)
+        named = [r[FILE_COL] for r in batch.select(FILE_COL).distinct().collect()]  # bounded by the trigger
+        try:
+            text = read_delivery_csv(batch.sparkSession, named)
+        except IngestError:
+            return
         if strict:
-            raise_on_failure(quality_report(batch, source_col=FILE_COL))
-        routes = optimize_routes(typed_deliveries(batch), order_by=FILE_ORDER, batch_size=batch_size, mode=mode)
+            raise_on_failure(quality_report(text, source_col=FILE_COL))
+        routes = optimize_routes(typed_deliveries(text), order_by=FILE_ORDER, batch_size=batch_size, mode=mode)
         append_routes(batch.sparkSession, routes, target_path)
 
     writer = delivery_stream(spark, folder).writeStream.foreachBatch(handle).option(
