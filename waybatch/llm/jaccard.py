@@ -356,10 +356,11 @@ def link_classes(spark: SparkSession, docs: DataFrame, words: int = 5, percent:
     links = _verify(spark, reps, pairs, words, percent)
 
     # Where a pair taken as a link was none, what it seemed to imply is open still.
-    open_cells = table(spark, pairs.join(links, ["a", "b"], "left_anti").select("cell").distinct(), "jaccard-cells")
+    failed = pairs.select("a", "b").distinct().join(links, ["a", "b"], "left_anti")
+    open_cells = table(spark, pairs.join(small(table(spark, failed, "jaccard-failed")), ["a", "b"], "left_semi").select("cell").distinct(), "jaccard-cells")
     cells = cells.join(small(open_cells), "cell", "left_semi").join(connected_components(spark, links), "node", "left")
     rest = _candidates(spark, cells.withColumn("component", F.coalesce("component", "node")), parities, percent, False)
-    links = links.union(_verify(spark, reps, rest.join(links, ["a", "b"], "left_anti"), words, percent))
+    links = links.union(_verify(spark, reps, rest.select("a", "b").distinct().join(links, ["a", "b"], "left_anti"), words, percent))
     found = connected_components(spark, copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).union(links))
     return slim.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
