@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybatch.llm.chunks import Encoder, Pieces
-from waybatch.llm.common import binaries, gather, prepared, steps
+from waybatch.llm.common import binaries, gather, prepared, release, steps
 
 #: A single space between two other characters: every match of a byte-level
 #: pattern of this family ends before it, so texts may be cut there.
@@ -65,6 +65,8 @@ class Codec:
             tokens[rank] = bytes([back[c] for c in text])
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.edges = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
+        del merges, name
+        release()
 
     @staticmethod
     def _split(text: str) -> list[str]:

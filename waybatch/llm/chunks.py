@@ -14,7 +14,7 @@ import numpy as np
 from waybatch.llm.common import gather
 
 #: A task forgets its pieces (or words) when it holds so many, or so many ids.
-MOST_PIECES, MOST_WORDS, MOST_IDS = 400_000, 600_000, 8_000_000
+MOST_PIECES, MOST_WORDS, MOST_IDS = 300_000, 400_000, 6_000_000
 
 #: A word of Latin letters (NFC leaves them; U+0130 has a lower case of two
 #: characters and is left out) and what follows it of ASCII punctuation but

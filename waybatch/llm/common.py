@@ -3,6 +3,8 @@ word hashing over Arrow text columns."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +53,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the system: workers live on
+    from task to task, and an executor's workers share its memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices with about ``limit`` text bytes (a longer text is one slice)."""
     for batch in batches:
@@ -61,6 +71,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES)
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             yield batch.slice(a, b - a)
+    release()
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybatch.llm.common import (
-    SPACE, binaries, mix, prepared, ragged, small, steps, table, text_buffers, word_hashes, word_spans,
+    SPACE, binaries, mix, prepared, ragged, release, small, steps, table, text_buffers, word_hashes, word_spans,
 )
 from waybatch.llm.components import connected_components
 
@@ -97,7 +97,7 @@ def _counted(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.uint32)
         some = False
-        for b in steps(batches, "text", 8_000_000):
+        for b in steps(batches, "text", 4_000_000):
             g, _ = shingle_sets(b.column("text"), words)
             total += np.bincount((g >> np.uint64(40)).astype(np.int64) % COUNTERS, minlength=COUNTERS).astype(np.uint32)
             some = True
@@ -199,6 +199,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterat
             held.append(now)
     if held:
         yield joined()
+        held.clear()
+    release()
 
 
 def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
