@@ -45,10 +45,10 @@ def test_columns_in_another_order_line_up(spark, tmp_dir):
 def test_source_choice(spark, tmp_dir):
     write_text(f"{tmp_dir}/raw/deliveries.csv", THREE_ROWS)
     # no sample: falls back to the full folder
-    df = files.load_deliveries(spark, f"{tmp_dir}/raw", sample_path=f"{tmp_dir}/raw/sample_deliveries.csv")
+    df = files.load_deliveries(spark, f"{tmp_dir}/raw", sample_path=f"{tmp_dir}/raw/sample_deliveries.csv", source="auto")
     assert df.count() == 3
     write_text(f"{tmp_dir}/raw/sample_deliveries.csv", HEADER + "9,40.7,-74.0,40.7,-74.0,2025-02-20 10:00:00\n")
-    df = files.load_deliveries(spark, f"{tmp_dir}/raw", sample_path=f"{tmp_dir}/raw/sample_deliveries.csv")
+    df = files.load_deliveries(spark, f"{tmp_dir}/raw", sample_path=f"{tmp_dir}/raw/sample_deliveries.csv", source="auto")
     assert [r.delivery_id for r in df.collect()] == ["9"]
     df = files.load_deliveries(spark, f"{tmp_dir}/raw", sample_path=f"{tmp_dir}/raw/sample_deliveries.csv", source="full")
     assert df.count() == 4
