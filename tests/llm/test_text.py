@@ -152,3 +152,20 @@ def test_fingerprints(spark, docs):
     assert rows[8].fingerprint == rows[2].fingerprint
     assert winnow.fingerprints(spark, docs([])).count() == 0
     assert winnow.fingerprints(spark, docs(["one"])).first().near_next == 1.0
+
+
+def test_fingerprints_over_ranges(spark, docs):
+    """Repeated ids and rows, null ids, ids that no double holds."""
+    rng = random.Random(9)
+    ids = [None] * 40 + [2**62 + k for k in range(60)] + [-7] * 50 + [5, 5, 5]
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randint(0, 150))) for _ in ids]
+    texts[-3:] = ["same text"] * 3
+    low = -2**63 - 1
+    tie = {r.text: r.h for r in docs(texts, ids).selectExpr("text", "xxhash64(text) AS h").collect()}
+    order = sorted(zip(ids, texts, strict=True), key=lambda r: (low if r[0] is None else r[0], tie[r[1]]), reverse=True)
+    want = []
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        changed = winnow.edited(text, after)
+        want.append((i or 0, len(text), hashlib.sha256(changed.encode()).hexdigest()))
+    got = [(r.doc_id or 0, r.n_chars, r.edited_sha256) for r in winnow.fingerprints(spark, docs(texts, ids)).collect()]
+    assert sorted(got) == sorted(want)

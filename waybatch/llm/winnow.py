@@ -9,16 +9,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybatch.llm.common import mix, prepared, table
+from waybatch.llm.common import mix, prepared, steps, table
 
 #: Code points of a gram (a power of two), grams of a window.
 GRAM, WINDOW = 16, 48
 #: Low bits of a gram's key hold its position, so that of equal hashes the last is least.
 POSITION_BITS = 24
+#: Text bytes of a range, on average, where the session has fewer partitions.
+RANGE_BYTES = 64_000_000
 
 
 def _code_points(text: str) -> np.ndarray:
@@ -87,7 +90,8 @@ def edited(text: str, other: str) -> str:
 
 
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-_EDGE = _OUT + ", part int, edge int, text string"
+_FIELDS = [c.split()[0] for c in _OUT.split(", ")]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
 
 def _row(doc_id, text, own, other, next_own) -> tuple:
@@ -97,46 +101,53 @@ def _row(doc_id, text, own, other, next_own) -> tuple:
             likeness(own[0], theirs[0]), likeness(own[0], next_own[0]))
 
 
-def _record(rows: list[tuple], fields: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(fields))], fields)
-
-
-_FIELDS = [c.split()[0] for c in _EDGE.split(", ")]
+def _record(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(_KINDS)], _FIELDS)
 
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one range of ids, descending: each with its successor. The
-    first and the last text of the range are kept for the neighbour ranges."""
-    held, part = None, None
+    """Rows of one range, descending, each with its successor; the last one's
+    is the copy of the next range's first row, which comes behind."""
+    held, ended = None, False
     rows: list[tuple] = []
     size = 0
-    for b in batches:
-        for doc_id, text, at in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("part").to_pylist(), strict=True):
-            text = text or ""
+    for b in steps(batches, "text"):
+        for doc_id, text, copy in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "copy")), strict=True):
+            if ended:
+                break
+            text, ended = text or "", copy
             own = winnow(text)
-            if held is None:
-                part = at
-                rows.append((doc_id, *[None] * 6, part, 0, text))
-            else:
-                rows.append((*_row(*held, text, own), None, None, None))
+            if held is not None:
+                rows.append(_row(*held, text, own))
+                size += len(text)
             held = (doc_id, text, own)
-            size += len(text)
-            if size > 4_000_000 or len(rows) >= 2000:
-                yield _record(rows, _FIELDS)
-                rows, size = [], 0
-    if held is not None:
-        rows.append((held[0], *[None] * 6, part, 1, held[1]))
+        if size > 4_000_000 or len(rows) >= 2000:
+            yield _record(rows)
+            rows, size = [], 0
     if rows:
-        yield _record(rows, _FIELDS)
-
-
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = [_row(i, x or "", winnow(x or ""), y or "", winnow(y or ""))
-                for i, x, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "other")), strict=True)]
-        if rows:
-            yield _record(rows, _FIELDS[:7])
+        yield _record(rows)
+
+
+def _placed(firsts: list[tuple]):
+    """For the first row of each range, descending: twice a row's range, plus
+    1 if the row is its range's first. Null ids are below all others."""
+    upward = firsts[::-1]
+    nulls = sum(i is None for i, _ in upward)
+    ids = np.array([i for i, _ in upward if i is not None], np.int64)
+    ties = np.array([t for _, t in upward], np.int64)
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for null_id, doc_id, tie in batches:
+            missing, own, t = null_id.to_numpy(bool), doc_id.to_numpy(np.int64), tie.to_numpy(np.int64)
+            low = np.where(missing, 0, nulls + np.searchsorted(ids, own, "left"))
+            high = np.where(missing, nulls, nulls + np.searchsorted(ids, own, "right"))
+            below = low.copy()
+            for a, z in set(zip(low[low < high].tolist(), high[low < high].tolist(), strict=True)):
+                here = (low == a) & (high == z)
+                below[here] = a + np.searchsorted(ties[a:z], t[here], "left")
+            first = (below < high) & (ties[np.minimum(below, len(ties) - 1)] == t)
+            yield pd.Series((len(upward) - 1 - below) * 2 + first)
+    return run
 
 
 def fingerprints(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,20 +160,28 @@ def fingerprints(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     as empty; whole texts of any length are used. An empty table gives no
     rows. Other columns are ignored.
 
-    One range partitioning by id brings neighbours together. Of each range
-    only its two edge texts meet those of the neighbour ranges.
+    Ids and hashes alone are cut into ranges first; of each range one row, its
+    first, reaches the driver. Then texts are shuffled once, each to its range,
+    and each range's first also to the end of the range before.
     """
     prepared(spark)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+            .withColumn("tie", F.xxhash64("text")))
     order = [F.col("doc_id").desc_nulls_last(), F.col("tie").desc()]
-    ranged = (slim.withColumn("tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("part", F.spark_partition_id()).select("doc_id", "text", "part"))
-    done = table(spark, ranged.mapInArrow(_chained, _EDGE), "winnow")
-    parts = [r["part"] for r in done.filter("edge = 0").select("part").orderBy("part").collect()]
-    if not parts:
-        return done.select(*_FIELDS[:7])
-    follows = spark.createDataFrame([(p, q) for p, q in zip(parts, parts[1:] + parts[:1], strict=True)], "part int, following int")
-    last = done.filter("edge = 1").select("doc_id", "text", "part").join(F.broadcast(follows), "part")
-    first = done.filter("edge = 0").select(F.col("part").alias("following"), F.col("text").alias("other"))
-    edges = last.join(first, "following").select("doc_id", "text", "other").mapInArrow(_joined, _OUT)
-    return done.filter("edge is null").select(*_FIELDS[:7]).union(edges)
+    keys = table(spark, slim.select("doc_id", "tie", F.octet_length("text").alias("size")), "winnow-keys")
+    bytes_ = keys.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), bytes_ // RANGE_BYTES + 1)
+    firsts = [(r["k"]["doc_id"], r["k"]["tie"]) for r in
+              keys.select("doc_id", "tie").repartitionByRange(ranges, *order).groupBy(F.spark_partition_id().alias("part"))
+              .agg(F.max(F.struct("doc_id", "tie")).alias("k")).orderBy("part").collect()]
+    if not firsts:
+        return spark.createDataFrame([], _OUT)
+    n = len(firsts)
+    code = F.pandas_udf(_placed(firsts), "long")(F.isnull("doc_id"), F.coalesce("doc_id", F.lit(0)), "tie")
+    part, first = F.shiftright("code", 1), F.col("code") % 2 == 1
+    own = F.struct(part.cast("int").alias("part"), F.lit(False).alias("copy"))
+    before = F.struct(((part + F.lit(n - 1)) % n).cast("int").alias("part"), F.lit(True).alias("copy"))
+    dealt = (slim.withColumn("code", code).withColumn("to", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))))
+             .select("doc_id", "text", "tie", "to.part", "to.copy")
+             .repartitionById(n, F.col("part")).sortWithinPartitions("copy", *order))
+    return dealt.select("doc_id", "text", "copy").mapInArrow(_chained, _OUT)
