@@ -129,6 +129,9 @@ def _run(shared, pattern: str, with_bytes: bool, with_spans: bool):
                 columns += [pa.array([s[k].tolist() for s in spans], pa.list_(pa.int64())) for k in (0, 1)]
                 names = [*names, "char_starts", "char_ends"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        for codec in _CODECS.values():  # the worker lives on; what this task learned need not
+            codec.pieces.forget()
+        release()
     return run
 
 

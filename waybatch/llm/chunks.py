@@ -29,16 +29,18 @@ class Encoder:
 
     def __init__(self, tokenizer, shown: list[str], lower: bool):
         self.tokenizer, self.model, self.shown, self.lower = tokenizer, tokenizer.model, shown, lower
+        self.forget()
+
+    def forget(self) -> None:
         self.words: dict[str, bytes] = {"": b""}
 
     def __call__(self, pieces: list[str]) -> list[bytes]:
         plain = [PLAIN.fullmatch(p) for p in pieces]
         others = [p for p, m in zip(pieces, plain, strict=True) if not m]
         rest = iter([array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)])
+        if len(self.words) > MOST_WORDS:
+            self.forget()
         words = self.words
-        if len(words) > MOST_WORDS:
-            words.clear()
-            words[""] = b""
         out = []
         for m in plain:
             if not m:
@@ -60,10 +62,15 @@ class Pieces:
     """``split(text)`` gives a text's pieces, ``encode(pieces)`` their ids as
     unsigned 32-bit integers in bytes."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, split: Callable[[str], list[str]], encode: Encoder):
         self.split, self.encode = split, encode
         self._forget()
 
+    def forget(self) -> None:
+        """Drops all pieces and words that were learned."""
+        self._forget()
+        self.encode.forget()
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)

@@ -18,7 +18,7 @@ from waybatch.session import scratch_path, ship_package
 #: Largest id list that is broadcast (8 bytes a row); beyond it the join shuffles.
 BROADCAST_IDS = 500_000
 #: Text bytes that one vectorised step looks at.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 500_000
 
 _MASK = 0xFFFFFFFFFFFFFFFF
 _BASE = 0x9E3779B97F4A7C15
