@@ -19,6 +19,10 @@ from waybatch.session import scratch_path, ship_package
 BROADCAST_IDS = 500_000
 #: Text bytes that one vectorised step looks at.
 STEP_BYTES = 500_000
+#: Bytes of an Arrow batch between the JVM and a Python worker, at most (and a
+#: row): both hold a batch whole, and Spark's default of 64 MB is the whole
+#: input of a task.
+BATCH_BYTES = 4 << 20
 
 _MASK = 0xFFFFFFFFFFFFFFFF
 _BASE = 0x9E3779B97F4A7C15
@@ -38,7 +42,12 @@ def small(df: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
 
 
 def prepared(spark: SparkSession) -> None:
+    """Ships the package, and bounds the session's Arrow batches by
+    ``BATCH_BYTES`` unless the session has a bound of its own."""
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
