@@ -9,7 +9,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from waybatch.llm import bpe, language, queries, token_store, winnow
+from waybatch.llm import bpe, common, language, queries, token_store, winnow
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -169,3 +169,25 @@ def test_fingerprints_over_ranges(spark, docs):
         want.append((i or 0, len(text), hashlib.sha256(changed.encode()).hexdigest()))
     got = [(r.doc_id or 0, r.n_chars, r.edited_sha256) for r in winnow.fingerprints(spark, docs(texts, ids)).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_arrow_batches_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        common.prepared(spark)
+        assert spark.conf.get(key) == str(common.BATCH_BYTES)
+        long = spark.range(40).coalesce(1).selectExpr("id", "repeat('x', 500000) AS text")
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+        got = long.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 40 and max(r.size for r in got) < common.BATCH_BYTES + 600_000
+        spark.conf.set(key, "1m")
+        common.prepared(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
