@@ -122,3 +122,40 @@ def test_truncated_archive_and_no_pages(spark, tmp_path):
         crc.unlink()
     name.write_bytes(name.read_bytes()[:-60])
     assert sorted(r.fields["X-Page-ID"] for r in warc.read_archives(spark, path).collect()) == ["0", "1", "2", "3"]
+
+
+def test_archives_with_long_urls(spark):
+    """The long headers are in the first of several splits."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        urls = {0: "u", 1: "u" * 10_000, 2: "v " * 50_000, 3: None}
+        pages = spark.createDataFrame([(i, urls.get(i, "w"), f"page {i} " * 50) for i in range(100)], "page_id long, url string, html string").coalesce(1)
+        got = {r.page_id: r.payload_bytes for r in warc.round_trip(spark, pages).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {i: len(f"page {i} " * 50) for i in range(100)}
+
+
+def raw(i, body, length=None, more=b""):
+    return b"WARC/1.0\r\nX-Page-ID: %d\r\n%bContent-Length: %b\r\n\r\n%b\r\n\r\n" % (i, more, str(len(body)).encode() if length is None else length, body)
+
+
+def test_archive_headers_and_ends(spark, tmp_path):
+    many = b"".join(b"X-%d: y\r\n" % i for i in range(9_000))  # a header of many lines, more than 64 KB, over several splits
+    records = [raw(0, b"a" * 99), raw(1, b"b", more=many), raw(2, b"c" * 77, length=b" " * 9000 + b"77"), raw(3, b"d")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        (tmp_path / "good").mkdir()
+        (tmp_path / "good" / "whole.warc").write_bytes(b"".join(records))
+        for n in (1, 4, 9, 10, 30):  # cut off in the first line or the header
+            (tmp_path / "good" / f"cut{n}.warc").write_bytes(records[0] + records[3] + raw(5, b"f")[:n])
+        got = {}
+        for r in warc.read_archives(spark, str(tmp_path / "good")).collect():
+            got.setdefault(r.file.split("/")[-1], set()).add(r.fields["X-Page-ID"])
+        assert got == {"whole.warc": {"0", "1", "2", "3"}, **{f"cut{n}.warc": {"0", "3"} for n in (1, 4, 9, 10, 30)}}
+        (tmp_path / "wrong").mkdir()
+        (tmp_path / "wrong" / "a.warc").write_bytes(records[0] + raw(6, b"g" * 50, length=b"20") + records[3])
+        with pytest.raises(ValueError, match="breaks off"):
+            warc.read_archives(spark, str(tmp_path / "wrong"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

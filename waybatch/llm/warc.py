@@ -32,7 +32,10 @@ REVISIT_BYTES = 1000
 SPLITS_AT_ONCE = 200_000
 
 _MAGIC = re.compile(rb"WARC/1\.[01]\r?$")
-_MAX_HEADER = 1 << 16
+_MAGICS = (b"WARC/1.0\r", b"WARC/1.1\r")
+_LENGTH = re.compile(rb"^Content-Length:[ \t]*([0-9]{1,18})[ \t]*\r?$", re.I | re.M)
+#: Of longer lines only the size and a length field are looked at to find the chain.
+_LONG_LINE = 8192
 _STEP = 1 << 20
 
 
@@ -107,46 +110,57 @@ def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int]
             yield (files[s], int(starts[s])), sizes[s:e], lines.slice(s, e - s).to_pylist()
 
 
-_FOUND = "file string, split long, at long, head binary, whole boolean, bytes long"
-_FOUND_NAMES = ["file", "split", "at", "head", "whole", "bytes"]
+_FOUND = "file string, split long, at long, head long, length long, whole boolean, bytes long"
+_FOUND_NAMES = ["file", "split", "at", "head", "length", "whole", "bytes"]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates, by offset in their split, with the header as far as the split
-    has it; for each split its bytes, and its lines up to the first blank one,
-    which may end a header of the split before. Long lines come as null."""
-    split, rows = None, []
-    at, open_at, head, lead, leading = 0, None, b"", b"", True
+    """Candidates, by offset in their split, with the bytes and the length
+    field of their header as far as the split has it; for each split its bytes,
+    and the same of its lines up to the first blank one, which may end a header
+    of a split before. Of long lines only the size counts: they come as null. A
+    split's last line may be a first line cut off: a candidate with ``whole`` null."""
+    split, rows, last = None, [], None
+    at, open_at, head, length, lead, lead_length, leading = 0, None, 0, None, 0, None, True
 
     def done():
-        rows.append((*split, -1, lead, not leading, at))
+        rows.append((*split, -1, lead, lead_length, not leading, at))
         if open_at is not None:
-            rows.append((*split, open_at, head, False, 0))
+            rows.append((*split, open_at, head, length, False, 0))
+        if last and any(m.startswith(last) for m in _MAGICS) and not _MAGIC.match(last):
+            rows.append((*split, at - len(last) - 1, len(last) + 1, None, None, 0))
 
     def record():
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.int64()]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _FOUND_NAMES)
 
     for now, sizes, lines in _splits(batches):
         if now != split:
             if split is not None:
                 done()
-            split, at, open_at, head, lead, leading = now, 0, None, b"", b"", True
+            split, at, open_at, lead, lead_length, leading = now, 0, None, 0, None, True
         for size, line in zip(sizes.tolist(), lines, strict=True):
             if line is not None and _MAGIC.match(line):
-                open_at, head = at, line + b"\n"
-            elif open_at is not None:
-                if line is None or len(head) > _MAX_HEADER:
-                    open_at = None  # no header
-                else:
-                    head += line + b"\n"
-                    if line in (b"\r", b""):
-                        rows.append((*split, open_at, head, True, 0))
+                open_at, head, length = at, size, None
+                if leading:
+                    lead += size
+            elif open_at is not None or leading:
+                blank = line in (b"\r", b"")
+                got = _LENGTH.match(line) if line is not None else None
+                if open_at is not None:
+                    head += size
+                    if length is None and got:
+                        length = int(got[1])
+                    if blank:
+                        rows.append((*split, open_at, head, length, True, 0))
                         open_at = None
-            if leading:
-                lead += line + b"\n" if line is not None else b""
-                leading = line not in (None, b"\r", b"") and len(lead) <= _MAX_HEADER
+                if leading:
+                    lead += size
+                    if lead_length is None and got:
+                        lead_length = int(got[1])
+                    leading = not blank
             at += size
+            last = line
         if len(rows) >= 2000:
             yield record()
             rows = []
@@ -180,24 +194,43 @@ def _exits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield followed()
 
 
+def _check_ends(splits: DataFrame, reached: DataFrame, unended: DataFrame) -> None:
+    """Raises if a chain ends before its file does, unless the file is cut off
+    within the header at which the chain ends."""
+    last = reached.groupBy("file").agg(F.max("at").alias("at"))
+    broken = last.join(splits.select("file", "total").distinct(), "file").filter("at < total").join(unended, ["file", "at"], "left_anti")
+    if r := broken.orderBy("file").first():
+        raise ValueError(f"{r['file']}: the chain of records breaks off at byte {r['at']} of {r['total']}")
+
+
 def entries(spark: SparkSession, path: str) -> DataFrame:
     """``(file, split, base, entry, bytes)``: for each split the offset of its
     first line, its bytes, and the offset at which the true chain of records
     enters it (null: it passes over it, or breaks off before)."""
-    lines = _lines(spark, path).select("file", "split", F.octet_length("line").alias("size"), F.when(F.octet_length("line") <= 8192, F.col("line")).alias("line"))
+    size = F.octet_length("line")
+    # A longer line is no magic and not blank, but may be a padded length field.
+    field = F.lower(F.substring("line", 1, 15).cast("string")) == "content-length:"
+    number = F.regexp_extract(F.col("line").cast("string"), "^.{15}[ \t]*([0-9]{1,18})[ \t]*\r?$", 1)
+    seen_line = F.when(size <= _LONG_LINE, F.col("line")).when(field, F.concat(F.lit("Content-Length: "), number).cast("binary"))
+    lines = _lines(spark, path).select("file", "split", size.alias("size"), seen_line.alias("line"))
     found = table(spark, lines.mapInArrow(_candidates, _FOUND), "warc-candidates")
     before = "sum(bytes) over (partition by file order by split rows between unbounded preceding and 1 preceding)"
-    splits = found.filter("at < 0").select(
-        "file", "split", "bytes", F.col("head").alias("lead"), F.expr(f"coalesce({before}, 0)").alias("base"),
-        F.expr("lead(head) over (partition by file order by split)").alias("next_lead"))
+    splits = found.filter("at < 0").withColumn("base", F.expr(f"coalesce({before}, 0)"))
+    # A header that its split does not end is ended by the next split with a blank line; its length field may be in any up to there.
+    behind = "over (partition by file order by split desc rows between unbounded preceding and 1 preceding)"
+    splits = splits.select(
+        "file", "split", "bytes", "base", F.expr("sum(bytes) over (partition by file)").alias("total"),
+        F.expr(f"last(if(whole, struct(split, base + head as at), null), true) {behind}").alias("ends"),
+        F.expr(f"last(if(length is not null, struct(split, length), null), true) {behind}").alias("next"))
     splits = table(spark, splits, "warc-splits")
-    seen = found.filter("at >= 0").select("file", "split", F.col("at").alias("inside"), "head", "whole").join(splits, ["file", "split"])
-    text = F.concat("head", F.when(F.col("whole"), F.lit(b"")).otherwise(F.coalesce("next_lead", F.lit(b"")))).cast("string")
-    size = F.regexp_extract(text, "(?i)\nContent-Length:[ \t]*([0-9]{1,18})[ \t]*\r?\n", 1)
-    seen = seen.select("file", "split", "base", (F.col("base") + F.col("bytes")).alias("end"), (F.col("base") + F.col("inside")).alias("at"),
-                       size.alias("size"), F.octet_length(text).alias("head_bytes"), F.substring(text, -4, 4).rlike("\n\r?\n$").alias("ended"))
-    seen = seen.filter("ended and size <> ''").select(
-        "file", "split", "end", "at", (F.col("at") + F.col("head_bytes") + F.col("size").cast("long") + 4).alias("after"))
+    seen = found.filter("at >= 0").select("file", "split", F.col("at").alias("inside"), "head", "length", "whole").join(splits, ["file", "split"])
+    seen = seen.select(
+        "file", "split", "whole", "total", (F.col("base") + F.col("bytes")).alias("end"), (F.col("base") + F.col("inside")).alias("at"),
+        F.when(F.col("whole"), F.col("base") + F.col("inside") + F.col("head")).otherwise(F.col("ends.at")).alias("body"),
+        F.coalesce("length", F.when(~F.col("whole") & (F.col("next.split") <= F.col("ends.split")), F.col("next.length"))).alias("length"))
+    unended = table(spark, seen.filter("body is null and (whole is not null or end = total)").select("file", "at"), "warc-unended")
+    seen = seen.filter("whole is not null and body is not null and length is not null").select(
+        "file", "split", "end", "at", (F.col("body") + F.col("length") + 4).alias("after"))
     seen = seen.repartition("file", "split").sortWithinPartitions("file", "split", "at")
     jump = table(spark, seen.mapInArrow(_exits, "file string, at long, leaves long"), "warc-exits")
 
@@ -212,6 +245,7 @@ def entries(spark: SparkSession, path: str) -> DataFrame:
         many = now
         jump = table(spark, jump.alias("a").join(jump.alias("b"), (F.col("a.file") == F.col("b.file")) & (F.col("a.leaves") == F.col("b.at")), "left")
                      .select("a.file", "a.at", F.coalesce("b.leaves", "a.leaves").alias("leaves")), "warc-jumps")
+    _check_ends(splits, reached, unended)
     inside = (F.col("s.file") == F.col("r.file")) & (F.col("r.at") >= F.col("s.base")) & (F.col("r.at") < F.col("s.base") + F.col("s.bytes"))
     first = splits.alias("s").join(reached.alias("r"), inside).groupBy("s.file", "s.split").agg(F.min("r.at").alias("entry"))
     return table(spark, splits.select("file", "split", "base", "bytes").join(first, ["file", "split"], "left"), "warc-entries")
@@ -230,7 +264,8 @@ def _parsed(data: bytes) -> tuple[dict[str, str], int, str, int] | None:
     if end is None:
         return None
     fields = {k.decode(): v.decode("utf-8", "replace") for k, v in _FIELD.findall(data[:end.start()])}
-    size = next((int(v) for k, v in fields.items() if k.lower() == "content-length"), -1)
+    length = _LENGTH.search(data[:end.start()])
+    size = int(length[1]) if length else -1
     if size < 0 or len(data) < end.end() + size + 4:
         return None
     payload = memoryview(data)[end.end():end.end() + size]
@@ -320,8 +355,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     ``path`` with its offset, header fields, payload size and payload SHA-1.
 
     Only records on the chain from a file's start count, so bytes in payloads
-    that look like records give none. A chain that breaks off (a truncated
-    file, a wrong length) ends there. Files of any size are read split by
+    that look like records give none. In a truncated file the chain ends with
+    the last whole record; a chain that breaks off otherwise (a wrong length)
+    is a ``ValueError``. Headers and their lines are of any length. Files of any size are read split by
     split; empty files give nothing.
     """
     prepared(spark)
