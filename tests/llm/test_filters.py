@@ -85,6 +85,30 @@ def test_best_stretch_is_the_best_of_all():
         assert value[s:e].sum() == max(value[a:b].sum() for a in range(len(value) + 1) for b in range(a, len(value) + 1))
 
 
+def test_overlaps_of_edited_items_by_brute_force(spark, docs):
+    """Every item that has a stretch the masks can see and its share equal in place."""
+    rng = np.random.default_rng(3)
+    held, texts, bench = set(), [], []
+    for k in range(60):
+        item = [f"i{k}w{j}" for j in range(int(rng.integers(24, 60)))]
+        n, kept = len(item), np.ones(len(item), bool)
+        while kept.mean() > 0.75:  # longer edits, so that no stretch reaches far
+            at = int(rng.integers(12, n))  # the first 12 words stay
+            kept[at:at + int(rng.integers(2, 7))] = False
+        bench.append((k, " ".join(item), 0))
+        texts.append("before it " + " ".join(w if ok else f"x{j}" for j, (w, ok) in enumerate(zip(item, kept, strict=True))) + " behind")
+        runs = max(len(r) for r in "".join("1" if ok else "0" for ok in kept).split("0"))
+        if kept.mean() >= decontaminate.ITEM_SHARE or runs >= decontaminate.RUN_WORDS:
+            held.add((k, k, int(kept.sum())))
+    got = decontaminate.overlaps(spark, docs(texts), spark.createDataFrame(bench, "item_id long, text string, doc_id int")).collect()
+    assert len(held) > 40 and {(r.doc_id, r.item_id, r.equal_words) for r in got} >= held
+    replaced = [f"w{j}" if j < 12 or j >= 18 else "x" for j in range(30)]  # the middle replaced
+    inserted = [f"w{j}" if j < 8 or j >= 11 else "x" for j in range(15)] + ["y"] + [f"w{j}" for j in range(15, 23)]
+    bench = spark.createDataFrame([(1, " ".join(f"w{j}" for j in range(30)), 0)], "item_id long, text string, doc_id int")
+    got = {r.doc_id: r.equal_words for r in decontaminate.overlaps(spark, docs([" ".join(replaced), " ".join(inserted)]), bench).collect()}
+    assert got == {0: 24, 1: 20}
+
+
 def test_patience_alignment():
     assert licenses.align("abcde", "abcde") == [(i, i) for i in range(5)]
     assert licenses.align("xxaqbyycz", "abc") == [(2, 0), (4, 1), (7, 2)]

@@ -106,20 +106,53 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def stretches(equal: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """The best stretch, the best ones beside it, and so on, as far as they
+    score ``least`` or more."""
+    out, open_ = [], [(0, len(equal))]
+    while open_:
+        low, high = open_.pop()
+        start, end = best_stretch(equal[low:high])
+        if np.where(equal[low + start:low + end], 1, MISMATCH).sum() >= max(1, least):
+            out.append((low + start, low + end))
+            open_ += [(low, low + start), (low + end, high)]
+    return sorted(out)
+
+
+def _covered(n: int, diagonals: list[tuple[int, np.ndarray, np.ndarray]]) -> int:
+    """How many of an item's ``n`` words a text has in place: on one diagonal,
+    or in stretches on diagonals less than ``n`` words apart."""
+    diagonals = sorted(diagonals, key=lambda d: d[0])
+    most = max(len(same) for _, same, _ in diagonals)
+    count, begin = np.zeros(n, np.int64), 0
+    for first, _, runs in diagonals:
+        count[runs] += 1
+        while diagonals[begin][0] <= first - n:
+            count[diagonals[begin][2]] -= 1
+            begin += 1
+        most = max(most, int(np.count_nonzero(count)))
+    return most
+
+
 def _overlaps(items: _Items, words: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
     """``(text, item, from, to, equal words)`` for each verified item of each text."""
-    found: dict[tuple[int, int], list[tuple[int, int, np.ndarray]]] = {}
+    found: dict[tuple[int, int], list[tuple[int, np.ndarray, int]]] = {}
     for text, item, first in items.hits(words, before).tolist():
         x = items.items[item]
         low, high = max(first, int(before[text])), min(first + len(x), int(before[text + 1]))
-        equal = words[low:high] == x[low - first:high - first]
-        start, end = best_stretch(equal)
-        same = np.flatnonzero(equal[start:end]) + start + low
-        found.setdefault((text, item), []).append((low + start, low + end, same - first))
-    for (text, item), stretches in sorted(found.items()):
+        found.setdefault((text, item), []).append((first, words[low:high] == x[low - first:high - first], low))
+    for (text, item), laid in sorted(found.items(), key=lambda f: f[0]):
         n = len(items.items[item])
-        covered = len(np.unique(np.concatenate([s[2] for s in stretches])))
-        start, end, same = max(stretches, key=lambda s: (len(s[2]), -s[0]))
+        if sum(int(equal.sum()) for _, equal, _ in laid) < min(RUN_WORDS, ITEM_SHARE * n):
+            continue
+        best, diagonals = [], []
+        for first, equal, low in laid:
+            start, end = best_stretch(equal)
+            best.append((low + start, low + end, np.flatnonzero(equal[start:end]) + start + low - first))
+            runs = [np.flatnonzero(equal[s:e]) + s for s, e in stretches(equal, SHORT)]
+            diagonals.append((first, np.flatnonzero(equal), np.concatenate([*runs, np.zeros(0, np.int64)]).astype(np.int64) + low - first))
+        covered = max(_covered(n, diagonals), len(np.unique(np.concatenate([s[2] for s in best]))))
+        start, end, same = max(best, key=lambda s: (len(s[2]), -s[0]))
         if len(same) >= RUN_WORDS or covered >= ITEM_SHARE * n:
             yield text, item, start - int(before[text]), end - int(before[text]), covered
     if items.short:
@@ -159,8 +192,9 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col:
     row for each test item that a document holds, with its best stretch in
     words of the document and the number of the item's words found.
 
-    An item is held if a stretch has ``RUN_WORDS`` equal words, or if its
-    stretches cover ``ITEM_SHARE`` of it; items of fewer than ``SHORT`` words
+    An item is held if a stretch has ``RUN_WORDS`` equal words, if
+    ``ITEM_SHARE`` of its words are equal in place, or if stretches beside
+    each other or around words put in or left out cover that share; items of fewer than ``SHORT`` words
     only by a document that has just these words. Null, empty and wordless
     texts hold nothing and are held by nothing. Repeated documents give
     repeated rows; of equal items each counts (of equal ones under ``SHORT``
