@@ -109,6 +109,32 @@ def test_overlaps_of_edited_items_by_brute_force(spark, docs):
     assert got == {0: 24, 1: 20}
 
 
+def test_overlaps_of_short_items_by_brute_force(spark, docs):
+    """Held are just the items with their share of words in place, whichever words are replaced."""
+    rng = np.random.default_rng(4)
+    held, texts, bench = set(), [], []
+    for n in range(decontaminate.SHORT, decontaminate.LONG_FROM + 1):
+        item = [f"n{n}w{j}" for j in range(n)]
+        bench.append((n, " ".join(item), 0))
+        for edits in range(1, n):
+            for _ in range(1 if n == decontaminate.LONG_FROM else 6):
+                gone = set(rng.permutation(n)[:edits].tolist()) if n < decontaminate.LONG_FROM else set(range(edits))
+                if n < decontaminate.LONG_FROM and n - edits >= decontaminate.ITEM_SHARE * n:
+                    held.add((len(texts), n, n - edits))
+                texts.append("some " + " ".join("x" if j in gone else w for j, w in enumerate(item)) + " more")
+    got = decontaminate.overlaps(spark, docs(texts), spark.createDataFrame(bench, "item_id long, text string, doc_id int")).collect()
+    assert {(r.doc_id, r.item_id, r.equal_words) for r in got if r.item_id < decontaminate.LONG_FROM} == held
+
+
+def test_overlaps_in_scripts_without_spaces(spark, docs):
+    items = ["下列哪一座城市是法国的首都，而不是德国的？", "日本で一番高い山は何ですか。", "เมืองหลวงของประเทศไทยคืออะไร", "quelle est la capitale de la France d’aujourd’hui"]
+    other = "今天天气很好。"
+    texts = [other + items[0] + other, items[0].replace("法国", "英国"), "これは" + items[1] + "「はい」", "ก" + items[2] + "ข", "«" + items[3] + "…»", other * 3, "日本の川"]
+    bench = spark.createDataFrame([(i, t, 0) for i, t in enumerate(items)], "item_id long, text string, doc_id int")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(spark, docs(texts), bench).collect()}
+    assert got == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3)}
+
+
 def test_patience_alignment():
     assert licenses.align("abcde", "abcde") == [(i, i) for i in range(5)]
     assert licenses.align("xxaqbyycz", "abc") == [(2, 0), (4, 1), (7, 2)]

@@ -9,6 +9,7 @@ and the best stretch with substitutions is verified word by word.
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,11 @@ from waybatch.llm.common import NOT_ALNUM, mix, prepared, ragged, small, steps,
 
 #: Ones are compared, zeros ignored.
 MASKS = ("11101011", "1101100011", "110010100101")
-#: Items with fewer words are looked for as one solid run.
-SOLID_BELOW = 16
+#: Items with fewer words take the masks of ``SHORT_MASKS``. Of such an item
+#: with ``ITEM_SHARE`` of its words in place three are within five words, and
+#: the masks are all ways in which three can be.
+LONG_FROM = 16
+SHORT_MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
 #: Items with fewer words match only documents that are that item.
 SHORT = 4
 #: A stretch counts with so many equal words, or this share of its item.
@@ -33,18 +37,38 @@ MISMATCH = -2
 BLOCK_WORDS = 2_000_000
 
 _TABLE = 1 << 20
+#: Words that are compared at once.
+_AT_ONCE = 1 << 20
+#: Scripts without spaces between words: each code point is a word.
+_UNSPACED = "([" + "".join(rf"\p{{{x}}}" for x in (
+    "Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar",
+    "Tai_Le", "New_Tai_Lue", "Tai_Tham", "Tai_Viet", "Javanese", "Balinese")) + "])"
+
+
+def _between() -> str:
+    """A class of all punctuation, white space and controls beyond ASCII."""
+    points = [c for c in range(128, 0x20000) if unicodedata.category(chr(c)) in ("Cc", "Zs", "Zl", "Zp", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po")]
+    cuts = [i for i, c in enumerate(points) if i == 0 or points[i - 1] != c - 1] + [len(points)]
+    return "[" + "".join(rf"\x{{{points[a]:x}}}-\x{{{points[b - 1]:x}}}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)) + "]"
+
+
+_BETWEEN = _between()
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes (lower-cased runs of letters and digits) and the number of words before each text."""
-    data, offsets = text_buffers(pc.utf8_lower(column))
+    """Word hashes (lower-cased runs of letters and digits, and the code points
+    of scripts without spaces) and the number of words before each text."""
+    lower = pc.utf8_lower(column)
+    data, offsets = text_buffers(lower)
+    if len(data) and data.max() >= 128:
+        lower = pc.replace_substring_regex(pc.replace_substring_regex(lower, _BETWEEN, " "), _UNSPACED, r" \1 ")
+        data, offsets = text_buffers(lower)
     starts, ends, before = word_spans(data, offsets, NOT_ALNUM)
     return word_hashes(data, starts, ends), before
 
 
-def _masks(lengths) -> list[np.ndarray]:
-    masks = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
-    return masks + [np.arange(n) for n in sorted({n for n in lengths if SHORT <= n < SOLID_BELOW})]
+def _masks() -> list[np.ndarray]:
+    return [np.flatnonzero([c == "1" for c in m]) for m in (*MASKS, *SHORT_MASKS)]
 
 
 def _seeds(words: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -62,12 +86,13 @@ class _Items:
 
     def __init__(self, items: list[np.ndarray]):
         self.items = items
-        self.masks = _masks(len(x) for x in items)
+        self.masks = _masks()
+        self.lengths = np.array([len(x) for x in items], np.int64)
+        self.flat = np.concatenate([*items, np.zeros(0, np.uint64)])
         self.short = {x.tobytes(): i for i, x in reversed(list(enumerate(items))) if 0 < len(x) < SHORT}
         self.index = []
         for k, mask in enumerate(self.masks):
-            solid = len(mask) if k >= len(MASKS) else 0
-            use = [i for i, x in enumerate(items) if len(x) >= SHORT and (len(x) == solid if solid else len(x) >= SOLID_BELOW)]
+            use = [i for i, x in enumerate(items) if len(x) >= SHORT and (len(x) >= LONG_FROM) == (k < len(MASKS))]
             seeds = [_seeds(items[i], mask) for i in use]
             h = np.concatenate([*seeds, np.zeros(0, np.uint64)])
             item = np.repeat(np.array(use, np.int64), [len(s) for s in seeds])
@@ -96,6 +121,24 @@ class _Items:
         return np.unique(np.concatenate(out), axis=0)
 
 
+    def likely(self, hits: np.ndarray, words: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Those of ``hits`` whose text and item have enough equal words on all their diagonals."""
+        if len(hits) == 0:
+            return hits
+        text, item, first = hits.T
+        n = self.lengths[item]
+        low, high = np.maximum(first, before[text]), np.minimum(first + n, before[text + 1])
+        at = (np.cumsum(self.lengths) - self.lengths)[item] + low - first
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(high - low) // _AT_ONCE)) + 1, [len(hits)]])
+        same = np.zeros(len(hits), np.int64)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            group, k = ragged((high - low)[a:b])
+            same[a:b] = np.bincount(group[words[low[a:b][group] + k] == self.flat[at[a:b][group] + k]], minlength=b - a)
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (np.diff(item) != 0)]))
+        enough = np.add.reduceat(same, new) >= np.minimum(RUN_WORDS, ITEM_SHARE * n[new])
+        return hits[np.repeat(enough, np.diff(np.concatenate([new, [len(hits)]])))]
+
+
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     """The stretch with the highest score: equal words less twice the others;
     the first and shortest of several."""
@@ -137,21 +180,21 @@ def _covered(n: int, diagonals: list[tuple[int, np.ndarray, np.ndarray]]) -> int
 def _overlaps(items: _Items, words: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
     """``(text, item, from, to, equal words)`` for each verified item of each text."""
     found: dict[tuple[int, int], list[tuple[int, np.ndarray, int]]] = {}
-    for text, item, first in items.hits(words, before).tolist():
+    for text, item, first in items.likely(items.hits(words, before), words, before).tolist():
         x = items.items[item]
         low, high = max(first, int(before[text])), min(first + len(x), int(before[text + 1]))
         found.setdefault((text, item), []).append((first, words[low:high] == x[low - first:high - first], low))
     for (text, item), laid in sorted(found.items(), key=lambda f: f[0]):
         n = len(items.items[item])
-        if sum(int(equal.sum()) for _, equal, _ in laid) < min(RUN_WORDS, ITEM_SHARE * n):
-            continue
         best, diagonals = [], []
         for first, equal, low in laid:
             start, end = best_stretch(equal)
             best.append((low + start, low + end, np.flatnonzero(equal[start:end]) + start + low - first))
             runs = [np.flatnonzero(equal[s:e]) + s for s, e in stretches(equal, SHORT)]
             diagonals.append((first, np.flatnonzero(equal), np.concatenate([*runs, np.zeros(0, np.int64)]).astype(np.int64) + low - first))
-        covered = max(_covered(n, diagonals), len(np.unique(np.concatenate([s[2] for s in best]))))
+        covered = _covered(n, diagonals)
+        if n >= LONG_FROM:  # the stretches behind hits of so few words as short items have are chance anywhere else
+            covered = max(covered, len(np.unique(np.concatenate([s[2] for s in best]))))
         start, end, same = max(best, key=lambda s: (len(s[2]), -s[0]))
         if len(same) >= RUN_WORDS or covered >= ITEM_SHARE * n:
             yield text, item, start - int(before[text]), end - int(before[text]), covered
