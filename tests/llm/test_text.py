@@ -111,6 +111,21 @@ def test_language_edges_and_kernel(spark, docs, tables):
     assert len(np.intersect1d(h[which == 0], h[which == 1])) == len(sets[0] & sets[1])
 
 
+@pytest.mark.parametrize("many", [1, 4, 40])
+def test_foreign_texts_go_whatever_the_number_of_languages(spark, many):
+    """Languages of random words; a text of none of them goes, their own stay."""
+    rng = random.Random(many)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(40)] for _ in range(many)]
+    say = lambda k: " ".join(rng.choice(words[k]) for _ in range(60))
+    rows = [(k, np.unique(language.text_grams(pa.array([say(k)]))[1])) for k in range(many) for _ in range(20)]
+    model = language.fit([(f"l{k:02}", g) for k, g in rows])
+    own = [(k, say(k)) for k in range(many) for _ in range(3)]
+    foreign = ["это совсем другой язык, и его никто не учил", "漢字かな交じり文です", "これは, 12 !", "ελληνικά κείμενο", "".join(rng.choice("qxzjvkw") for _ in range(200))]
+    d = spark.createDataFrame(list(enumerate([t for _, t in own] + foreign)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in language.in_known_language(spark, d, model).collect()) == list(range(len(own)))
+
+
 def brute_winnow(text, gram, window):
     """Positions by definition, over the same gram hashes."""
     if len(text) < gram:

@@ -35,13 +35,17 @@ _TABLE = 1 << 20
 @dataclass
 class Model:
     """``grams`` ascending, presence of each in each landmark, weights of the
-    kernels with the landmarks for each language."""
+    kernels with the landmarks for each language; for each language which
+    n-grams its texts have, and the median share of a text's n-grams that the
+    others have (0 for a language of one text)."""
 
     langs: list[str]
     grams: np.ndarray
     landmarks: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
+    seen: np.ndarray | None = None
+    typical: np.ndarray | None = None
 
     def __post_init__(self):
         self.slots = np.full(_TABLE, -1, np.int32)
@@ -121,9 +125,39 @@ def fit(rows: list[tuple[str, np.ndarray]]) -> Model:
     scale = np.diag([RIDGE] * features.shape[1] + [1e-9])
     solved = np.linalg.solve(x.T @ (x * w) + scale, x.T @ (target * w))
     model.weights, model.bias = (root @ solved[:-1]).astype(np.float32), solved[-1].astype(np.float32)
+    model.seen, model.typical = np.zeros((len(langs), len(grams)), bool), np.zeros(len(langs))
+    for k, lang in enumerate(langs):
+        own = [(presence([r])[0] > 0, max(1, len(r[1]))) for r in by_lang[lang]]
+        many = sum(has.astype(np.int64) for has, _ in own)
+        model.seen[k] = many > 0
+        model.typical[k] = np.median([np.count_nonzero(has & (many > 1)) / size for has, size in own])
     return model
 
 
+def known(model: Model, texts: pa.Array, langs: list[str]) -> np.ndarray:
+    """The share of each text's longest n-grams, repeats and all, that texts of
+    its language have, as a multiple of what is typical of the language. It
+    does not depend on the number of languages. 0 for ``und``."""
+    out, place = np.zeros(len(texts)), {lang: k for k, lang in enumerate(model.langs)}
+    for i in range(0, len(texts), BATCH):
+        some = texts.slice(i, BATCH)
+        lang = np.array([place.get(x, -1) for x in langs[i:i + BATCH]], np.int64)
+        text, h = text_grams(some)
+        points = pc.fill_null(pc.utf8_length(pc.utf8_lower(some)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        long = max(0, len(h) - int(np.maximum(points - SPECTRUM + 1, 0).sum()))  # the longest come last
+        use = (np.arange(len(h)) >= long) | (points[text] < SPECTRUM)
+        text, h = text[use], h[use]
+        at = model.slots[_slot(h)]
+        hit = (at >= 0) & (lang[text] >= 0)
+        hit[hit] = model.grams[at[hit]] == h[hit]
+        hit[hit] = model.seen[lang[text[hit]], at[hit]]
+        sizes = np.maximum(np.bincount(text, minlength=len(some)), 1)
+        share = np.bincount(text[hit], minlength=len(some)) / sizes
+        usual = np.where(lang >= 0, model.typical[lang], 1) if len(model.langs) else np.ones(len(some))
+        out[i:i + BATCH] = np.where(lang < 0, 0.0, np.where(usual > 0, share / np.maximum(usual, 1e-9), 1.0))
+    return out
+
+
 def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each text. The score is the best language's share
     of the softmax over three times the regressions; 0 for ``und``."""
@@ -181,14 +215,16 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose text is of a learned language with a score of
-    ``least`` or more, with all their columns."""
+    """The rows of ``docs`` whose text is of a learned language and has at
+    least ``least`` times the share of the language's n-grams that is typical
+    of it, with all their columns."""
     prepared(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches, "text", 1_000_000):
-            lang, score = predict(shared.value, b.column("text"))
-            yield b.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score.tolist(), strict=True)], pa.bool_()))
+            lang, _ = predict(shared.value, b.column("text"))
+            enough = known(shared.value, b.column("text"), lang) >= least
+            yield b.filter(pa.array([x != UNKNOWN and ok for x, ok in zip(lang, enough.tolist(), strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
