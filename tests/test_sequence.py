@@ -44,6 +44,16 @@ def test_head_and_page_both_paths(spark):
         assert p == [3 * i for i in range(301, 401)]
 
 
+def test_head_and_page_need_a_unique_key_on_both_paths(spark):
+    df = spark.range(1, 51).select((F.col("id") % 49).alias("k"), "id")
+    for small in (10**9, 0):
+        with pytest.raises(ValueError, match="not unique"):
+            sequence.head_rows(df, "k", 10, small_limit=small)
+        with pytest.raises(ValueError, match="not unique"):
+            sequence.page_rows(df, "k", 5, 10, small_limit=small)
+        assert sorted(r.id for r in sequence.head_rows(df, ["k", "id"], 3, small_limit=small).collect()) == [1, 49, 50]
+
+
 def test_batches(spark):
     df = spark.range(1, 251).select(F.col("id").alias("delivery_id"))
     b = assign_batches(df, "delivery_id", 100)

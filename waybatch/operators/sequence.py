@@ -37,6 +37,15 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _key_counts(cols: list[str]) -> list:
+    return [F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*cols)).alias("keys")]
+
+
+def _check_unique(cols: list[str], stats) -> None:
+    if stats["keys"] != stats["n"]:
+        raise ValueError(f"order_by {cols} is not unique: {stats['n']} rows, {stats['keys']} different keys; add columns or use file order")
+
+
 def with_sequence(
     df: DataFrame,
     order_by,
@@ -64,7 +73,7 @@ def with_sequence(
     cols = _order_columns(order_by)
     nb = num_buckets or _default_buckets(df)
     lead = cols[0]
-    aggs = [F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*cols)).alias("keys")]
+    aggs = _key_counts(cols)
     integral = len(cols) == 1 and isinstance(
         df.schema[lead].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     )
@@ -72,8 +81,7 @@ def with_sequence(
         aggs += [F.count(lead).alias("nk"), F.min(lead).alias("lo"), F.max(lead).alias("hi")]
     stats = df.agg(*aggs).first()
     n = stats["n"]
-    if stats["keys"] != n:
-        raise ValueError(f"order_by {cols} is not unique: {n} rows, {stats['keys']} different keys; add columns or use file order")
+    _check_unique(cols, stats)
     if integral and n > 0 and stats["nk"] == n and stats["hi"] - stats["lo"] + 1 == n:
         seq = F.col(lead).cast("long") - F.lit(int(stats["lo"])) + F.lit(start)
         return df.withColumn(name, seq.cast("long")), n
@@ -130,26 +138,29 @@ def with_file_order_sequence(df: DataFrame, name: str = "seq", start: int = 1) -
 
 
 def head_rows(df: DataFrame, order_by, n: int, small_limit: int = 100_000) -> DataFrame:
-    """First ``n`` rows in ``order_by`` order (unique key).
+    """First ``n`` rows in ``order_by`` order.
 
-    Small ``n``: a top-k (``TakeOrderedAndProject``). Large ``n``: sequence
-    and filter, so no task holds ``n`` rows.
+    ``order_by`` must be unique; repeated keys raise :class:`ValueError`,
+    whatever ``n``. Small ``n``: a top-k (``TakeOrderedAndProject``). Large
+    ``n``: sequence and filter, so no task holds ``n`` rows.
     """
     if n < 0:
         raise ValueError("n must be >= 0")
     cols = _order_columns(order_by)
     if n <= small_limit:
+        _check_unique(cols, df.agg(*_key_counts(cols)).first())
         return df.orderBy(*cols).limit(n)
     seq, _ = with_sequence(df, cols, name="_wb_seq")
     return seq.filter(F.col("_wb_seq") <= F.lit(n)).drop("_wb_seq")
 
 
 def page_rows(df: DataFrame, order_by, offset: int, size: int, small_limit: int = 100_000) -> DataFrame:
-    """Rows ``offset+1 .. offset+size`` in ``order_by`` order."""
+    """Rows ``offset+1 .. offset+size`` in ``order_by`` order; keys as in ``head_rows``."""
     if offset < 0 or size < 0:
         raise ValueError("offset and size must be >= 0")
     cols = _order_columns(order_by)
     if offset + size <= small_limit:
+        _check_unique(cols, df.agg(*_key_counts(cols)).first())
         return df.orderBy(*cols).offset(offset).limit(size)
     seq, _ = with_sequence(df, cols, name="_wb_seq")
     keep = (F.col("_wb_seq") > F.lit(offset)) & (F.col("_wb_seq") <= F.lit(offset + size))
