@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import THREE_ROWS, write_text
+from helpers import THREE_ROWS, write_text
 from waybatch.operators.prepare import check_row_params, prepare_deliveries
 from waybatch.operators.quality import QualityError
 from waybatch.plans import jobs

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_TINY
+from helpers import SF_TINY
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 

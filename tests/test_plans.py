@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_TINY
+from helpers import SF_TINY
 import __spark_entry__ as entry
 
 

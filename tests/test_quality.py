@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import HEADER, THREE_ROWS, write_text
+from helpers import HEADER, THREE_ROWS, write_text
 from waybatch.operators.quality import QualityError, quality_report, raise_on_failure
 from waybatch.schema import DELIVERY_COLUMNS
 

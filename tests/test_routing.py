@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import THREE_ROWS, write_text
+from helpers import THREE_ROWS, write_text
 from waybatch.operators import routing
 from waybatch.operators.batching import assign_batches, batch_crs, check_batch_size
 from waybatch.schema import DELIVERY_SCHEMA

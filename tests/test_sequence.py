@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import HEADER, write_text
+from helpers import HEADER, write_text
 from waybatch.operators import sequence
 from waybatch.operators.batching import FILE_ORDER, assign_batches, batch_count
 
@@ -113,7 +113,7 @@ def test_string_key(spark):
 
 
 def test_head_paths_agree_on_fixture(spark):
-    from conftest import SF_TINY
+    from helpers import SF_TINY
     from waybatch.plans import fixtures as fx
 
     trips = fx.trips(spark, SF_TINY)

@@ -1,4 +1,4 @@
-from conftest import HEADER, THREE_ROWS, write_text
+from helpers import HEADER, THREE_ROWS, write_text
 from waybatch.streaming.ingest import start_route_stream
 
 LINES = THREE_ROWS.splitlines(keepends=True)[1:]
