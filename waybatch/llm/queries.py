@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and DuckDB SQL where it says the same."""
+"""The registered queries of the operators, and DuckDB SQL where it says the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybatch.llm import bpe, decontaminate, jaccard, language, licenses, token_store, toxicity, url_filter, warc, winnow
+from waybatch.llm import (
+    bpe, decontaminate, jaccard, language, licenses, oracle, sanitise, token_store, toxicity, trie, url_filter, variants, warc, winnow,
+)
 
 RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -86,10 +88,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences, _ = trie.turn_sequences(spark, read(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(spark, trie.with_shared_heads(sequences))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.digests(sanitise.find_personal_data(spark, read(spark, sf_dir, "documents")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(spark, variants.vocabulary(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_url_filter, op2_decontamination, op3_license_scan, op4_byte_bpe, op5_token_store,
-        op6_language_id, op7_ngram_jaccard, op8_toxicity, op9_winnowing, op10_warc)}
+        op6_language_id, op7_ngram_jaccard, op8_toxicity, op9_winnowing, op10_warc,
+        op11_prefix_trie, op12_personal_data, op13_spelling_variants)}
 
 
 _HOST = "coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
@@ -120,6 +136,9 @@ SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN listed THEN 'block'
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": _op1_sql(),
+        "op11_prefix_trie": oracle.trie_sql(),
+        "op12_personal_data": oracle.personal_data_sql(),
+        "op13_spelling_variants": oracle.variants_sql(),
         "op10_warc": f"""
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
