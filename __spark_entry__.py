@@ -133,6 +133,33 @@ def q_csv_file_report(spark, sf):
         F.sum(F.greatest(F.col("n_data_lines"), F.lit(0))).cast("long").alias("n_data_lines"))
 
 
+def _noted(spark, sf) -> DataFrame:
+    """Deliveries with a note of two lines, commas and quotes on every third."""
+    i = F.col("delivery_id")
+    note = F.concat(F.lit("gate "), i.cast("string"), F.lit('\nsay "hi", twice'))
+    return _delivery_cols(fx.deliveries(spark, sf)).withColumn("note", F.when(i % 3 == 0, note).otherwise(F.lit("plain")))
+
+
+def _write_noted(spark, sf, path) -> None:
+    _noted(spark, sf).write.option("header", "true").option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+
+
+def q_csv_quoted_newlines(spark, sf):
+    path = scratch_path(spark, "csv-quoted")
+    _write_noted(spark, sf, path)
+    text = files.read_delivery_csv(spark, path, [*DELIVERY_COLUMNS, "note"])
+    return files.typed_deliveries(text).select(*DELIVERY_COLUMNS, "note")
+
+
+def q_csv_quoted_report(spark, sf):
+    root = scratch_path(spark, "quoted-report")
+    _write_noted(spark, sf, f"{root}/quoted")
+    sinks.write_delivery_csv(fx.deliveries(spark, sf), f"{root}/plain")
+    rep = files.csv_file_report(spark, root)
+    source = F.element_at(F.split(F.col("file_path"), "/"), -2)
+    return rep.groupBy(source.alias("source"), "status", "quoted_breaks").agg(F.sum("n_data_lines").cast("long").alias("n_records"))
+
+
 def q_sql_view(spark, sf):
     name = f"wb_deliveries_{uuid.uuid4().hex[:8]}"
     fx.deliveries(spark, sf).createOrReplaceTempView(name)
@@ -180,12 +207,12 @@ def q_ingest_route_store(spark, sf):
 
 # ------------------------------------------------------------------ others
 def q_prepare(spark, sf):
-    return prepare_deliveries(fx.trips(spark, sf), fx.zones(spark, sf), order_by="trip_id",
+    return prepare_deliveries(fx.trips(spark, sf), fx.zones_listed(spark, sf), order_by="trip_id",
                               pickup_col="pulocationid", dropoff_col="dolocationid")
 
 
 def q_zone_lookup(spark, sf):
-    looked = lookup.zone_lookup(fx.trips(spark, sf), fx.zones(spark, sf), "pulocationid", "dolocationid")
+    looked = lookup.zone_lookup(fx.trips(spark, sf), fx.zones_listed(spark, sf), "pulocationid", "dolocationid")
     return looked.select("trip_id", "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon")
 
 
@@ -251,6 +278,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zone_centroid_wgs84": q_zone_centroid_wgs84,
         "csv_file_report": q_csv_file_report,
         "csv_roundtrip": q_csv_roundtrip,
+        "csv_quoted_newlines": q_csv_quoted_newlines,
+        "csv_quoted_report": q_csv_quoted_report,
         "source_fallback": q_source_fallback,
         "source_full_with_sample": q_source_full_with_sample,
         "sql_view": q_sql_view,

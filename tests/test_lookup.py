@@ -41,3 +41,12 @@ def test_zone_lookup_default_and_unknown(spark):
     assert got == [(1, 40.75, -73.98, 40.76, -73.99), (2, 40.76, -73.99, 40.75, -73.98), (999, 40.75, -73.98, 40.76, -73.99)]
     unk = {(r.locationid, r.role): r.n_trips for r in lookup.unknown_zones(trips, zones).collect()}
     assert unk == {(999, "pickup"): 1, (None, "dropoff"): 1}
+
+
+def test_a_zone_listed_twice_keeps_the_rows(spark):
+    trips = spark.createDataFrame([(1, 56, 56), (2, 56, 7), (3, None, 99)], "trip_id int, p int, d int")
+    zones = spark.createDataFrame([(56, 1.0, 1.0, 0), (56, 2.0, -2.0, 1), (56, None, 3.0, 2), (7, 5.0, 5.0, 3)], "locationid int, lat double, lon double, entry int")
+    got = {r.trip_id: (r.pickup_lat, r.pickup_lon, r.dropoff_lat) for r in lookup.zone_lookup(trips, zones, "p", "d", (0.0, 0.5)).collect()}
+    assert got == {1: (2.0, -2.0, 2.0), 2: (2.0, -2.0, 5.0), 3: (0.0, 0.5, 0.0)}
+    unordered = lookup.zone_lookup(trips, zones.drop("entry"), "p", "d")
+    assert unordered.count() == 3 and unordered.filter("trip_id = 1").first().pickup_lat == 2.0

@@ -2,8 +2,9 @@
 
 import pytest
 
-from helpers import SF_TINY
+from helpers import SF_TINY, THREE_ROWS, write_text
 import __spark_entry__ as entry
+from waybatch.sources import files
 
 
 def _plan(df) -> str:
@@ -25,8 +26,9 @@ def test_dense_batches_do_not_shuffle(spark):
     assert _exchanges(_plan(entry.queries()["batch_assign"](spark, SF_TINY))) == 0
 
 
-def test_file_report_hash_aggregates(spark):
-    text = _plan(entry.queries()["csv_file_report"](spark, SF_TINY))
+def test_file_report_hash_aggregates(spark, tmp_dir):
+    write_text(f"{tmp_dir}/raw/a.csv", THREE_ROWS)
+    text = _plan(files.line_counts(spark, f"{tmp_dir}/raw"))
     assert "SortAggregate" not in text and "HashAggregate" in text
 
 

@@ -10,6 +10,21 @@ from waybatch.schema import DEFAULT_ZONE_LAT, DEFAULT_ZONE_LON
 from waybatch.session import broadcast_if_small
 
 
+def one_row_per_zone(zones: DataFrame) -> DataFrame:
+    """``(locationid, lat, lon)``, one row an id: where an id is listed several
+    times, the last entry wins, by ``entry`` if the table has such a column (a
+    number that grows with the place in the list), else the entry of largest
+    ``(lat, lon)``. Entries without a place don't count. A list without
+    repeated ids (one small count shows it) is taken as it is."""
+    order = ["entry", "lat", "lon"] if "entry" in zones.columns else ["lat", "lon"]
+    known = zones.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("locationid").isNotNull())
+    n = known.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("locationid").alias("ids")).first()
+    if n["rows"] == n["ids"]:
+        return known.select("locationid", "lat", "lon")
+    last = F.max(F.struct(*order)).alias("last")
+    return known.groupBy("locationid").agg(last).select("locationid", F.col("last.lat").alias("lat"), F.col("last.lon").alias("lon"))
+
+
 def zone_lookup(
     trips: DataFrame,
     zones: DataFrame,
@@ -19,12 +34,12 @@ def zone_lookup(
 ) -> DataFrame:
     """Pickup and dropoff coordinates from ``zones(locationid, lat, lon)``.
 
-    Unknown ids take ``default``; the row count is kept. Zones with a null
+    Unknown ids take ``default``; the row count is kept, also where a zone id
+    is listed several times (``one_row_per_zone``). Zones with a null
     centroid count as unknown. The zone table is broadcast behind a row
     check; a larger one falls back to a shuffle join.
     """
-    z = zones.select("locationid", "lat", "lon").filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    z = broadcast_if_small(z)
+    z = broadcast_if_small(one_row_per_zone(zones))
     pz = z.select(F.col("locationid").alias("_wb_pid"), F.col("lat").alias("_wb_plat"), F.col("lon").alias("_wb_plon"))
     dz = z.select(F.col("locationid").alias("_wb_did"), F.col("lat").alias("_wb_dlat"), F.col("lon").alias("_wb_dlon"))
     out = trips.join(pz, F.col(pickup_col) == F.col("_wb_pid"), "left").join(

@@ -270,6 +270,10 @@ GROUP BY locationid, role"""
     q["utm_project"] = with_fixtures(["deliveries"]) + f"SELECT delivery_id, {e} AS easting, {n} AS northing FROM deliveries"
     for key in ("sql_view", "csv_roundtrip", "source_fallback", "source_full_with_sample"):
         q[key] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries"
+    q["csv_quoted_newlines"] = with_fixtures(["deliveries"]) + f"""SELECT {deliv},
+  CASE WHEN delivery_id % 3 = 0 THEN 'gate ' || delivery_id || chr(10) || 'say "hi", twice' ELSE 'plain' END AS note FROM deliveries"""
+    q["csv_quoted_report"] = with_fixtures(["deliveries"]) + """SELECT 'plain' AS source, 'ok' AS status, false AS quoted_breaks, count(*) AS n_records FROM deliveries
+UNION ALL SELECT 'quoted', 'ok', true, count(*) FROM deliveries"""
     q["sample_csv"] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries ORDER BY delivery_id LIMIT 10000"
     q["union_files"] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries UNION ALL SELECT {deliv} FROM deliveries"
     q["csv_file_report"] = with_fixtures(["deliveries"]) + """SELECT 'good' AS source, 'ok' AS status, count(*) AS n_data_lines FROM deliveries

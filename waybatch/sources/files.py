@@ -2,7 +2,8 @@
 
 CSV files are checked per file with one text pass (header, line count,
 UTF-8, blank), valid ones are read with every required column as text and
-unioned by name, then typed. Any Hadoop file system path works (local,
+unioned by name, then typed. Files with line breaks in quotes are read by
+record. Any Hadoop file system path works (local,
 ``hdfs://``, ``s3a://``); listing, retries and reads are Spark's.
 """
 
@@ -10,14 +11,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybatch.functions.timefn import normalize_nulls, parse_timestamp
 from waybatch.operators.sequence import with_file_order
 from waybatch.schema import DELIVERY_COLUMNS, DELIVERY_SCHEMA, TRIP_COLUMNS
-from waybatch.session import path_exists
+from waybatch.session import checkpoint_root, path_exists
+from waybatch.sources import csv_records
 
 
 class IngestError(RuntimeError):
@@ -62,38 +64,60 @@ def _pos_col(c: str) -> str:
     return f"pos_{c}"
 
 
-def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> DataFrame:
-    """One row per ``*.csv`` file under ``paths`` (recursive).
+def _names(line: Column) -> Column:
+    """Column names of a header: cut at commas outside quotes, quotes removed."""
+    cut = F.split(F.regexp_replace(line, "^\ufeff", ""), ',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)')
+    return F.transform(cut, lambda n: F.regexp_replace(F.regexp_replace(n, '^"|"$', ""), '""', '"'))
 
-    ``status``: ``ok``, ``non_utf8``, ``empty`` (blank), ``header_only``,
-    ``missing_columns``, ``malformed`` (a row has more fields than the
-    header; commas in quotes separate none; rows with fewer end in nulls). Zero-byte files yield no lines and so no row;
-    they are skipped all the same. The header is the first line of the
-    file (smallest scan row of its first split). Every aggregate has a
-    fixed-width buffer (counts, flags, and for the header only the
-    position of each required column and the column count), so Spark
-    hash-aggregates the lines in one pass without sorting them.
-    """
-    lines = _text_lines(spark, paths)
-    in_head = F.col("_wb_block") == F.lit(0)
-    first = F.when(in_head, F.col("_wb_row"))
-    names = F.split(F.regexp_replace(F.col("value"), '^\ufeff|"', ""), ",")
+
+def _per_file(rows: DataFrame, required, is_head, order) -> DataFrame:
+    """Counts and header layout by file of ``rows`` (lines or records, as
+    ``value``); the first row of those that ``is_head`` is the header."""
+    names = _names(F.col("value"))
 
     def head(e):
-        return F.min_by(F.when(in_head, e), first)
+        return F.min_by(F.when(is_head, e), F.when(is_head, order))
 
-    per_file = lines.groupBy("file_path", "file_name").agg(
+    return rows.groupBy("file_path", "file_name").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.trim(F.col("value")) != F.lit("")).alias("n_nonblank"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.max(F.size(F.split(F.regexp_replace(F.col("value"), '"([^"]|"")*"', ""), ","))).alias("n_most"),
+        F.max(F.size(F.split(F.regexp_replace(F.col("value"), csv_records.QUOTED, ""), ","))).alias("n_most"),
+        F.count_if(csv_records.is_open(F.col("value"))).alias("n_open"),
         head(F.size(names)).alias("n_columns"),
         *[head(F.array_position(names, F.lit(c)).cast("int")).alias(_pos_col(c)) for c in required],
     )
+
+
+def line_counts(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> DataFrame:
+    """One row a file, from its lines. Every aggregate has a fixed-width buffer
+    (counts, flags, and for the header only the position of each required
+    column and the column count), so Spark hash-aggregates the lines in one
+    pass without sorting them."""
+    return _per_file(_text_lines(spark, paths), required, F.col("_wb_block") == F.lit(0), F.col("_wb_row"))
+
+
+def _inspect(spark: SparkSession, paths, required) -> tuple[DataFrame, DataFrame | None]:
+    """The report, and the records of files with line breaks in quotes if there are any."""
+    checkpoint_root(spark)
+    lines = line_counts(spark, paths, required).checkpoint()
+    broken = [r["file_path"] for r in lines.filter("utf8 and n_open > 0").select("file_path").collect()]
+    per_file = lines.withColumn("quoted_breaks", F.lit(False)).withColumn("unfinished", F.lit(False))
+    records = None
+    if broken:
+        records, states = csv_records.read_records(spark, sorted(broken))
+        name = F.element_at(F.split("file", "/"), -1).alias("file_name")
+        rows = records.select(F.col("file").alias("file_path"), name, "idx", "value")
+        unfinished = states.groupBy("file").agg(F.max_by("ends_inside", "block").alias("unfinished"))
+        by_record = _per_file(rows, required, F.col("idx") == F.lit(-1), F.col("idx")).withColumn("quoted_breaks", F.lit(True))
+        by_record = by_record.join(unfinished.withColumnRenamed("file", "file_path"), "file_path")
+        kept = per_file.join(by_record.select("file_path"), "file_path", "left_anti")
+        per_file = kept.unionByName(by_record).checkpoint()
     has_all = reduce(lambda a, b: a & b, [F.col(_pos_col(c)) > 0 for c in required])
     status = (
         F.when(~F.col("utf8"), F.lit("non_utf8"))
         .when(F.col("n_nonblank") == 0, F.lit("empty"))
+        .when(F.col("unfinished"), F.lit("malformed"))
         .when(F.col("n_nonblank") <= 1, F.lit("header_only"))
         .when(~has_all, F.lit("missing_columns"))
         .when(F.col("n_most") > F.col("n_columns"), F.lit("malformed"))
@@ -102,8 +126,27 @@ def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> Da
     return per_file.select(
         "file_path", "file_name", "n_lines",
         F.greatest(F.col("n_nonblank") - F.lit(1), F.lit(0)).alias("n_data_lines"),
-        "n_columns", *[_pos_col(c) for c in required], status.alias("status"),
-    )
+        "n_columns", *[_pos_col(c) for c in required], status.alias("status"), "quoted_breaks",
+    ), records
+
+
+def csv_file_report(spark: SparkSession, paths, required=DELIVERY_COLUMNS) -> DataFrame:
+    """One row per ``*.csv`` file under ``paths`` (recursive).
+
+    ``status``: ``ok``, ``non_utf8``, ``empty`` (blank), ``header_only``,
+    ``missing_columns``, ``malformed`` (a row has more fields than the
+    header; commas in quotes separate none; rows with fewer end in nulls; or
+    the file ends inside quotes). Counts are of lines, and of records where
+    quoted fields hold line breaks (``quoted_breaks``). Zero-byte files yield
+    no lines and so no row; they are skipped all the same. The header is the
+    first line of the file (smallest scan row of its first split), or its
+    first record.
+
+    Files are read once as lines; only those with a line that ends inside
+    quotes are read again, by split (``csv_records``). What this returns is
+    one row a file, computed already.
+    """
+    return _inspect(spark, paths, required)[0]
 
 
 def read_delivery_csv(spark: SparkSession, paths, required=DELIVERY_COLUMNS, report: DataFrame | None = None) -> DataFrame:
@@ -112,10 +155,13 @@ def read_delivery_csv(spark: SparkSession, paths, required=DELIVERY_COLUMNS, rep
     Files are grouped by header layout (column count and the position of
     each required column); each group is read with a matching all-text
     schema, so files ordering their columns differently line up by name.
+    Files whose quoted fields hold line breaks are read as records, by split.
     The report (one row per file) is the only thing collected.
     """
-    report = report if report is not None else csv_file_report(spark, paths, required)
-    layout = ["n_columns"] + [_pos_col(c) for c in required]
+    records = None
+    if report is None:
+        report, records = _inspect(spark, paths, required)
+    layout = ["quoted_breaks", "n_columns"] + [_pos_col(c) for c in required]
     ok = report.filter(F.col("status") == F.lit("ok")).select("file_path", *layout).collect()
     if not ok:
         raise IngestError(f"No valid CSV content found in {_as_list(paths)}")
@@ -124,12 +170,21 @@ def read_delivery_csv(spark: SparkSession, paths, required=DELIVERY_COLUMNS, rep
         groups.setdefault(tuple(r[c] for c in layout), []).append(r["file_path"])
     frames = []
     for key, group_files in sorted(groups.items()):
-        n_columns, positions = key[0], dict(zip(required, key[1:]))
+        quoted_breaks, n_columns, positions = key[0], key[1], dict(zip(required, key[2:]))
         by_pos = {p: c for c, p in positions.items()}
         schema = T.StructType(
             [T.StructField(by_pos.get(i, f"_wb_other_{i}"), T.StringType(), True) for i in range(1, n_columns + 1)]
         )
-        df = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(sorted(group_files))
+        if quoted_breaks:
+            if records is None:
+                records = csv_records.read_records(spark, sorted(r["file_path"] for r in ok if r["quoted_breaks"]))[0]
+            group = F.broadcast(spark.createDataFrame([(f,) for f in group_files], "file string"))
+            own = records.filter(F.col("idx") >= 0).join(group, "file", "left_semi")
+            df = own.select(F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), {"escape": '"', "maxCharsPerColumn": "-1"}).alias("r"),
+                            F.col("file").alias("_wb_file"), F.col("block").alias("_wb_block"), F.col("idx").alias("_wb_row"))
+            frames.append(df.select(*(F.col(f"r.{c}").alias(c) for c in required), "_wb_file", "_wb_block", "_wb_row"))
+            continue
+        df = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").option("escape", '"').csv(sorted(group_files))
         df = with_file_order(df)
         frames.append(df.select(*required, "_wb_file", "_wb_block", "_wb_row"))
     return reduce(lambda a, b: a.unionByName(b), frames)
