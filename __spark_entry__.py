@@ -197,6 +197,22 @@ def q_routes_append_dedup(spark, sf):
     return sinks.read_routes(spark, path)
 
 
+def q_routes_append_twice(spark, sf):
+    path = scratch_path(spark, "routes-twice")
+    for _ in range(2):  # one id: the second append finds it in the manifest
+        sinks.append_routes(spark, _stored_input_order(spark, sf), path, batch_id="day-1")
+    return sinks.read_routes(spark, path)
+
+
+def q_routes_append_overlap(spark, sf):
+    """All but every seventh route, then all of them: only what is new is added."""
+    path = scratch_path(spark, "routes-overlap")
+    routes = _stored_input_order(spark, sf)
+    sinks.append_routes(spark, routes.filter(F.col("delivery_id") % 7 != 0), path)
+    sinks.append_routes(spark, routes, path, dedupe=True)
+    return sinks.read_routes(spark, path).drop("route_key")
+
+
 def q_ingest_route_store(spark, sf):
     root = scratch_path(spark, "job")
     _write_ordered_csv(fx.deliveries(spark, sf), f"{root}/raw")
@@ -288,6 +304,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "routes_append": q_routes_append,
         "routes_append_key": q_routes_append_key,
         "routes_append_dedup": q_routes_append_dedup,
+        "routes_append_twice": q_routes_append_twice,
+        "routes_append_overlap": q_routes_append_overlap,
         "prepare_deliveries": q_prepare,
         "yield_check": lambda s, sf: quality.yield_check(q_prepare(s, sf), fx.trips(s, sf).count()),
         "zone_lookup": q_zone_lookup,

@@ -1,8 +1,12 @@
+import datetime as dt
+import os
+
 import pytest
 
 from waybatch.operators import routing
 from waybatch.operators.batching import assign_batches
 from waybatch.schema import DELIVERY_SCHEMA
+from waybatch.sinks import manifest
 from waybatch.sinks import routes as sinks
 
 ROWS = [
@@ -76,3 +80,83 @@ def test_append_key_with_short_batches(spark, tmp_dir):
     assert sinks.append_routes(spark, routes, path) == 6
     got = sorted((r.route_key, r.delivery_id) for r in sinks.read_routes(spark, path).collect())
     assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6)]
+
+
+def _dated(spark, ids, days):
+    rows = [(i, 40.7 + i / 1000, -73.9, 40.8, -73.8, dt.datetime(2025, 1 + d % 12, 1 + d % 28)) for i, d in zip(ids, days, strict=True)]
+    d = spark.createDataFrame(rows, DELIVERY_SCHEMA)
+    return routing.route_input_order(assign_batches(d, "delivery_id", 5))
+
+
+def test_a_batch_id_is_appended_once(spark, tmp_dir):
+    path = f"{tmp_dir}/routes"
+    assert sinks.append_routes(spark, _routes(spark), path, batch_id="a") == 3
+    assert sinks.append_routes(spark, _routes(spark), path, batch_id="a") == 0
+    assert sinks.append_routes(spark, _routes(spark), path, batch_id="b") == 3
+    assert sorted(r.route_key for r in sinks.read_routes(spark, path).collect()) == [1, 2, 3, 4, 5, 6]
+    assert [(c.version, c.batch_id, c.rows, c.last_key) for c in manifest.commits(spark, path)] == [(1, "a", 3, 3), (2, "b", 3, 6)]
+    for bad in ("", "../x", "a/b", ".a", "x" * 129):
+        with pytest.raises(ValueError):
+            sinks.append_routes(spark, _routes(spark), path, batch_id=bad)
+    with pytest.raises(ValueError):
+        sinks.append_routes(spark, _routes(spark), "wb_catalog_name", batch_id="a")
+
+
+def test_death_before_the_commit_leaves_the_old_version(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/routes"
+    sinks.append_routes(spark, _routes(spark), path, batch_id="a")
+
+    def dies(*_):
+        raise RuntimeError("killed")
+    with monkeypatch.context() as m:
+        m.setattr(manifest, "commit", dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            sinks.append_routes(spark, _dated(spark, range(10), range(10)), path, batch_id="b")
+    assert os.path.isdir(f"{path}/batch=b")
+    assert sinks.read_routes(spark, path).count() == 3
+    assert sinks.append_routes(spark, _dated(spark, range(4), range(4)), path, batch_id="b") == 4
+    assert sorted(r.route_key for r in sinks.read_routes(spark, path).collect()) == list(range(1, 8))
+
+
+def test_two_writers_conflict(spark, tmp_dir):
+    path = f"{tmp_dir}/routes"
+    manifest.create(spark, path)
+    manifest.commit(spark, path, [], "a", 0, 0, 0)
+    with pytest.raises(manifest.AppendConflict):
+        manifest.commit(spark, path, [], "b", 0, 0, 0)
+    assert [c.batch_id for c in manifest.commits(spark, path)] == ["a"]
+
+
+def test_a_folder_without_a_manifest_is_refused(spark, tmp_dir):
+    spark.range(3).write.parquet(f"{tmp_dir}/plain")
+    with pytest.raises(ValueError, match="no manifest"):
+        sinks.append_routes(spark, _routes(spark), f"{tmp_dir}/plain")
+
+
+def test_dedupe_reads_only_the_months_it_must(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/routes"
+    sinks.append_routes(spark, _dated(spark, range(120), range(120)), path)
+    seen = []
+    real = manifest.read
+
+    def watched(spark, path, schema, done=None):
+        df = real(spark, path, schema, done)
+        seen.append(df)
+        return df
+    monkeypatch.setattr(manifest, "read", watched)
+    # 200 .. 203 are new, 12 is stored (January)
+    assert sinks.append_routes(spark, _dated(spark, [12, 200, 201, 202, 203], [12, 24, 48, 60, 72]), path, dedupe=True) == 4
+    plan = seen[0].filter("route_month in ('2025-01')")._jdf.queryExecution().executedPlan().toString()  # the read for the exact join
+    assert "PartitionFilters: [" in plan and "route_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    # keys that no filter has open nothing: the table is not read
+    seen.clear()
+    assert sinks.append_routes(spark, _dated(spark, [900], [400]), path, dedupe=True) == 1
+    assert len(seen) == 1  # the new batch, for its own filter
+    assert sinks.read_routes(spark, path).count() == 125
+
+
+def test_dedupe_keeps_nulls_equal(spark, tmp_dir):
+    path = f"{tmp_dir}/routes"
+    sinks.append_routes(spark, _routes(spark), path)  # null timestamps
+    assert sinks.append_routes(spark, _routes(spark), path, dedupe=True) == 0
+    assert [c.rows for c in manifest.commits(spark, path)] == [3, 0]

@@ -101,12 +101,14 @@ def route_job(
     strict: bool = True,
     stage: bool = True,
     dedupe: bool = False,
+    batch_id: str | None = None,
     _observe=None,
     _appended=None,
 ) -> DataFrame:
     """Ingest -> quality check -> route -> append; returns the stored table.
 
-    The only driver-side data are per-file reports and per-range counts.
+    The only driver-side data are per-file reports and per-range counts. With
+    a ``batch_id`` a job that ran already appends nothing (``append_routes``).
     """
     check_batch_size(batch_size)
     if full_path is None:
@@ -123,7 +125,7 @@ def route_job(
     routes = optimize_routes(typed, order_by=FILE_ORDER, batch_size=batch_size, mode=mode)
     if _observe:
         routes = routes.observe(_observe[1], F.count(F.lit(1)).alias("rows"))
-    n = append_routes(spark, routes, target_path, dedupe=dedupe)
+    n = append_routes(spark, routes, target_path, dedupe=dedupe, batch_id=batch_id)
     if _appended is not None:
         _appended.append(n)
     if staged:

@@ -366,6 +366,8 @@ SELECT batch_id, rn, nearest_rn, dist FROM (
 UNION ALL SELECT CAST(route_k + (SELECT count(*) FROM rk) AS BIGINT), delivery_id FROM rk"""
     one = _stored_select("rk", "route_k").replace("SELECT CAST(route_k AS BIGINT) AS route_key, ", "SELECT ")
     q["routes_append"] = stored + one + "\nUNION ALL\n" + one
+    q["routes_append_twice"] = q["routes_readback"]
+    q["routes_append_overlap"] = stored + one
     q["geometry_repair"] = with_fixtures(["deliveries"], f"""g AS (SELECT delivery_id, pickup_lat,
   CASE WHEN delivery_id % 13 = 0 THEN NULL ELSE pickup_lon END AS pickup_lon,
   CASE WHEN delivery_id % 7 = 0 THEN NULL WHEN delivery_id % 11 = 0 THEN 'LINESTRING (0 0, 1 1)'
