@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from waybatch.llm import jaccard, queries, warc
@@ -56,6 +58,7 @@ def texts(seed, groups=12, of=10):
 @pytest.mark.parametrize("words,percent", [(4, 85), (5, 80), (2, 50)])
 def test_classes_equal_brute_force(spark, docs, monkeypatch, block, words, percent):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_ELEMENTS", 40 * block)
     rows = texts(words + block)
     ids = random.Random(block).sample(range(10_000), len(rows))
     want = classes(list(zip(ids, rows, strict=True)), words, percent)
@@ -159,3 +162,47 @@ def test_archive_headers_and_ends(spark, tmp_path):
             warc.read_archives(spark, str(tmp_path / "wrong"))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_small_set_leaves_the_bound_of_the_others(spark):
+    """Parities are compared at the width of the pair, not of the least set in the list."""
+    rng = random.Random(1)
+    n = [40] + [2000] * 120
+    sets = [np.array([rng.getrandbits(64) for _ in range(k)], np.uint64) for k in n]
+    column = lambda x, t: np.array(x, t)
+    c = {"at": column([k << 32 for k in n], np.int64), "side": column([0] * len(n), np.int64), "node": column(range(len(n)), np.int64),
+         "parity": column([jaccard._parity(s, jaccard._bits(len(s))) for s in sets], object)}
+    assert list(jaccard._open(c, slice(0, len(n)), 80)) == []
+    c["parity"][50] = c["parity"][7]
+    assert [(i, j.tolist()) for i, j in jaccard._open(c, slice(0, len(n)), 80)] == [(7, [50])]
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("two_sided", [False, True])
+def test_derived_links_equal_brute_force(seed, two_sided):
+    rng = random.Random(seed)
+    base = [rng.getrandbits(64) for _ in range(200)]
+    sets = []
+    for _ in range(60):
+        kept = set(rng.sample(base, rng.randint(150, 200))) if rng.random() < 0.8 else set()
+        sets.append(np.array(sorted(kept | {rng.getrandbits(64) for _ in range(rng.randint(1, 30))}), np.uint64))
+    sets += [sets[3], np.zeros(0, np.uint64)]
+    side = np.array([i % 2 if two_sided else 0 for i in range(len(sets))])
+    got = list(jaccard.derived_links(sets, side, 80))
+    linked = lambda x, y: len(x & y) and 100 * len(x & y) >= 80 * len(x | y)
+    plain = [set(s.tolist()) for s in sets]
+    want = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if linked(plain[i], plain[j]) and (not two_sided or side[i] != side[j])]
+
+    def classes_of(pairs):
+        roots = list(range(len(sets)))
+        for i, j in pairs:
+            a, b = roots[i], roots[j]
+            roots = [min(a, b) if r in (a, b) else r for r in roots]
+        return roots
+    assert set(got) <= set(want) and classes_of(got) == classes_of(want) and len(got) < len(sets)
+
+
+def test_lists_are_cut_where_batches_are(spark):
+    batches = [pa.RecordBatch.from_pydict({c: pa.array(x, pa.int64()) for c in ("token", "at", "node")}) for x in
+               ([1, 2, 2], [2], [], [3], [4, 4], [4], [5], [6, 7, 7])]
+    assert [x for b in jaccard._listed(iter(batches)) for x in b.column("token").to_pylist()] == [2, 2, 2, 4, 4, 4, 7, 7]

@@ -10,20 +10,28 @@ whole stretches are skipped by size, by position, and by set relations:
    with sets that those do not already tie to it, so that a group of near
    copies costs a pair a member, not a pair a pair. These pairs are verified
    on the whole sets.
-3. A list all of whose pairs are verified has nothing left: what was skipped
-   is implied by links. In a list with a pair that failed, sets that the links
-   don't tie are compared again, now each with each.
-
-"Open" is what size, position and parity leave open: parities of two sets
-bound the number of differing elements exactly from below.
-
-No step emits the pairs within a group, and none has a cap: lists longer than
-a block are dealt out as pairs of blocks.
+3. Sets that open pairs connect are a cluster; no link leaves it. A cluster all
+   of whose pairs are verified is done: what was skipped is implied by links.
+   In a cluster with a pair that failed, each set's answers are derived from
+   those of one set, the pivot: sets are what they lack of the pivot and have
+   besides it, and two sets' intersection is the pivot's size, less what either
+   lacks, plus what both lack and what both have besides. So all pairs of a
+   cluster cost their differences from the pivot only, and none is ever a row:
+   what leaves a task are links, at most one a set.
+
+"Open" is what size, position and parity leave open: parities of two sets,
+taken at the width of the smaller one, bound the number of differing elements
+exactly from below.
+
+No step emits the pairs within a group, and none has a cap: long lists and large
+clusters are cut into bands of set size, of which only neighbours can be linked,
+and these are dealt out as pairs of blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +45,8 @@ from waybatch.llm.components import connected_components
 
 #: Counters of the hashed element counts, in chunks of so many.
 COUNTERS, CHUNK = 1 << 21, 1 << 15
-#: Sets of a list that one task compares with each other.
-BLOCK = 1024
+#: Sets of a list, and elements of a cluster's sets, that one task compares with each other.
+BLOCK, BLOCK_ELEMENTS = 1024, 1 << 21
 #: Bits of the largest parity.
 MAX_BITS = 1 << 13
 
@@ -214,13 +222,29 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of key-sorted lists: the entries of lists with two sets or more."""
+    """Of key-sorted lists: the entries of lists with two sets or more, that is
+    those whose token the row before or behind has. One row is held back."""
     names = ["token", "at", "node"]
-    for c in _whole_groups(batches, names):
-        starts, ends = _runs(c["token"])
-        keep = np.repeat(ends - starts > 1, ends - starts)
+    held = {c: np.zeros(0, np.int64) for c in names}
+    before = None  # the token of the row before
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        now = {c: np.concatenate([held[c], b.column(c).to_numpy(zero_copy_only=False)]) for c in names}
+        token = now["token"]
+        same = token[1:] == token[:-1]
+        keep = same.copy()  # of all rows but the last
+        keep[1:] |= same[:-1]
+        if len(keep) and before is not None:
+            keep[0] |= before == token[0]
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[x][keep]) for x in names], names)
+            yield pa.RecordBatch.from_arrays([pa.array(now[c][:-1][keep]) for c in names], names)
+        if len(token) > 1:
+            before = token[-2]
+        held = {c: v[-1:] for c, v in now.items()}
+    if before is not None and len(held["token"]) and held["token"][0] == before:
+        yield pa.RecordBatch.from_arrays([pa.array(held[c]) for c in names], names)
+    release()
 
 
 def _fold(rows: list[bytes], size: int) -> np.ndarray:
@@ -242,23 +266,39 @@ def _arrays(words: int):
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = np.zeros(b.num_rows, bool)
+            linked = np.zeros(b.num_rows, bool)
             for i, (x, y) in enumerate(zip(b.column("xa"), b.column("xb"), strict=True)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both) and both > 0
-            yield b.select(["a", "b"]).filter(pa.array(keep))
+                linked[i] = 100 * both >= percent * (len(x) + len(y) - both) and both > 0
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(linked)], ["a", "b", "linked"])
     return run
 
 
-def _open(c: dict[str, np.ndarray], at: slice, percent: int, sparse: bool) -> Iterator[tuple[int, np.ndarray]]:
+class _Parities:
+    """Parities of one list's sets in order of size, at any set's width. Sets
+    that a set is compared with are as large or larger, and so as wide or wider."""
+
+    def __init__(self, parities: list[bytes]):
+        self.rows, self.widths, self.folded = parities, np.array([len(x) for x in parities]), {}
+
+    def distances(self, i: int, j: np.ndarray) -> np.ndarray:
+        """In how many bits the set ``i`` differs from each of ``j``, at its width."""
+        width = int(self.widths[i])
+        if width not in self.folded:
+            first = int(np.argmax(self.widths >= width))
+            self.folded[width] = first, _fold(self.rows[first:], width)
+        first, at = self.folded[width]
+        return _POP[at[j - first] ^ at[i - first]].sum(1, dtype=np.int64)
+
+
+def _open(c: dict[str, np.ndarray], at: slice, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Of one list, by size: each set's place, and those after it with which
-    size, position and parity leave a link open. Sets of one class are
-    skipped; if ``sparse``, also what is implied once the open pairs given so
-    far are taken as links."""
+    size, position and parity leave a link open, but for what is implied once
+    the open pairs given so far are taken as links."""
     n, place, side = c["at"][at] >> 32, c["at"][at] & 0xFFFFFFFF, c["side"][at]
-    known = c["component"][at].copy()
-    parity = _fold(c["parity"][at].tolist(), min(len(x) for x in c["parity"][at]))
+    known = np.unique(c["node"][at], return_inverse=True)[1]
+    parities = _Parities(c["parity"][at].tolist())
     two_sided = (side != side[0]).any()
     stop = np.searchsorted(n, 100 * n // percent, "right")
     for i in range(len(n) - 1):
@@ -270,60 +310,151 @@ def _open(c: dict[str, np.ndarray], at: slice, percent: int, sparse: bool) -> It
         keep = np.minimum(n[j] - place[j], n[i] - place[i]) >= need
         j, need = j[keep], need[keep]
         if len(j):
-            j = j[_POP[parity[j] ^ parity[i]].sum(1, dtype=np.int64) <= n[j] + n[i] - 2 * need]
-        if len(j) and sparse:
+            j = j[parities.distances(i, j) <= n[j] + n[i] - 2 * need]
+        if len(j):
             classes, first = np.unique(known[j], return_index=True)
             j = j[first]
             known[np.isin(known, classes)] = known[i]
-        if len(j):
             yield i, j
 
 
-def _across(percent: int, sparse: bool):
+def _across(percent: int):
     """Candidate pairs of key-sorted lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _whole_groups(batches, ["cell", "at", "node", "component", "side", "parity"]):
+        for c in _whole_groups(batches, ["cell", "at", "node", "side", "parity"]):
             found = []
             for s, e in zip(*_runs(c["cell"]), strict=True):
-                if (c["component"][s:e] != c["component"][s]).any():
-                    node = c["node"][s:e]
-                    found += [(np.full(len(j), c["cell"][s]), np.full(len(j), node[i]), node[j]) for i, j in _open(c, slice(s, e), percent, sparse)]
+                node = c["node"][s:e]
+                found += [(np.full(len(j), node[i]), node[j]) for i, j in _open(c, slice(s, e), percent)]
             if found:
-                cell, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["cell", "a", "b"])
+                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
     return run
 
 
-def _cells(lists: DataFrame) -> DataFrame:
-    """Lists ``(token, size, at, node)`` as cells whose sets one task compares.
-    A list of up to ``BLOCK`` sets is one cell. A longer one is cut into
-    blocks, and each pair of blocks is a cell of its own."""
-    whole = lists.filter(F.col("size") <= BLOCK).select(F.xxhash64("token").alias("cell"), F.lit(0).alias("side"), "at", "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = (lists.filter(F.col("size") > BLOCK)
-             .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))))
-    return whole.union(dealt.select(
-        F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "at", "node"))
+def _dealt(rows: DataFrame, key: str, weight, block: int, percent: int) -> DataFrame:
+    """Rows ``(key, node, n, ...)`` with a ``cell`` whose sets one task compares,
+    and a ``side``: sets of one side only are compared elsewhere.
 
-
-def _candidates(spark: SparkSession, cells: DataFrame, parities: DataFrame, percent: int, sparse: bool) -> DataFrame:
-    """``(cell, a, b)``: pairs to verify, from cells with components."""
-    cells = (cells.join(parities, "node").select("cell", "at", "node", "component", "side", "parity")
+    A key of up to ``block`` in weight is one cell. A heavier one is cut into
+    bands of set size, in each of which sizes grow by a little more than ``100 /
+    percent``, so that sets can only be linked within a band or with the next
+    one. Bands are cut
+    into blocks by hash, and each pair of blocks of one band or of two
+    neighbours is a cell.
+    """
+    slim = rows.select(key, "n", weight.alias("weight"))
+    heavy = slim.groupBy(key).agg(F.sum("weight").alias("total")).filter(F.col("total") > block).select(key)
+    heavy = small(table(rows.sparkSession, heavy, "jaccard-heavy"))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(101.0 / percent))).cast("int")
+    whole = rows.join(heavy, key, "left_anti").withColumn("cell", F.xxhash64(key)).withColumn("side", F.lit(0))
+    large = rows.join(heavy, key, "left_semi").withColumn("band", band)
+    sizes = slim.join(heavy, key, "left_semi").withColumn("band", band).groupBy(key, "band").agg(
+        F.ceil(F.sum("weight") / block).cast("int").alias("blocks"))
+    sizes = small(table(rows.sparkSession, sizes, "jaccard-bands"))
+    own = large.join(sizes, [key, "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    same = own.withColumn("other", other).select(
+        *rows.columns, F.xxhash64(key, "band", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
+    next_ = own.drop("blocks").join(sizes.withColumn("band", F.col("band") - 1), [key, "band"]).withColumn("other", other).select(
+        *rows.columns, F.xxhash64(F.lit("next"), key, "band", "own", "other").alias("cell"), F.lit(0).alias("side"))
+    last = own.drop("blocks").join(sizes.withColumn("band", F.col("band") + 1), [key, "band"]).withColumn("other", other).select(
+        *rows.columns, F.xxhash64(F.lit("next"), key, F.col("band") - 1, "other", "own").alias("cell"), F.lit(1).alias("side"))
+    return whole.select(*rows.columns, "cell", "side").union(same).union(next_).union(last)
+
+
+def _candidates(spark: SparkSession, lists: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: pairs to verify, of lists ``(token, n, at, node)``."""
+    cells = (_dealt(lists, "token", F.lit(1), BLOCK, percent).join(parities, "node").select("cell", "at", "node", "side", "parity")
              .repartition("cell").sortWithinPartitions("cell", "at", "node"))
-    return table(spark, cells.mapInArrow(_across(percent, sparse), "cell long, a long, b long"), "jaccard-pairs")
+    return table(spark, cells.mapInArrow(_across(percent), "a long, b long").distinct(), "jaccard-pairs")
+
+
+def _sets_of(spark: SparkSession, reps: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``(node, elements)`` of the documents ``ids (doc_id)``."""
+    return table(spark, reps.join(small(ids), "doc_id", "left_semi").mapInArrow(_arrays(words), "node long, elements binary"), "jaccard-elements")
 
 
 def _verify(spark: SparkSession, reps: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the candidate pairs that are linked, on the whole sets."""
-    pairs = pairs.select("a", "b").distinct()
+    """``(a, b, linked)``: the candidate pairs with what their whole sets say."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = table(spark, reps.join(small(ids), "doc_id", "left_semi").mapInArrow(_arrays(words), "node long, elements binary"), "jaccard-elements")
+    sets = _sets_of(spark, reps, table(spark, ids, "jaccard-asked"), words)
     a = sets.select(F.col("node").alias("a"), F.col("elements").alias("xa"))
     b = sets.select(F.col("node").alias("b"), F.col("elements").alias("xb"))
-    linked = pairs.join(a, "a").join(b, "b").select("a", "b", "xa", "xb").mapInArrow(_verified(percent), "a long, b long")
-    return table(spark, linked.distinct(), "jaccard-links")
+    asked = pairs.join(a, "a").join(b, "b").select("a", "b", "xa", "xb").mapInArrow(_verified(percent), "a long, b long, linked boolean")
+    # an id with several texts is linked if one of them is
+    return table(spark, asked.groupBy("a", "b").agg(F.max("linked").alias("linked")), "jaccard-links")
+
+
+def derived_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Links of sorted ``sets``, but for those that the ones given so far imply;
+    of two sides, only links between them. A set is kept as what it lacks of the
+    pivot, a set of middle size, and what it has besides it; the sets that share
+    such elements are looked up by element."""
+    n = np.array([len(x) for x in sets], np.int64)
+    pivot = sets[int(np.argsort(n, kind="stable")[len(n) // 2])]
+    lacks = [np.setdiff1d(pivot, x, assume_unique=True) for x in sets]
+    besides = [np.setdiff1d(x, pivot, assume_unique=True) for x in sets]
+    # no element is both lacked and had besides, so one index serves both
+    own = [np.concatenate(x) for x in zip(lacks, besides, strict=True)]
+    lengths = np.array([len(x) for x in own], np.int64)
+    owner = np.repeat(np.arange(len(sets)), lengths)
+    _, element = np.unique(np.concatenate(own), return_inverse=True)
+    by_element = owner[np.argsort(element, kind="stable")]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(element))]) if len(element) else np.zeros(1, np.int64)
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    lacking = np.array([len(x) for x in lacks], np.int64)
+    two_sided = (side != side[0]).any()
+    known = np.arange(len(sets))
+    for i in range(len(sets) - 1):
+        mine = element[edges[i]:edges[i + 1]]
+        group, place = ragged(ends[mine + 1] - ends[mine])
+        shared = np.bincount(by_element[ends[mine][group] + place], minlength=len(sets))
+        j = np.arange(i + 1, len(sets))
+        both = len(pivot) - lacking[i] - lacking[j] + shared[j]
+        j = j[(100 * both >= percent * (n[i] + n[j] - both)) & (both > 0) & (known[j] != known[i])]
+        if two_sided:
+            j = j[side[j] != side[i]]
+        if len(j):
+            classes, first = np.unique(known[j], return_index=True)
+            known[np.isin(known, classes)] = known[i]
+            for k in j[first]:
+                yield i, int(k)
+
+
+def _derived(percent: int):
+    """Links of the cells of a cell-sorted stream; a cell is of bounded weight."""
+    def links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        sets = [np.frombuffer(x, np.uint64) for _, _, _, x in rows]
+        if len(rows) > 1:
+            for i, j in derived_links(sets, np.array([r[1] for r in rows]), percent):
+                a, b = rows[i][2], rows[j][2]
+                if a != b:
+                    yield max(a, b), min(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["cell", "side", "node", "elements"]
+        stream = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in names), strict=True))
+        for _, rows in groupby(stream, key=lambda r: r[0]):
+            found = list(links(list(rows)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+        release()
+    return run
+
+
+def _rest(spark: SparkSession, reps: DataFrame, asked: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links in clusters with a pair ``(a, b, linked)`` that is no link."""
+    clusters = table(spark, connected_components(spark, asked), "jaccard-clusters")
+    failed = asked.filter("not linked").select(F.col("a").alias("node"))
+    open_ = small(table(spark, failed.join(clusters, "node").select("component").distinct(), "jaccard-open"))
+    nodes = table(spark, clusters.join(open_, "component", "left_semi").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "jaccard-nodes")
+    sets = _sets_of(spark, reps, nodes.select("doc_id"), words)
+    rows = nodes.withColumnRenamed("doc_id", "node").join(sets, "node").withColumn("n", (F.octet_length("elements") / 8).cast("long"))
+    cells = _dealt(rows.filter("n > 0"), "cluster", F.col("n"), BLOCK_ELEMENTS, percent)
+    cells = cells.select("cell", "side", "node", "elements").repartition("cell").sortWithinPartitions("cell", "node")
+    return table(spark, cells.mapInArrow(_derived(percent), "a long, b long").distinct(), "jaccard-rest")
 
 
 def link_classes(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80,
@@ -342,8 +473,8 @@ def link_classes(spark: SparkSession, docs: DataFrame, words: int = 5, percent:
     slim = table(spark, docs.mapInArrow(_sets(words), "doc_id long, n long, key binary"), "jaccard-sets")
     with_set = slim.filter("key is not null and doc_id is not null")
     classes = with_set.groupBy("key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    copies = with_set.join(classes.filter("copies > 1").select("key", "node"), "key").select("doc_id", "node")
-    copies = table(spark, copies, "jaccard-copies")
+    classes = table(spark, classes.filter("copies > 1").select("key", "node"), "jaccard-classes")
+    copies = table(spark, with_set.join(small(classes), "key").select("doc_id", "node"), "jaccard-copies")
     spare = copies.filter("doc_id <> node").select("doc_id").distinct()
     spare = spare.join(copies.filter("doc_id = node").select("doc_id").distinct(), "doc_id", "left_anti")
     reps = docs.filter("doc_id is not null").join(small(spare), "doc_id", "left_anti")
@@ -353,16 +484,9 @@ def link_classes(spark: SparkSession, docs: DataFrame, words: int = 5, percent:
     parities = entries.filter("parity is not null").select("node", "parity")
     lists = entries.select("token", "at", "node").repartition("token").sortWithinPartitions("token", "at", "node")
     lists = table(spark, lists.mapInArrow(_listed, "token long, at long, node long"), "jaccard-lists")
-    cells = _cells(lists.join(lists.groupBy("token").agg(F.count(F.lit(1)).alias("size")), "token"))
-    pairs = _candidates(spark, cells.withColumn("component", F.col("node")), parities, percent, True)
-    links = _verify(spark, reps, pairs, words, percent)
-
-    # Where a pair taken as a link was none, what it seemed to imply is open still.
-    failed = pairs.select("a", "b").distinct().join(links, ["a", "b"], "left_anti")
-    open_cells = table(spark, pairs.join(small(table(spark, failed, "jaccard-failed")), ["a", "b"], "left_semi").select("cell").distinct(), "jaccard-cells")
-    cells = cells.join(small(open_cells), "cell", "left_semi").join(connected_components(spark, links), "node", "left")
-    rest = _candidates(spark, cells.withColumn("component", F.coalesce("component", "node")), parities, percent, False)
-    links = links.union(_verify(spark, reps, rest.select("a", "b").distinct().join(links, ["a", "b"], "left_anti"), words, percent))
+    lists = lists.select("token", F.shiftright("at", 32).alias("n"), "at", "node")
+    asked = _verify(spark, reps, _candidates(spark, lists, parities, percent), words, percent)
+    links = asked.filter("linked").select("a", "b").union(_rest(spark, reps, asked, words, percent))
     found = connected_components(spark, copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).union(links))
     return slim.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
