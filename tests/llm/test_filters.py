@@ -2,6 +2,7 @@ import os
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from waybatch.llm import decontaminate, licenses, queries, toxicity, url_filter
@@ -171,12 +172,38 @@ def test_license_scan_finds_the_statements_of_the_documents(spark, tables):
 
 
 def test_toxicity_held_out(spark):
-    sf = SF.replace("0.001", "0.01")
+    sf = SF.replace("0.001", "0.1")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = queries.op8_toxicity(spark, sf).collect()
-    assert len(rows) == 1000 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    assert len(rows) == 10_000 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
     clean = [r.predicted for r in rows if r.held_out and labels.get(r.doc_id) == 0]
     assert np.mean(clean) < 0.05
+    toxic = [r.predicted for r in rows if r.held_out and labels.get(r.doc_id) == 1]
+    assert len(toxic) > 50 and np.mean(toxic) > 0.8
+
+
+def test_toxicity_scores_equal_the_sum_over_pairs():
+    """The fast form of the pair term against each pair by itself."""
+    rng = np.random.default_rng(1)
+    texts = ["you people are vile", "vile", "", None, "nice people people nice", "unknownword " * 50 + "you are"]
+    _, term = toxicity.text_terms(pa.array(texts))
+    used = np.unique(term)
+    place = np.full(toxicity.RANGE, -1, np.int64)
+    place[used] = np.arange(len(used))
+    model = toxicity.Model(place, 0.3, rng.normal(size=len(used)), rng.normal(size=(len(used), toxicity.FACTORS)) / 3)
+    for text, got in zip(texts, toxicity.scores(model, pa.array(texts)), strict=True):
+        own = sorted({int(place[t]) for t in toxicity.text_terms(pa.array([text], pa.string()))[1]})
+        z = model.w0 + sum(model.w[a] for a in own) + sum(float(model.v[a] @ model.v[b]) for k, a in enumerate(own) for b in own[k + 1:])
+        assert abs(got - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-9
+
+
+def test_toxicity_takes_one_text_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, y: seen.append((len(rows), y.tolist())))
+    docs = spark.createDataFrame([(3, f"text number {i}") for i in range(500)] + [(4, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1), (3, 0), (4, 0)], "doc_id long, toxic int")
+    toxicity.train(spark, docs, labels)
+    assert [(n, sorted(y)) for n, y in seen] == [(2, [0, 1])]
 
 
 def test_toxicity_learns_pairs_and_edge_cases(spark, docs):

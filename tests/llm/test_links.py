@@ -54,8 +54,7 @@ def texts(seed, groups=12, of=10):
     return out + ["", None, "  ", "one", "ONE", "one two three", "ÉÉ éé", "a\x0bb\x0cc d", "same " * 500, "same " * 400, "w1 " * 20_000]
 
 
-@pytest.mark.parametrize("block", [4, 1024])
-@pytest.mark.parametrize("words,percent", [(4, 85), (5, 80), (2, 50)])
+@pytest.mark.parametrize("block,words,percent", [(4, 4, 85), (1024, 5, 80), (4, 2, 50)])
 def test_classes_equal_brute_force(spark, docs, monkeypatch, block, words, percent):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "BLOCK_ELEMENTS", 40 * block)
@@ -115,6 +114,13 @@ def test_archives_round_trip(spark, split):
     assert got == want
 
 
+def test_a_page_without_an_id_keeps_its_payload(spark):
+    text = "same " * 300
+    pages = spark.createDataFrame([(1, "u", text), (None, "u", text), (3, "u", text)], "page_id long, url string, html string")
+    got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to or 0) for r in warc.round_trip(spark, pages).collect())
+    assert got == [(0, 1500, "response", 0), (1, 1500, "revisit", 3), (3, 1500, "response", 0)]
+
+
 def test_truncated_archive_and_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([(i, "u", "p" * 50) for i in range(5)], "page_id long, url string, html string").coalesce(1)
     assert warc.round_trip(spark, pages.limit(0)).count() == 0

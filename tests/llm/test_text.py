@@ -206,3 +206,24 @@ def test_arrow_batches_are_bounded(spark):
         assert spark.conf.get(key) == "1m"
     finally:
         spark.conf.set(key, before)
+
+
+def test_ranges_of_documents():
+    rng = random.Random(4)
+    keys = sorted({(rng.choice([None, *range(6)]), rng.randint(-9, 9)) for _ in range(60)}, key=lambda k: (k[0] is not None, k[0] or 0, k[1]))
+    firsts = keys[::7]
+    got = token_store._range_of(firsts, pa.array([i for i, _ in keys], pa.int64()), np.array([t for _, t in keys]))
+    assert got.tolist() == [k // 7 for k in range(len(keys))]
+
+
+def test_words_are_kept_over_two_generations(codec):
+    from waybatch.llm.chunks import Encoder
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    small, large = (Encoder(tokenizer, bpe.byte_characters(), True, n) for n in (6, 10_000))
+    words = [f"{a}{b}" for a in ("foo", "bar", "Quux", "éa") for b in ("", "x", "yy", ",", "zzz")]
+    rng = random.Random(2)
+    for _ in range(30):
+        some = rng.choices(words, k=5)
+        assert small(some) == large(some)
+    assert len(small.words) + len(small.older) < 20

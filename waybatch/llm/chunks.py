@@ -13,7 +13,8 @@ import numpy as np
 
 from waybatch.llm.common import gather
 
-#: A task forgets its pieces (or words) when it holds so many, or so many ids.
+#: A task forgets its pieces when it holds so many, or so many ids; and words
+#: that it hasn't met since it learned half as many others.
 MOST_PIECES, MOST_WORDS, MOST_IDS = 300_000, 400_000, 6_000_000
 
 #: A word of Latin letters (NFC leaves them; U+0130 has a lower case of two
@@ -27,19 +28,20 @@ class Encoder:
     the matches of plain pieces go to its model one by one, each distinct one
     once; all other pieces go through the whole tokenizer."""
 
-    def __init__(self, tokenizer, shown: list[str], lower: bool):
-        self.tokenizer, self.model, self.shown, self.lower = tokenizer, tokenizer.model, shown, lower
+    def __init__(self, tokenizer, shown: list[str], lower: bool, most_words: int = MOST_WORDS):
+        self.tokenizer, self.model, self.shown, self.lower, self.most_words = tokenizer, tokenizer.model, shown, lower, most_words
         self.forget()
 
     def forget(self) -> None:
         self.words: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, pieces: list[str]) -> list[bytes]:
         plain = [PLAIN.fullmatch(p) for p in pieces]
         others = [p for p, m in zip(pieces, plain, strict=True) if not m]
         rest = iter([array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)])
-        if len(self.words) > MOST_WORDS:
-            self.forget()
+        if len(self.words) > self.most_words // 2:
+            self.older, self.words = self.words, {"": b""}
         words = self.words
         out = []
         for m in plain:
@@ -54,7 +56,10 @@ class Encoder:
         return out
 
     def _word(self, match: str) -> bytes:
-        got = self.words[match] = array("I", [t.id for t in self.model.tokenize("".join([self.shown[b] for b in match.encode()]))]).tobytes()
+        got = self.older.get(match)
+        if got is None:
+            got = array("I", [t.id for t in self.model.tokenize("".join([self.shown[b] for b in match.encode()]))]).tobytes()
+        self.words[match] = got
         return got
 
 
@@ -62,8 +67,8 @@ class Pieces:
     """``split(text)`` gives a text's pieces, ``encode(pieces)`` their ids as
     unsigned 32-bit integers in bytes."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Encoder):
-        self.split, self.encode = split, encode
+    def __init__(self, split: Callable[[str], list[str]], encode: Encoder, most_pieces: int = MOST_PIECES):
+        self.split, self.encode, self.most_pieces = split, encode, most_pieces
         self._forget()
 
     def forget(self) -> None:
@@ -91,7 +96,7 @@ class Pieces:
 
     def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all texts' pieces, joined, and how many each text has."""
-        if len(self.known) > MOST_PIECES or self.used > MOST_IDS:
+        if len(self.known) > self.most_pieces or self.used > MOST_IDS:
             self._forget()
         parts = [self.split(t) for t in texts]
         flat = list(chain.from_iterable(parts))

@@ -29,6 +29,12 @@ from waybatch.session import scratch_path
 MAGIC = b"TKB1"
 #: A block is closed when it has so many tokens.
 BLOCK_TOKENS = 1 << 19
+#: Ids whose counts one row holds on their way to the sums.
+COUNTED = 1 << 11
+#: Coded bytes of a range of documents, about.
+RANGE_BYTES = 64 << 20
+#: Pieces and words that a worker keeps: about 350 MB.
+MOST_PIECES, MOST_WORDS = 500_000, 1_200_000
 
 _WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1
 
@@ -100,15 +106,19 @@ def _pieces(shared) -> tuple[Pieces, int]:
 
         tokenizer = Tokenizer.from_str(shared.value)
         _PIECES.clear()
-        _PIECES[key] = Pieces(_split, Encoder(tokenizer, byte_characters(), lower='"Lowercase"' in shared.value)), tokenizer.get_vocab_size()
+        encode = Encoder(tokenizer, byte_characters(), '"Lowercase"' in shared.value, MOST_WORDS)
+        _PIECES[key] = Pieces(_split, encode, MOST_PIECES), tokenizer.get_vocab_size()
     return _PIECES[key]
 
 
+_STAGED = "doc_id long, tie long, n_tokens long, ids binary, chunk int, counts binary"
+
+
 def _ids(shared, end_id: int):
-    """A row for each document with its ids, and one for the task with the
-    counts of its ids."""
+    """A row for each document with its ids, and rows for the task with the
+    counts of its ids, by chunks of ``COUNTED`` ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tie", "n_tokens", "ids", "counts"]
+        names = ["doc_id", "tie", "n_tokens", "ids", "chunk", "counts"]
         total = np.zeros(0, np.int64)
         for b in steps(batches, "text"):
             pieces, size = _pieces(shared)
@@ -119,36 +129,57 @@ def _ids(shared, end_id: int):
             total = some
             kind = np.dtype("<u2") if max(size, end_id + 1) <= 1 << 16 else np.dtype("<u4")
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("tie"), pa.array(counts + 1), binaries(ids.astype(kind), counts + 1), pa.nulls(b.num_rows, pa.binary())], names)
-        if len(total):
+                [b.column("doc_id"), b.column("tie"), pa.array(counts + 1), binaries(ids.astype(kind), counts + 1),
+                 pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())], names)
+        chunks = [k for k in range(-(-len(total) // COUNTED)) if total[k * COUNTED:(k + 1) * COUNTED].any()]
+        if chunks:
+            n = len(chunks)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names)
+                [*(pa.nulls(n, pa.int64()) for _ in range(3)), pa.nulls(n, pa.binary()), pa.array(chunks, pa.int32()),
+                 pa.array([total[k * COUNTED:(k + 1) * COUNTED].astype("<i8").tobytes() for k in chunks], pa.binary())], names)
     return run
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of tasks, added up as they stream in; as many as the vocabulary."""
-    total = np.zeros(0, np.int64)
+    """Counts of tasks, added up by chunk as they stream in."""
+    total: dict[int, np.ndarray] = {}
     for b in batches:
-        for counts in b.column("counts").to_pylist():
+        for chunk, counts in zip(b.column("chunk").to_pylist(), b.column("counts").to_pylist(), strict=True):
             some = np.frombuffer(counts, "<i8")
-            if len(some) > len(total):
-                total = np.concatenate([total, np.zeros(len(some) - len(total), np.int64)])
-            total[:len(some)] += some
-    if len(total):
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
-
-
-def _coded(ranks):
-    """Each document's ids as ranks in the variable-length code."""
+            total.setdefault(chunk, np.zeros(COUNTED, np.int64))[:len(some)] += some
+    for chunk, sums in total.items():
+        used = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(used + chunk * COUNTED), pa.array(sums[used])], ["id", "n"])
+
+
+def _range_of(firsts: list[tuple], ids: pa.Array, ties: np.ndarray) -> np.ndarray:
+    """The range of each ``(id, tie)``; ``firsts`` are the least of each range,
+    ascending, null ids first."""
+    nulls = sum(i is None for i, _ in firsts)
+    starts = np.array([i for i, _ in firsts if i is not None], np.int64)
+    first_ties = np.array([t for _, t in firsts], np.int64)
+    missing = ids.is_null().to_numpy(zero_copy_only=False)
+    own = ids.fill_null(0).to_numpy()
+    low = np.where(missing, 0, nulls + np.searchsorted(starts, own, "left"))
+    high = np.where(missing, nulls, nulls + np.searchsorted(starts, own, "right"))
+    for a, z in set(zip(low[low < high].tolist(), high[low < high].tolist(), strict=True)):
+        here = np.flatnonzero((low == a) & (high == z))
+        low[here] = a + np.searchsorted(first_ties[a:z], ties[here], "right")
+    return np.maximum(low - 1, 0)
+
+
+def _coded(ranks, firsts: list[tuple]):
+    """Each document's ids as ranks in the variable-length code, and its range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = ranks.value
         for b in batches:
             n, ids = b.column("n_tokens").to_numpy(), b.column("ids").to_pylist()
             kinds = [np.dtype("<u2") if len(x) == 2 * k else np.dtype("<u4") for x, k in zip(ids, n.tolist(), strict=True)]
             code = [pack(rank[np.frombuffer(x, kind)]) for x, kind in zip(ids, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), b.column("n_tokens"), pa.array(code, pa.binary())], ["doc_id", "tie", "n_tokens", "code"])
+            part = _range_of(firsts, b.column("doc_id"), b.column("tie").to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), b.column("doc_id"), b.column("tie"), b.column("n_tokens"), pa.array(code, pa.binary())],
+                ["part", "doc_id", "tie", "n_tokens", "code"])
     return run
 
 
@@ -210,18 +241,27 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, path
         shared = spark.sparkContext.broadcast(f.read())
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     slim = slim.withColumn("tie", F.xxhash64("text"))
-    staged = table(spark, slim.mapInArrow(_ids(shared, end_id), "doc_id long, tie long, n_tokens long, ids binary, counts binary"), "token-ids", "zstd")
-    counts = staged.filter("counts is not null").select("counts").coalesce(1).mapInArrow(_summed, "id long, n long").collect()
+    staged = table(spark, slim.mapInArrow(_ids(shared, end_id), _STAGED), "token-ids", "zstd")
+    counts = (staged.filter("counts is not null").select("chunk", "counts").repartition("chunk")
+              .mapInArrow(_summed, "id long, n long").collect())
     counts.sort(key=lambda r: (-r["n"], r["id"]))
     ids = np.array([r["id"] for r in counts], np.int64)
     rank = np.zeros(int(ids.max(initial=0)) + 1, np.uint32)
     rank[ids] = np.arange(len(ids))
     spark.createDataFrame([(k, int(i)) for k, i in enumerate(ids)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
+    # Ids alone are cut into ranges; of each range one row, its first, reaches
+    # the driver. Then documents are coded and shuffled once, each to its range.
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
-    coded = staged.filter("counts is null").mapInArrow(
-        _coded(spark.sparkContext.broadcast(rank)), "doc_id long, tie long, n_tokens long, code binary")
-    ranged = coded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "code", F.spark_partition_id().alias("part"))
-    ranged.mapInArrow(
+    keys = staged.filter("counts is null").select("doc_id", "tie")
+    coded_bytes = 2 * sum(r["n"] for r in counts)
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), coded_bytes // RANGE_BYTES + 1)
+    firsts = [(r["k"]["doc_id"], r["k"]["tie"]) for r in
+              keys.repartitionByRange(ranges, *order).groupBy(F.spark_partition_id().alias("part"))
+              .agg(F.min(F.struct("doc_id", "tie")).alias("k")).orderBy("part").collect()]
+    coded = staged.filter("counts is null").drop("chunk", "counts").mapInArrow(
+        _coded(spark.sparkContext.broadcast(rank), firsts), "part int, doc_id long, tie long, n_tokens long, code binary")
+    ranged = coded.repartitionById(max(1, len(firsts)), F.col("part")).sortWithinPartitions("part", *order)
+    ranged.select("part", "doc_id", "n_tokens", "code").mapInArrow(
         _blocks, "part int, block int, first_token long, n_tokens long, doc_ids array<long>, bytes binary",
     ).write.option("compression", "zstd").parquet(f"{path}/blocks")
 

@@ -56,8 +56,8 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.searchsorted(both, np.arange(b.num_rows + 1) * RANGE)
         terms = (both % RANGE).astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
-            [b.column("toxic").cast(pa.int32()), pa.array([terms[s:e].tobytes() for s, e in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
-            ["toxic", "terms"])
+            [b.column("doc_id").cast(pa.int64()), b.column("toxic").cast(pa.int32()), pa.array([terms[s:e].tobytes() for s, e in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+            ["doc_id", "toxic", "terms"])
 
 
 def _choose(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
@@ -122,15 +122,17 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on documents with a non-null label whose ``crc32(doc_id) mod 5`` is
     not 0, at most ``MAX_TRAIN`` of them by the least hash of the id. Of
-    several labels of a document the highest counts."""
+    several labels of a document the highest counts; of several texts with
+    one id, one (the least in its terms)."""
     prepared(spark)
     known = (labels.select("doc_id", "toxic").filter("doc_id is not null and toxic is not null")
              .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN))
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    rows = sample.select("doc_id", "text", "toxic").mapInArrow(_distinct, "toxic int, terms binary").collect()
-    rows = sorted((bytes(r["terms"]), r["toxic"]) for r in rows)
+    terms = sample.select("doc_id", "text", "toxic").mapInArrow(_distinct, "doc_id long, toxic int, terms binary")
+    one = terms.groupBy("doc_id").agg(F.min(F.struct("terms", "toxic")).alias("r"))  # as many rows as labels
+    rows = sorted((bytes(r["r"]["terms"]), r["r"]["toxic"]) for r in one.collect())
     return fit([np.frombuffer(t, np.uint32) for t, _ in rows], np.array([y for _, y in rows]))
 
 

@@ -58,7 +58,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     """``(value)``: the bytes of a record for each page, without the last line
     feed. Of pages with equal payloads of ``REVISIT_BYTES`` or more, that with
     the largest id is a response and the others revisit it; all others are
-    responses. Null payloads count as empty. Payloads are only shuffled where
+    responses, and so is a page without an id. Null payloads count as empty. Payloads are only shuffled where
     their digest repeats too often for a broadcast."""
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                      F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
@@ -67,7 +67,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
               .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("pages")).filter("pages > 1").drop("pages"))
     groups = table(pages.sparkSession, groups, "warc-groups")
     p = p.join(small(groups), ["digest", "size"], "left")
-    revisit = F.col("first").isNotNull() & (F.col("first") != F.col("page_id"))
+    revisit = F.coalesce(F.col("first") != F.col("page_id"), F.lit(False))
     body = F.when(~revisit, F.col("payload")).otherwise(F.lit(b""))
     key = lambda c: _uuid(F.concat_ws("-", F.lit("page"), F.coalesce(c.cast("string"), F.lit("null"))))
     head = header([
