@@ -94,21 +94,28 @@ class Pieces:
         self.used += len(ids)
         self.known.update(zip(pieces, range(n, n + len(pieces)), strict=True))
 
-    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all texts' pieces, joined, and how many each text has."""
+    def codes_of(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of pieces; new ones are learned."""
         if len(self.known) > self.most_pieces or self.used > MOST_IDS:
             self._forget()
-        parts = [self.split(t) for t in texts]
-        flat = list(chain.from_iterable(parts))
-        new = list(set(flat).difference(self.known))
+        new = list(set(pieces).difference(self.known))
         if new:
             self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat)), np.fromiter(map(len, parts), np.int64, len(parts))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, joined, and how many each text has."""
-        codes, counts = self.codes(texts)
+    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all texts' pieces, joined, and how many each text has."""
+        parts = [self.split(t) for t in texts]
+        codes = self.codes_of(list(chain.from_iterable(parts)))
+        return codes, np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def joined(self, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, joined, and how many each text has, from the numbers of their pieces."""
         ids, lengths = gather(self.flat, self.ends, codes)
         before = np.concatenate([[0], np.cumsum(lengths)])
         edges = before[np.concatenate([[0], np.cumsum(counts)])]
         return ids, np.diff(edges)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, joined, and how many each text has."""
+        return self.joined(*self.codes(texts))

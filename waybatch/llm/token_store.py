@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybatch.llm.bpe import byte_characters
 from waybatch.llm.chunks import Encoder, Pieces
-from waybatch.llm.common import binaries, prepared, ragged, steps, table
+from waybatch.llm.common import binaries, prepared, ragged, steps, table, text_buffers
 from waybatch.session import scratch_path
 
 MAGIC = b"TKB1"
@@ -33,6 +34,8 @@ BLOCK_TOKENS = 1 << 19
 COUNTED = 1 << 11
 #: Coded bytes of a range of documents, about.
 RANGE_BYTES = 64 << 20
+#: Text bytes of one step: each different word in it is looked up once.
+STEP_TEXT = 4_000_000
 #: Pieces and words that a worker keeps: about 350 MB.
 MOST_PIECES, MOST_WORDS = 500_000, 1_200_000
 
@@ -94,6 +97,25 @@ def _split(text: str) -> list[str]:
     return list(filter(None, text.split(" ")))
 
 
+#: Bytes as they are, but blanks as spaces.
+_BLANKS = np.arange(256, dtype=np.uint8)
+_BLANKS[[9, 10, 13]] = 32
+
+
+def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Different words of a column of texts, as ``_split`` cuts them; the place
+    of each text's words among these, joined; and how many each text has."""
+    data, offsets = text_buffers(texts)
+    spaced = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(_BLANKS[data].tobytes()))
+    lists = pc.split_pattern(spaced, " ")
+    coded = lists.flatten().dictionary_encode()
+    words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    kept = place != (words.index("") if "" in words else -1)
+    before = np.concatenate([[0], np.cumsum(kept)])
+    edges = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    return words, place[kept], np.diff(before[edges - edges[0]])
+
+
 _PIECES: dict[int, tuple[Pieces, int]] = {}
 
 
@@ -120,9 +142,10 @@ def _ids(shared, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "tie", "n_tokens", "ids", "chunk", "counts"]
         total = np.zeros(0, np.int64)
-        for b in steps(batches, "text"):
+        for b in steps(batches, "text", STEP_TEXT):
             pieces, size = _pieces(shared)
-            ids, counts = pieces.ids([t or "" for t in b.column("text").to_pylist()])
+            words, place, counts = _words(b.column("text"))
+            ids, counts = pieces.joined(pieces.codes_of(words)[place], counts)
             ids = np.insert(ids, np.cumsum(counts), end_id)
             some = np.bincount(ids, minlength=len(total))
             some[:len(total)] += total
