@@ -197,6 +197,13 @@ def q_routes_append_dedup(spark, sf):
     return sinks.read_routes(spark, path)
 
 
+def q_page_deep(spark, sf):
+    """A page in the second half of a sorted copy of the deliveries."""
+    path = scratch_path(spark, "ordered")
+    n = sequence.write_ordered(fx.deliveries(spark, sf), ["timestamp", "delivery_id"], path)
+    return sequence.read_page(spark, path, n * 3 // 5, 1000).select("seq", "delivery_id", "timestamp")
+
+
 def q_routes_append_twice(spark, sf):
     path = scratch_path(spark, "routes-twice")
     for _ in range(2):  # one id: the second append finds it in the manifest
@@ -337,6 +344,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_crs": lambda s, sf: batching.batch_crs(_batched(s, sf)),
         "head_rows": lambda s, sf: sequence.head_rows(fx.trips(s, sf), "trip_id", 10_000),
         "page_rows": lambda s, sf: sequence.page_rows(fx.deliveries(s, sf), "delivery_id", 300, 100),
+        "page_deep": q_page_deep,
         "union_files": q_union_files,
         "geometry_wkt": lambda s, sf: fx.deliveries(s, sf).select(
             "delivery_id", wkt_point("pickup_lon", "pickup_lat").alias("geometry")),

@@ -136,3 +136,36 @@ def test_sparse_keys_are_dealt_evenly(spark):
     out, _ = sequence.with_sequence(df, "k", num_buckets=8)
     sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert max(sizes) <= 1.5 * sum(sizes) / len(sizes) and len(sizes) == 8
+
+
+def test_repeats_show_without_a_distinct_shuffle(spark):
+    dense = spark.range(100).select(F.col("id").alias("k"))
+    with pytest.raises(ValueError, match="not unique"):  # as many rows as values, one of them twice
+        sequence.with_sequence(dense.filter("k <> 50").unionByName(spark.range(51, 52).toDF("k")), "k")
+    for rows, kind in (([1.5, float("nan"), float("nan")], "double"), ([None, None, 2.0], "double"), ([0.0, -0.0], "double"),
+                       (["a", "b", "a"], "string"), ([[1], [2], [1]], "array<int>"), ([1, 1], "long")):
+        with pytest.raises(ValueError, match="not unique"):
+            sequence.with_sequence(spark.createDataFrame([(r,) for r in rows], f"k {kind}"), "k")
+    ok = spark.createDataFrame([(None, 1), (float("nan"), 1), (float("nan"), 2), (None, 2), (0.0, 1)], "k double, m int")
+    got, n = sequence.with_sequence(ok, ["k", "m"])
+    assert n == 5 and [(r.k if r.k == r.k else "nan", r.m) for r in got.orderBy("seq").collect()] == [(None, 1), (None, 2), (0.0, 1), ("nan", 1), ("nan", 2)]
+
+
+def test_head_looks_at_the_first_keys_only(spark):
+    df = spark.createDataFrame([(1,), (2,), (9,), (9,)], "k int")
+    assert [r.k for r in sequence.head_rows(df, "k", 2).collect()] == [1, 2]
+    with pytest.raises(ValueError):
+        sequence.head_rows(df, "k", 3)
+    assert [r.k for r in sequence.page_rows(df, "k", 1, 1).collect()] == [2]
+
+
+def test_pages_of_an_ordered_copy(spark, tmp_dir):
+    df = spark.range(1000).select(((F.col("id") * 37) % 1000).alias("k"), F.lit("x").alias("start"))
+    assert sequence.write_ordered(df, "k", f"{tmp_dir}/o", rows_per_file=70, num_buckets=3) == 1000
+    for offset, size in ((0, 10), (615, 200), (999, 5), (1000, 5), (3, 0), (0, 1000)):
+        got = sequence.read_page(spark, f"{tmp_dir}/o", offset, size)
+        assert sorted((r.seq, r.k) for r in got.collect()) == [(i + 1, i) for i in range(offset, min(offset + size, 1000))]
+    page = sequence.read_page(spark, f"{tmp_dir}/o", 900, 10)
+    assert len(page.inputFiles()) <= 2 < len(spark.read.parquet(f"{tmp_dir}/o/rows").inputFiles())
+    assert sequence.write_ordered(df.filter("false"), "k", f"{tmp_dir}/e") == 0
+    assert sequence.read_page(spark, f"{tmp_dir}/e", 0, 5).count() == 0

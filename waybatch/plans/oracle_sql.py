@@ -274,6 +274,9 @@ GROUP BY locationid, role"""
   CASE WHEN delivery_id % 3 = 0 THEN 'gate ' || delivery_id || chr(10) || 'say "hi", twice' ELSE 'plain' END AS note FROM deliveries"""
     q["csv_quoted_report"] = with_fixtures(["deliveries"]) + """SELECT 'plain' AS source, 'ok' AS status, false AS quoted_breaks, count(*) AS n_records FROM deliveries
 UNION ALL SELECT 'quoted', 'ok', true, count(*) FROM deliveries"""
+    q["page_deep"] = with_fixtures(["deliveries"]) + """SELECT seq, delivery_id, "timestamp" FROM (
+  SELECT row_number() OVER (ORDER BY "timestamp" NULLS FIRST, delivery_id) AS seq, delivery_id, "timestamp", count(*) OVER () AS n FROM deliveries)
+WHERE seq > n * 3 // 5 AND seq <= n * 3 // 5 + 1000"""
     q["sample_csv"] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries ORDER BY delivery_id LIMIT 10000"
     q["union_files"] = with_fixtures(["deliveries"]) + f"SELECT {deliv} FROM deliveries UNION ALL SELECT {deliv} FROM deliveries"
     q["csv_file_report"] = with_fixtures(["deliveries"]) + """SELECT 'good' AS source, 'ok' AS status, count(*) AS n_data_lines FROM deliveries
