@@ -11,48 +11,41 @@ from waybatch.operators.batching import assign_batches, batch_crs, check_batch_s
 from waybatch.schema import DELIVERY_SCHEMA
 
 
-def _deliveries(spark, n, seed=42, ties=False):
+def _deliveries(spark, n, seed=907, ties=False):
+    """Places over Queens and Nassau; with ``ties`` many at one point, as zone centroids give."""
     rnd = np.random.default_rng(seed)
-    lat = rnd.uniform(40.70, 40.80, (n, 2))
-    lon = rnd.uniform(-74.05, -73.95, (n, 2))
-    if ties:  # many identical points, as zone centroids give
-        lat, lon = np.round(lat, 2), np.round(lon, 2)
-    base = pd.Timestamp("2025-02-20")
+    pick = rnd.normal((40.72, -73.72), 0.04, (n, 2))
+    drop = pick + rnd.normal(0, 0.03, (n, 2))
+    if ties:
+        pick, drop = np.round(pick, 2), np.round(drop, 2)
+    start = pd.Timestamp("2025-06-01 05:10")
     rows = [
-        (i + 1, float(lat[i, 0]), float(lon[i, 0]), float(lat[i, 1]), float(lon[i, 1]),
-         (base + pd.Timedelta(minutes=30 * i)).to_pydatetime())
+        (i + 1, *map(float, pick[i]), *map(float, drop[i]), (start + pd.Timedelta(seconds=95 * i)).to_pydatetime())
         for i in range(n)
     ]
     return spark.createDataFrame(rows, DELIVERY_SCHEMA)
 
 
-def test_reference_three_rows(spark, tmp_dir):
+def test_routes_of_a_file_are_its_rows_with_their_pickup_points(spark, tmp_dir):
     from waybatch.sources.files import read_delivery_csv, typed_deliveries
 
     write_text(f"{tmp_dir}/in/a.csv", THREE_ROWS)
     d = typed_deliveries(read_delivery_csv(spark, f"{tmp_dir}/in"))
+    points = {r.delivery_id: f"POINT ({r.pickup_lon} {r.pickup_lat})" for r in d.collect()}
     for mode in routing.ROUTE_MODES:
-        out = routing.optimize_routes(d, order_by="file_order", batch_size=10, mode=mode)
-        rows = out.orderBy("batch_id", "visit_seq").collect()
-        assert len(rows) == 3
-        assert set(out.columns) >= {"delivery_id", "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon", "timestamp", "geometry"}
-        assert all(r.geometry.startswith("POINT (") for r in rows)
-    legs = routing.leg_distance(routing.optimize_routes(d, "delivery_id", 10, "input_order")).collect()
-    assert all(r.leg_deg >= 0 for r in legs)
+        out = routing.optimize_routes(d, order_by="file_order", batch_size=2, mode=mode)
+        assert {r.delivery_id: r.geometry for r in out.collect()} == points
+        assert sorted((r.batch_id, r.visit_seq) for r in out.collect()) == [(0, 1), (0, 2), (1, 1)]
 
 
-def test_random_twenty_batch_ten(spark):
-    d = _deliveries(spark, 20)
+def test_each_batch_is_visited_once(spark):
     for mode in routing.ROUTE_MODES:
-        out = routing.optimize_routes(d, "delivery_id", 10, mode)
-        assert out.count() == 20
-        per_batch = {}
-        for r in out.collect():
-            per_batch.setdefault(r.batch_id, []).append((r.visit_seq, r.delivery_id))
-        assert sorted(per_batch) == [0, 1]
-        for b, v in per_batch.items():  # a permutation of its batch, numbered 1..k
-            assert sorted(s for s, _ in v) == list(range(1, 11))
-            assert sorted(i for _, i in v) == list(range(10 * b + 1, 10 * b + 11))
+        out = routing.optimize_routes(_deliveries(spark, 37), "delivery_id", 8, mode).collect()
+        ids = {}
+        for r in sorted(out, key=lambda r: (r.batch_id, r.visit_seq)):
+            assert r.visit_seq == len(ids.setdefault(r.batch_id, [])) + 1
+            ids[r.batch_id].append(r.delivery_id)
+        assert [sorted(ids[b]) for b in sorted(ids)] == [list(range(s, min(s + 8, 38))) for s in range(1, 38, 8)]
 
 
 def test_input_order_is_input_order_with_first_of_each_id(spark):
