@@ -16,7 +16,7 @@ def _exchanges(text: str) -> int:
     return text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning")
 
 
-@pytest.mark.parametrize("key", ["route_input_order", "route_nearest", "optimize_routes"])
+@pytest.mark.parametrize("key", ["route_input_order", "route_nearest", "optimize_routes", "nearest_dropoff", "nearest_dropoff_grid"])
 def test_routing_uses_one_exchange(spark, key):
     # dense ids: the sequence is a projection; batch_id is the only shuffle
     assert _exchanges(_plan(entry.queries()[key](spark, SF_TINY))) == 1

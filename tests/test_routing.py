@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import THREE_ROWS, write_text
-from waybatch.operators import routing
+from waybatch.operators import nearest_index, routing
 from waybatch.operators.batching import assign_batches, batch_crs, check_batch_size
 from waybatch.schema import DELIVERY_SCHEMA
 
@@ -86,15 +86,92 @@ def test_walk_batch_empty_and_single():
     assert routing.walk_batch(one).visit_seq.tolist() == [1]
 
 
+def _all_pairs_nearest(bid, row, pe, pn, de, dn):
+    """Definition: every pickup against every foreign dropoff of its batch."""
+    out = {}
+    for i in range(len(bid)):
+        if not (np.isfinite(pe[i]) and np.isfinite(pn[i])):
+            continue
+        dx, dy = de - pe[i], dn - pn[i]
+        d = np.sqrt(dx * dx + dy * dy)
+        best = min(((float(d[j]), int(row[j])) for j in range(len(bid))
+                    if bid[j] == bid[i] and j != i and np.isfinite(de[j]) and np.isfinite(dn[j])), default=None)
+        if best:
+            out[int(bid[i]), int(row[i])] = (best[1], best[0])
+    return out
+
+
 @pytest.mark.parametrize("ties", [False, True])
-def test_grid_nearest_equals_brute(spark, ties):
-    d = _deliveries(spark, 900, seed=11, ties=ties)
-    b = assign_batches(d, "delivery_id", 300)
-    brute = sorted(tuple(r) for r in routing.nearest_dropoff(b).collect())
-    for cell in (None, 5.0, 100000.0):
-        grid = sorted(tuple(r) for r in routing.nearest_dropoff_grid(b, cell_m=cell, levels=2).select(
-            "batch_id", "rn", "nearest_rn", "dist").collect())
-        assert grid == brute
+def test_nearest_dropoff_equals_all_pairs(spark, ties):
+    b = assign_batches(_deliveries(spark, 900, seed=11, ties=ties), "delivery_id", 300)
+    p = routing.with_projection(b).toPandas()
+    expect = _all_pairs_nearest(*(p[c].to_numpy() for c in ("batch_id", "rn", "pe", "pn", "de", "dn")))
+    got = routing.nearest_dropoff(b.withColumn("nearest_rn", F.lit("x")).withColumn("dist", F.lit(0))).collect()
+    assert {(r.batch_id, r.rn): (r.nearest_rn, r.dist) for r in got} == expect and len(got) == len(expect)
+
+
+def test_nearest_index_on_ties_clusters_and_rows_without_a_place(monkeypatch):
+    rng = np.random.default_rng(8)
+    for trial in range(80):
+        monkeypatch.setattr(nearest_index, "PICKUPS_AT_ONCE", int(rng.integers(1, 60)))
+        monkeypatch.setattr(nearest_index, "CANDIDATES_AT_ONCE", int(rng.integers(1, 200)))
+        m = int(rng.integers(1, 120))
+        bid = np.sort(rng.integers(0, 5, m)) * 3
+        row = np.concatenate([rng.permutation(int((bid == k).sum())) for k in np.unique(bid)]).astype(np.int64)
+        c = rng.uniform(0, 1000, (4, m))
+        if trial % 4 == 1:
+            c = np.round(rng.uniform(0, 4, (4, m)))  # exact ties
+        elif trial % 4 == 2:  # a third of the dropoffs at one place, pickups far away
+            c[2:, rng.random(m) < 0.34] = 500.0
+            c[:2] += 4e6
+        elif trial % 4 == 3:
+            c[rng.integers(0, 4, m // 5), rng.integers(0, m, m // 5)] = rng.choice([np.nan, np.inf], m // 5)
+        at, dst, dist = nearest_index.nearest_foreign(bid, row, *c)
+        got = {(int(bid[i]), int(row[i])): (int(j), float(d)) for i, j, d in zip(at, dst, dist)}
+        assert got == _all_pairs_nearest(bid, row, *c), trial
+
+
+def test_nearest_index_with_a_large_hot_place():
+    """20,000 deliveries, a third dropped off at one place: no pair per copy."""
+    rng = np.random.default_rng(5)
+    m = 20_000
+    c = rng.uniform(0, 1e4, (4, m))
+    c[2:, ::3] = 5000.0
+    zeros, row = np.zeros(m, dtype=np.int64), np.arange(m)
+    at, dst, dist = nearest_index.nearest_foreign(zeros, row, *c)
+    assert len(at) == m
+    for i in range(0, m, 1999):
+        d = np.sqrt((c[2] - c[0, i]) ** 2 + (c[3] - c[1, i]) ** 2)
+        d[i] = np.inf
+        assert dst[i] == int(np.argmin(d)) and dist[i] == d.min()
+
+
+def test_batches_that_span_chunks_stay_whole():
+    pdf = pd.DataFrame({"batch_id": np.repeat([0, 1, 2, 3, 4], [3, 50, 1, 20, 2]), "v": range(76)})
+    for size in (1, 7, 76):
+        parts = list(routing.whole_batches(pdf.iloc[i:i + size] for i in range(0, 76, size)))
+        assert pd.concat(parts, ignore_index=True).equals(pdf)
+        assert sum(p.batch_id.nunique() for p in parts) == 5
+    assert list(routing.whole_batches(iter([pdf.iloc[:0]]))) == []
+
+
+def test_walks_in_step_equal_walks_one_by_one(monkeypatch):
+    rng = np.random.default_rng(77)
+    for trial in range(40):
+        monkeypatch.setattr(routing, "STEP_CELLS", int(rng.integers(1, 500)))
+        monkeypatch.setattr(routing, "TREE_WALK_MIN", 40)
+        sizes = rng.integers(1, 60, 12)
+        ends = np.cumsum(sizes)
+        c = np.round(rng.uniform(0, 9, (4, ends[-1]))) if trial % 2 else rng.uniform(0, 1e3, (4, ends[-1]))
+        if trial % 3 == 0:
+            c[rng.integers(0, 4, 30), rng.integers(0, ends[-1], 30)] = np.nan
+        starts = ends - sizes
+        got = routing.greedy_orders(starts, ends, *c)
+        for a, z, order in zip(starts, ends, got):
+            place = np.isfinite(c[:, a:z]).all(axis=0)
+            at = np.flatnonzero(place)
+            expect = np.concatenate([at[routing.greedy_order(*c[:, a:z][:, at])], np.flatnonzero(~place)])
+            assert order.tolist() == expect.tolist(), trial
 
 
 def test_batch_of_one_has_no_foreign_dropoff(spark):
@@ -146,10 +223,11 @@ def test_dedup_scope_all_with_many_copies(spark):
     assert per_batch == len({(s // 100, d) for d, s in rows})
 
 
-def test_cell_walk_equals_scan_walk(monkeypatch):
-    monkeypatch.setattr(routing, "GRID_WALK_MIN", 2)
+def test_tree_walk_equals_scan_walk(monkeypatch):
+    monkeypatch.setattr(routing, "TREE_WALK_MIN", 2)
     rng = np.random.default_rng(21)
     for trial in range(120):
+        monkeypatch.setattr(routing, "_LEAF_PLACES", int(rng.integers(1, 30)))
         m = int(rng.integers(2, 300))
         if trial % 3 == 0:
             a = rng.uniform(0, 1000, (4, m))
@@ -160,7 +238,7 @@ def test_cell_walk_equals_scan_walk(monkeypatch):
             k = rng.integers(0, 4, m)
             a = np.round(np.vstack([c[k, 0] + rng.normal(0, 30, m), c[k, 1] + rng.normal(0, 30, m),
                                     rng.uniform(-1e5, 2e5, m), rng.uniform(-1e5, 2e5, m)]), 3)
-        assert np.array_equal(routing.greedy_order(*a), routing.greedy_order_cells(*a)), trial
+        assert np.array_equal(routing.greedy_order(*a), routing.greedy_order_tree(*a)), trial
 
 
 def test_rows_without_a_place_come_last_at_any_batch_size(spark):
@@ -169,6 +247,6 @@ def test_rows_without_a_place_come_last_at_any_batch_size(spark):
         c = rng.random((4, n))
         c[0, n // 2] = np.nan
         c[3, 0] = np.nan
-        order = routing.greedy_order_cells(*c)
+        order = routing.greedy_order_tree(*c)
         assert sorted(order.tolist()) == list(range(n))
         assert order.tolist()[-2:] == [0, n // 2]

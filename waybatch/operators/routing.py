@@ -1,7 +1,7 @@
 """Routing inside fixed-size batches.
 
 * stops and edges of the delivery graph as tables,
-* nearest foreign dropoff per pickup, brute force or grid-pruned (exact),
+* nearest foreign dropoff per pickup (exact, by an index on arrays),
 * the route as the studied code computes it (input order, first of each
   id) and as it is documented (greedy nearest neighbour),
 * leg distances and route length.
@@ -23,12 +23,10 @@ from pyspark.sql import types as T
 
 from waybatch.functions.geo import planar_distance, utm_forward, wkt_point
 from waybatch.operators.batching import assign_batches, by_batch, dedup_first, with_batch_zone
+from waybatch.operators.nearest_index import nearest_foreign
 
 ROUTE_MODES = ("input_order", "nearest")
 _DELIVERY_PASS = ["delivery_id", "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon", "timestamp"]
-# A candidate nearer than this share of the cell size lies in the 3x3 cells
-# around the pickup even after rounding of the cell index.
-_GRID_SAFE = 0.999999
 
 
 def with_projection(batched: DataFrame) -> DataFrame:
@@ -115,119 +113,65 @@ def delivery_edges(batched: DataFrame) -> DataFrame:
     return own.unionByName(foreign)
 
 
-def _best(candidates: DataFrame) -> DataFrame:
-    """Arg-min per pickup: smallest distance, then smallest dropoff row.
-
-    ``min(struct)`` runs as a sort-based aggregate; each group is one
-    pickup's candidates (at most ``batch_size``). Measured against a
-    ``row_number`` window and against two fixed-width hash aggregates
-    joined back, it was the fastest of the three exact forms."""
-    dist = planar_distance("pe", "pn", "de", "dn")
-    best = candidates.groupBy("batch_id", "src_rn").agg(
-        F.min(F.struct(dist.alias("dist"), F.col("dst_rn"))).alias("_wb_best")
-    )
-    return best.select(
-        "batch_id",
-        F.col("src_rn").alias("rn"),
-        F.col("_wb_best.dst_rn").alias("nearest_rn"),
-        F.col("_wb_best.dist").alias("dist"),
-    )
+def whole_batches(chunks):
+    """Chunks of one partition sorted by ``batch_id``, cut again so that each
+    holds whole batches. The last, possibly unfinished batch is carried on
+    (at most ``batch_size`` rows), so many batches share one Arrow chunk."""
+    carry: list[pd.DataFrame] = []
+    for pdf in chunks:
+        if pdf.empty:
+            continue
+        bids = pdf["batch_id"].to_numpy()
+        if carry and bids[-1] == carry[0]["batch_id"].iloc[0]:
+            carry.append(pdf)
+            continue
+        cut = int(np.searchsorted(bids, bids[-1], side="left"))
+        done = carry + ([pdf.iloc[:cut]] if cut else [])
+        carry = [pdf.iloc[cut:]]
+        if done:
+            yield pd.concat(done, ignore_index=True)
+    if carry:
+        yield pd.concat(carry, ignore_index=True)
 
 
-def nearest_dropoff(batched: DataFrame) -> DataFrame:
-    """Nearest foreign dropoff per pickup by brute force over the batch
-    (``b * (b - 1)`` pairs per batch). Batches of one delivery give no row."""
-    z = _pair_input(batched)
-    p, d = _pickups_dropoffs(z)
-    cand = p.join(d, "batch_id").filter(F.col("src_rn") != F.col("dst_rn"))
-    return _best(cand)
+NEAREST_SCHEMA = T.StructType([
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("rn", T.IntegerType()),
+    T.StructField("nearest_rn", T.IntegerType()),
+    T.StructField("dist", T.DoubleType()),
+])
 
 
-def _grid_candidates(pending: DataFrame, d: DataFrame, factor: float) -> DataFrame:
-    """Pickups against the dropoffs in their 3x3 cells at ``cell0 * factor``."""
-    cell = F.col("cell0") * F.lit(factor)
-    offsets = F.array(*[F.lit(v) for v in (-1, 0, 1)])
-    dl = d.select(
-        "batch_id", "dst_rn", "de", "dn",
-        F.floor(F.col("de") / cell).alias("cx"), F.floor(F.col("dn") / cell).alias("cy"),
-    )
-    pl = (
-        pending.select("batch_id", "src_rn", "pe", "pn", "cell0", F.explode(offsets).alias("ox"))
-        .select("*", F.explode(offsets).alias("oy"))
-        .withColumn("cx", F.floor(F.col("pe") / cell) + F.col("ox"))
-        .withColumn("cy", F.floor(F.col("pn") / cell) + F.col("oy"))
-        .drop("ox", "oy")
-    )
-    return pl.join(dl, ["batch_id", "cx", "cy"]).filter(F.col("src_rn") != F.col("dst_rn"))
+def nearest_partition(chunks):
+    """``mapInPandas`` body of :func:`nearest_dropoff`."""
+    for pdf in whole_batches(chunks):
+        bids, rn = pdf["batch_id"].to_numpy(), pdf["rn"].to_numpy(dtype=np.int64)
+        at, dst, dist = nearest_foreign(bids, rn, *(pdf[c].to_numpy(dtype=np.float64) for c in ("pe", "pn", "de", "dn")))
+        yield pd.DataFrame({"batch_id": bids[at], "rn": rn[at].astype(np.int32), "nearest_rn": dst.astype(np.int32), "dist": dist})
 
 
-def nearest_dropoff_grid(
-    batched: DataFrame,
-    cell_m: float | None = None,
-    levels: int = 5,
-    growth: float = 4.0,
-) -> DataFrame:
-    """Same answer as :func:`nearest_dropoff`, without all pairs.
-
-    Dropoffs go into square cells; each pickup looks at its 3x3 cells. A
-    best candidate nearer than the cell size is exact (nothing outside the
-    3x3 can be nearer, ties included). Pickups left open try cells
-    ``growth`` times larger, up to ``levels`` times; the rest is settled by
-    brute force against its batch. The first cell size per batch is a
-    quarter of the mean dropoff spacing, so clustered points settle early
-    with few candidates and sparse ones move up a level.
-
-    Each level's result is checkpointed to the shared checkpoint folder,
-    as is the set of pickups still open, so later levels and the final
-    union do not recompute earlier joins.
+def nearest_dropoff(batched: DataFrame) -> DataFrame:
+    """Nearest foreign dropoff per pickup: ``batch_id, rn, nearest_rn, dist``
+    (metres in the batch's zone; lowest row on ties).
+
+    Rows are hash-partitioned by ``batch_id`` (the exchange that the batch-zone
+    window needs), sorted inside each partition, and searched by
+    ``nearest_index`` many batches per Arrow chunk: no pair rows, no second
+    shuffle. Batches of one delivery give no row. A pickup without a place
+    gives no row, a dropoff without one is no candidate. Other columns are
+    ignored; an empty table gives an empty one.
     """
-    from waybatch.session import checkpoint_root
+    from waybatch.session import ship_package
 
-    checkpoint_root(batched.sparkSession)
-    z = with_projection(batched)
-    w = Window.partitionBy("batch_id")
-    if cell_m is None:
-        extent = F.greatest(
-            F.max("de").over(w) - F.min("de").over(w),
-            F.max("dn").over(w) - F.min("dn").over(w),
-            F.lit(1.0),
-        )
-        cell0 = F.greatest(extent / F.ceil(F.sqrt(F.count(F.lit(1)).over(w))) / F.lit(4.0), F.lit(1.0))
-    else:
-        cell0 = F.lit(float(cell_m))
-    z = z.select("batch_id", "rn", "pe", "pn", "de", "dn", cell0.alias("cell0")).checkpoint()
-    d = z.select("batch_id", F.col("rn").alias("dst_rn"), "de", "dn", "cell0")
-    pending = z.select("batch_id", F.col("rn").alias("src_rn"), "pe", "pn", "cell0")
-    dist = planar_distance("pe", "pn", "de", "dn")
-    parts = []
-    for level in range(levels):
-        factor = growth**level
-        near = (
-            _grid_candidates(pending, d, factor)
-            .groupBy("batch_id", "src_rn")
-            .agg(F.min(F.struct(dist.alias("dist"), F.col("dst_rn"))).alias("_wb_best"), F.first("cell0").alias("cell0"))
-            .filter(F.col("_wb_best.dist") < F.col("cell0") * F.lit(factor * _GRID_SAFE))
-            .select(
-                "batch_id",
-                F.col("src_rn").alias("rn"),
-                F.col("_wb_best.dst_rn").alias("nearest_rn"),
-                F.col("_wb_best.dist").alias("dist"),
-            )
-            .checkpoint()
-        )
-        parts.append(near)
-        pending = pending.join(
-            near.select("batch_id", F.col("rn").alias("src_rn")), ["batch_id", "src_rn"], "left_anti"
-        ).checkpoint()
-        if pending.isEmpty():
-            break
-    else:
-        dz = d.join(pending.select("batch_id").distinct(), "batch_id", "left_semi")
-        parts.append(_best(pending.join(dz, "batch_id").filter(F.col("src_rn") != F.col("dst_rn"))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ship_package(batched.sparkSession)
+    z = with_projection(batched).select(
+        F.col("batch_id").cast("long"), F.col("rn").cast("int"), *[F.col(c).cast("double") for c in ("pe", "pn", "de", "dn")])
+    return z.sortWithinPartitions("batch_id").mapInPandas(nearest_partition, schema=NEAREST_SCHEMA)
+
+
+def nearest_dropoff_grid(batched: DataFrame) -> DataFrame:
+    """Kept name of the search that avoids all pairs; :func:`nearest_dropoff` does so itself now."""
+    return nearest_dropoff(batched)
 
 
 def route_input_order(batched: DataFrame, dedup_scope: str = "batch") -> DataFrame:
@@ -304,93 +248,175 @@ def walk_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.assign(visit_seq=np.arange(1, len(keep) + 1, dtype=np.int32))
 
 
-# Batches at least this large walk with the cell index below.
-GRID_WALK_MIN = 2000
+# Batches at least this large walk with the tree below.
+TREE_WALK_MIN = 2000
+_LEAF_PLACES = 24
 
 
-class _PickupCells:
-    """Unvisited pickups in square cells, for exact nearest queries."""
+class _PickupTree:
+    """Unvisited pickups of a large batch for exact nearest queries: a k-d tree
+    over their distinct places, split at medians, so clusters and gaps cost
+    alike. A place holds its rows in ascending order and gives the lowest
+    unvisited one; parts without an unvisited place are passed over."""
 
     def __init__(self, rows: np.ndarray, pe: np.ndarray, pn: np.ndarray):
-        self.pe, self.pn = pe, pn
-        x, y = pe[rows], pn[rows]
-        self.x0, self.y0 = float(x.min()), float(y.min())
-        span = max(float(x.max()) - self.x0, float(y.max()) - self.y0, 1e-9)
-        self.g = max(1, int(math.ceil(math.sqrt(len(rows) / 4.0))))
-        self.cell = span / self.g * (1.0 + 1e-12)
-        ix = np.minimum(((x - self.x0) / self.cell).astype(np.int64), self.g - 1)
-        iy = np.minimum(((y - self.y0) / self.cell).astype(np.int64), self.g - 1)
-        cid = ix * self.g + iy
-        order = np.argsort(cid, kind="stable")  # rows stay ascending inside a cell
-        self.members = rows[order]
-        bounds = np.searchsorted(cid[order], np.arange(self.g * self.g + 1))
-        self.start, self.end = bounds[:-1], bounds[1:]
-        self.size = len(rows)
-
-    def nearest(self, qx: float, qy: float, alive: np.ndarray) -> int:
-        """Lowest row among the unvisited pickups nearest to (qx, qy)."""
-        g, cell = self.g, self.cell
-        cx = min(max(int(math.floor((qx - self.x0) / cell)), 0), g - 1)
-        cy = min(max(int(math.floor((qy - self.y0) / cell)), 0), g - 1)
-        best_d, best_row = math.inf, -1
-        r = 0
-        while True:
-            lo_x, hi_x, lo_y, hi_y = cx - r, cx + r, cy - r, cy + r
-            for ix in range(max(lo_x, 0), min(hi_x, g - 1) + 1):
-                edge = ix in (lo_x, hi_x)
-                for iy in (range(max(lo_y, 0), min(hi_y, g - 1) + 1) if edge else (lo_y, hi_y)):
-                    if iy < 0 or iy >= g:
-                        continue
-                    c = ix * g + iy
-                    m = self.members[self.start[c]:self.end[c]]
-                    if not len(m):
-                        continue
-                    m = m[alive[m]]
-                    if not len(m):
-                        continue
-                    dx = self.pe[m] - qx
-                    dy = self.pn[m] - qy
-                    d = np.sqrt(dx * dx + dy * dy)
-                    k = int(np.argmin(d))
-                    dk, rk = float(d[k]), int(m[k])
-                    if dk < best_d or (dk == best_d and rk < best_row):
-                        best_d, best_row = dk, rk
-            covers = lo_x <= 0 and lo_y <= 0 and hi_x >= g - 1 and hi_y >= g - 1
-            # any pickup outside the searched square is at least this far
-            gap = min(qx - (self.x0 + lo_x * cell), self.x0 + (hi_x + 1) * cell - qx,
-                      qy - (self.y0 + lo_y * cell), self.y0 + (hi_y + 1) * cell - qy)
-            if covers or (best_row >= 0 and best_d < gap - 1e-6 * cell):
-                return best_row
-            r += 1
-
-
-def greedy_order_cells(pe, pn, de, dn) -> np.ndarray:
-    """Same order as :func:`greedy_order` for large batches, searching
-    rings of cells around each dropoff instead of every pickup. The index
-    is rebuilt over the unvisited pickups whenever half of them are used."""
+        by_place = rows[np.lexsort((rows, pn[rows], pe[rows]))]
+        x, y = pe[by_place], pn[by_place]
+        at = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+        x, y = x[at], y[at]
+        order = np.arange(len(at))
+        self.span, self.child, self.parent, self.alive, self.box = [], [], [], [], []
+        todo = [(0, len(at), -1)]
+        while todo:
+            a, b, parent = todo.pop()
+            node, part = len(self.span), order[a:b]
+            px, py = x[part], y[part]
+            west, east, south, north = float(px.min()), float(px.max()), float(py.min()), float(py.max())
+            self.span.append((a, b))
+            self.child.append([])
+            self.parent.append(parent)
+            self.alive.append(b - a)
+            self.box.append((west, east, south, north))
+            if parent >= 0:
+                self.child[parent].append(node)
+            if b - a > _LEAF_PLACES:
+                half = (b - a) // 2
+                order[a:b] = part[np.argpartition(px if east - west >= north - south else py, half)]
+                todo += [(a, a + half, node), (a + half, b, node)]
+        self.leaf = np.zeros(len(at), dtype=np.int64)
+        for node, (a, b) in enumerate(self.span):
+            if not self.child[node]:
+                self.leaf[a:b] = node
+        self.rows = by_place
+        self.next, self.end = at[order], np.r_[at[1:], len(by_place)][order]
+        self.x, self.y, self.low = x[order], y[order], by_place[self.next]
+
+    def _apart(self, node: int, qx: float, qy: float) -> float:
+        """Squared distance from a point to the box of a node."""
+        west, east, south, north = self.box[node]
+        dx = west - qx if qx < west else qx - east if qx > east else 0.0
+        dy = south - qy if qy < south else qy - north if qy > north else 0.0
+        return dx * dx + dy * dy
+
+    def take_nearest(self, qx: float, qy: float) -> int:
+        """Lowest row among the unvisited pickups nearest to (qx, qy); it is visited then."""
+        best, best_row, best_at, limit = math.inf, -1, -1, math.inf
+        todo = [(0.0, 0)]
+        while todo:
+            apart, node = todo.pop()
+            if apart > limit:
+                continue
+            nodes = self.child[node]
+            if nodes:
+                near = [(self._apart(k, qx, qy), k) for k in nodes if self.alive[k]]
+                if len(near) == 2 and near[0][0] < near[1][0]:
+                    near.reverse()  # the nearer one is looked at first
+                todo += [n for n in near if n[0] <= limit]
+                continue
+            a, b = self.span[node]
+            dx, dy = self.x[a:b] - qx, self.y[a:b] - qy
+            d = np.sqrt(dx * dx + dy * dy)
+            k = int(d.argmin())
+            least = float(d[k])
+            if least > best or least == math.inf:
+                continue
+            tied = np.flatnonzero(d == least)
+            if len(tied) > 1:
+                k = int(tied[np.argmin(self.low[a:b][tied])])
+            row = int(self.low[a + k])
+            if least < best or row < best_row:
+                best, best_row, best_at = least, row, a + k
+                limit = best * best * (1.0 + 1e-9) + 1e-9  # wider than the rounding, so no tie is passed over
+        self._visit(best_at)
+        return best_row
+
+    def _visit(self, place: int) -> None:
+        self.next[place] += 1
+        if self.next[place] < self.end[place]:
+            self.low[place] = self.rows[self.next[place]]
+            return
+        self.x[place] = math.inf
+        node = int(self.leaf[place])
+        while node >= 0:
+            self.alive[node] -= 1
+            node = self.parent[node]
+
+
+def greedy_order_tree(pe, pn, de, dn) -> np.ndarray:
+    """Same order as :func:`greedy_order` for large batches, from a tree of
+    places instead of every pickup. The tree is rebuilt over the unvisited
+    pickups whenever half of its places are used."""
     placed = np.isfinite(pe) & np.isfinite(pn) & np.isfinite(de) & np.isfinite(dn)
     if not placed.all():  # at any batch size: rows without a place come last, in row order
         at = np.flatnonzero(placed)
-        return np.concatenate([at[greedy_order_cells(pe[at], pn[at], de[at], dn[at])], np.flatnonzero(~placed)])
+        return np.concatenate([at[greedy_order_tree(pe[at], pn[at], de[at], dn[at])], np.flatnonzero(~placed)])
     m = len(pe)
-    if m < GRID_WALK_MIN:
+    if m < TREE_WALK_MIN:
         return greedy_order(pe, pn, de, dn)
-    order = np.empty(m, dtype=np.int64)
-    alive = np.ones(m, dtype=bool)
-    order[0], alive[0] = 0, False
-    n_alive = m - 1
-    cells = _PickupCells(np.flatnonzero(alive), pe, pn)
-    cur = 0
+    order = np.zeros(m, dtype=np.int64)
+    unvisited = np.ones(m, dtype=bool)
+    unvisited[0] = False
+    tree = _PickupTree(np.flatnonzero(unvisited), pe, pn)
+    places, cur = tree.alive[0], 0
     for step in range(1, m):
-        nxt = cells.nearest(float(de[cur]), float(dn[cur]), alive)
-        order[step], alive[nxt] = nxt, False
-        cur = nxt
-        n_alive -= 1
-        if n_alive and n_alive * 2 <= cells.size:
-            cells = _PickupCells(np.flatnonzero(alive), pe, pn)
+        if tree.alive[0] * 2 < places:
+            tree = _PickupTree(np.flatnonzero(unvisited), pe, pn)
+            places = tree.alive[0]
+        cur = tree.take_nearest(float(de[cur]), float(dn[cur]))
+        order[step], unvisited[cur] = cur, False
     return order
 
 
+# Cells of the padded arrays that are walked in step.
+STEP_CELLS = 1_000_000
+
+
+def greedy_orders(starts, ends, pe, pn, de, dn) -> list[np.ndarray]:
+    """:func:`greedy_order_tree` of many batches (``starts[i]..ends[i]``).
+
+    Batches below ``TREE_WALK_MIN`` rows advance together: they are padded to
+    one array, and each step is one pass over it, whatever their number."""
+    out: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(starts)
+    placed = np.isfinite(pe) & np.isfinite(pn) & np.isfinite(de) & np.isfinite(dn)
+    sizes = np.asarray(ends) - np.asarray(starts)
+    for i in np.flatnonzero(sizes >= TREE_WALK_MIN):
+        at = slice(starts[i], ends[i])
+        out[i] = greedy_order_tree(pe[at], pn[at], de[at], dn[at])
+    small = np.flatnonzero(sizes < TREE_WALK_MIN)
+    small = small[np.argsort(-sizes[small], kind="stable")]
+    while len(small):
+        take = max(1, STEP_CELLS // max(int(sizes[small[0]]), 1))
+        group, small = small[:take], small[take:]
+        rows = [starts[i] + np.flatnonzero(placed[starts[i]:ends[i]]) for i in group]
+        for i, at, order in zip(group, rows, _orders_in_step(rows, pe, pn, de, dn)):
+            apart = np.flatnonzero(~placed[starts[i]:ends[i]])
+            out[i] = np.concatenate([at[order] - starts[i], apart])
+    return out
+
+
+def _orders_in_step(rows, pe, pn, de, dn) -> list[np.ndarray]:
+    """Greedy orders of batches of placed rows, all batches one step at a time."""
+    length = np.array([len(r) for r in rows])
+    width = int(length.max()) if len(length) else 0
+    if not width:
+        return [np.empty(0, dtype=np.int64) for _ in rows]
+    x = np.full((len(rows), width), np.inf)
+    y, to_x, to_y = np.zeros_like(x), np.zeros_like(x), np.zeros_like(x)
+    for k, r in enumerate(rows):
+        x[k, :len(r)], y[k, :len(r)], to_x[k, :len(r)], to_y[k, :len(r)] = pe[r], pn[r], de[r], dn[r]
+    every = np.arange(len(rows))
+    order = np.zeros((len(rows), width), dtype=np.int64)
+    cur = np.zeros(len(rows), dtype=np.int64)
+    x[:, 0] = np.inf
+    for step in range(1, width):  # a finished batch goes on over infinities; its entries are cut off
+        dx = x - to_x[every, cur][:, None]
+        dy = y - to_y[every, cur][:, None]
+        cur = np.argmin(np.sqrt(dx * dx + dy * dy), axis=1)  # first minimum = lowest row
+        order[:, step] = cur
+        x[every, cur] = np.inf
+    return [order[k, :n] for k, n in enumerate(length)]
+
+
 def _walk_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
     """Walks every batch of a frame sorted by ``(batch_id, rn)``."""
     bids = pdf["batch_id"].to_numpy()
@@ -399,8 +425,8 @@ def _walk_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
     pe, pn, de, dn = (pdf[c].to_numpy(dtype=np.float64) for c in ("pe", "pn", "de", "dn"))
     ids = pdf["delivery_id"].to_numpy()
     keep_parts, seq_parts = [], []
-    for a, b in zip(starts, ends):
-        visit = a + greedy_order_cells(pe[a:b], pn[a:b], de[a:b], dn[a:b])
+    for a, order in zip(starts, greedy_orders(starts, ends, pe, pn, de, dn)):
+        visit = a + order
         _, first = np.unique(ids[visit], return_index=True)
         kept = visit[np.sort(first)]
         keep_parts.append(kept)
@@ -410,23 +436,9 @@ def _walk_sorted(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def walk_partition(chunks):
-    """``mapInPandas`` body: chunks of one partition sorted by
-    ``(batch_id, rn)``. Finished batches are walked chunk by chunk; the
-    last, possibly cut batch is carried into the next chunk (at most
-    ``batch_size`` rows), so no per-batch Arrow round trip is paid."""
-    carry = None
-    for pdf in chunks:
-        if carry is not None and len(carry):
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        if pdf.empty:
-            continue
-        bids = pdf["batch_id"].to_numpy()
-        cut = int(np.searchsorted(bids, bids[-1], side="left"))
-        carry = pdf.iloc[cut:]
-        if cut:
-            yield _walk_sorted(pdf.iloc[:cut])
-    if carry is not None and len(carry):
-        yield _walk_sorted(carry)
+    """``mapInPandas`` body: walks the batches of one partition sorted by ``(batch_id, rn)``."""
+    for pdf in whole_batches(chunks):
+        yield _walk_sorted(pdf)
 
 
 _WALK_FIELDS = [
