@@ -57,23 +57,24 @@ def batch_crs(batched: DataFrame) -> DataFrame:
     )
 
 
-def by_batch(batched: DataFrame) -> DataFrame:
-    """Hash-partitions by ``batch_id`` into ``spark.sql.shuffle.partitions``.
+def by_batch(batched: DataFrame, spread: int = 1) -> DataFrame:
+    """Hash-partitions by ``batch_id`` into ``spread`` times ``spark.sql.shuffle.partitions``.
 
     The explicit count keeps AQE from merging partitions by input size:
-    per-batch work (pairs, walks) grows far beyond its input.
+    per-batch work (pairs, walks) grows far beyond its input. A larger
+    ``spread`` keeps few long batches from meeting in one task.
     """
     n = int(batched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return batched.repartition(n, "batch_id")
+    return batched.repartition(n * spread, "batch_id")
 
 
-def with_batch_zone(batched: DataFrame) -> DataFrame:
+def with_batch_zone(batched: DataFrame, spread: int = 1) -> DataFrame:
     """Adds the batch's UTM zone, hemisphere and CRS (from its first row).
 
     Uses an unordered window on ``batch_id`` after :func:`by_batch`; later
     operators on ``batch_id`` reuse that partitioning.
     """
-    batched = by_batch(batched)
+    batched = by_batch(batched, spread)
     w = Window.partitionBy("batch_id")
     first = F.min_by(F.struct(F.col("pickup_lon").alias("lon"), F.col("pickup_lat").alias("lat")), F.col("rn")).over(w)
     out = batched.withColumn("_wb_first", first)

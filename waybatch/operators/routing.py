@@ -29,9 +29,9 @@ ROUTE_MODES = ("input_order", "nearest")
 _DELIVERY_PASS = ["delivery_id", "pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon", "timestamp"]
 
 
-def with_projection(batched: DataFrame) -> DataFrame:
+def with_projection(batched: DataFrame, spread: int = 1) -> DataFrame:
     """Adds the batch zone and pickup/dropoff UTM metres (``pe, pn, de, dn``)."""
-    z = with_batch_zone(batched)
+    z = with_batch_zone(batched, spread)
     pe, pn = utm_forward("pickup_lon", "pickup_lat", "utm_zone", "utm_south")
     de, dn = utm_forward("dropoff_lon", "dropoff_lat", "utm_zone", "utm_south")
     return z.withColumn("pe", pe).withColumn("pn", pn).withColumn("de", de).withColumn("dn", dn)
@@ -250,7 +250,8 @@ def walk_batch(pdf: pd.DataFrame) -> pd.DataFrame:
 
 # Batches at least this large walk with the tree below.
 TREE_WALK_MIN = 2000
-_LEAF_PLACES = 24
+LONG_BATCH_SPREAD = 8  # partitions of long batches, in shuffle partitions
+_LEAF_PLACES = 96
 
 
 class _PickupTree:
@@ -459,31 +460,33 @@ _WALK_FIELDS = [
 WALK_SCHEMA = T.StructType(_WALK_FIELDS)
 
 
-def route_nearest(batched: DataFrame) -> DataFrame:
+def route_nearest(batched: DataFrame, spread: int = 1) -> DataFrame:
     """The route as documented: greedy nearest neighbour per batch.
 
     Rows are hash-partitioned by ``batch_id`` (the exchange the batch-zone
     window already needs), sorted by ``(batch_id, rn)`` inside each
     partition, and walked by ``mapInPandas`` many batches per Arrow chunk.
-    Batches run in parallel; each holds at most ``batch_size`` rows.
+    Batches run in parallel; each holds at most ``batch_size`` rows. Where
+    batches are few and long, ``spread`` takes more partitions, so that no
+    task walks several while others have none.
     """
     from waybatch.session import ship_package
 
     ship_package(batched.sparkSession)
-    z = with_projection(batched)
+    z = with_projection(batched, spread)
     cols = [f.name for f in _WALK_FIELDS if f.name != "visit_seq"]
     z = z.select(*[F.col(c).cast(WALK_SCHEMA[c].dataType) for c in cols])
     walked = z.sortWithinPartitions("batch_id", "rn").mapInPandas(walk_partition, schema=WALK_SCHEMA)
     return _route_columns(walked)
 
 
-def route(batched: DataFrame, mode: str = "nearest", dedup_scope: str = "batch") -> DataFrame:
+def route(batched: DataFrame, mode: str = "nearest", dedup_scope: str = "batch", spread: int = 1) -> DataFrame:
     if mode == "input_order":
         return route_input_order(batched, dedup_scope=dedup_scope)
     if mode == "nearest":
         if dedup_scope != "batch":
             raise ValueError("mode='nearest' dedups per batch only")
-        return route_nearest(batched)
+        return route_nearest(batched, spread)
     raise ValueError(f"mode must be one of {ROUTE_MODES}, got {mode!r}")
 
 
@@ -531,4 +534,5 @@ def optimize_routes(
     delivery columns with ``geometry``; order is carried in columns.
     """
     batched = assign_batches(deliveries, order_by, batch_size)
-    return route(batched, mode=mode, dedup_scope=dedup_scope)
+    spread = LONG_BATCH_SPREAD if batch_size >= TREE_WALK_MIN else 1
+    return route(batched, mode=mode, dedup_scope=dedup_scope, spread=spread)
