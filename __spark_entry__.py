@@ -197,6 +197,27 @@ def q_routes_append_dedup(spark, sf):
     return sinks.read_routes(spark, path)
 
 
+def q_routes_append_crs(spark, sf):
+    """Routes with their geometry in the batch's UTM zone, stored in degrees."""
+    path = scratch_path(spark, "routes-crs")
+    z = routing.with_projection(_batched(spark, sf))
+    routes = z.withColumn("visit_seq", F.col("rn") + F.lit(1)).withColumn("geometry", wkt_point("pe", "pn"))
+    sinks.append_routes(spark, routes, path, crs_col="crs")
+    return sinks.read_routes(spark, path).select("delivery_id", "geometry")
+
+
+def q_prepare_from_polygons(spark, sf):
+    """Parquet trips and zone polygons to the delivery CSV, as the whole job does it."""
+    root = scratch_path(spark, "prepare-job")
+    fx.trips(spark, sf).write.parquet(f"{root}/trips")
+    fx.zone_polygons(spark, sf).write.parquet(f"{root}/zones")
+    trips = files.scan_trips(spark, f"{root}/trips", columns=["trip_id", "tpep_pickup_datetime", "pulocationid", "dolocationid"], file_order=False)
+    zones = lookup.centroid_to_wgs84(lookup.zone_centroid(files.read_zone_polygons(spark, f"{root}/zones")), "EPSG:2263")
+    jobs.prepare_job(trips, zones, f"{root}/full", f"{root}/sample", order_by="trip_id",
+                     pickup_col="pulocationid", dropoff_col="dolocationid")
+    return _read_back(spark, f"{root}/full")
+
+
 def q_page_deep(spark, sf):
     """A page in the second half of a sorted copy of the deliveries."""
     path = scratch_path(spark, "ordered")
@@ -299,6 +320,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trips_scan": q_trips_scan,
         "zone_centroid": lambda s, sf: lookup.zone_centroid(fx.zone_vertices(s, sf)),
         "zone_centroid_wgs84": q_zone_centroid_wgs84,
+        "zone_centroid_2263": lambda s, sf: lookup.centroid_to_wgs84(lookup.zone_centroid(fx.zone_vertices_feet(s, sf)), "EPSG:2263"),
+        "prepare_from_polygons": q_prepare_from_polygons,
         "csv_file_report": q_csv_file_report,
         "csv_roundtrip": q_csv_roundtrip,
         "csv_quoted_newlines": q_csv_quoted_newlines,
@@ -313,6 +336,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "routes_append_dedup": q_routes_append_dedup,
         "routes_append_twice": q_routes_append_twice,
         "routes_append_overlap": q_routes_append_overlap,
+        "routes_append_crs": q_routes_append_crs,
         "prepare_deliveries": q_prepare,
         "yield_check": lambda s, sf: quality.yield_check(q_prepare(s, sf), fx.trips(s, sf).count()),
         "zone_lookup": q_zone_lookup,

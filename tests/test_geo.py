@@ -89,3 +89,23 @@ def test_wkt_text(spark):
 
 def test_constants_are_fixed():
     assert geo.UTM_K0 == 0.9996 and geo.WGS84_A == 6378137.0
+
+
+def test_points_in_the_crs_of_their_row(spark):
+    x, y = geo.NY_LONG_ISLAND_FTUS.forward_py(-73.98, 40.75)
+    places = [(-73.98, 40.75, 18, False), (151.2, -33.9, 56, True), (179.9, 10.0, 60, False)]
+    df = spark.createDataFrame(places, "lon double, lat double, zone int, south boolean")
+    e, n = geo.utm_forward("lon", "lat", "zone", "south")
+    code = F.format_string("EPSG:%d%02d", F.when(F.col("south"), 327).otherwise(326), F.col("zone"))
+    rows = [tuple(r) for r in df.select(e, n, code, "lon", "lat").collect()]
+    rows += [(x, y, "EPSG:2263", -73.98, 40.75), (-73.98, 40.75, "EPSG:4326", -73.98, 40.75), (1.5, 2.5, None, 1.5, 2.5)]
+    out = spark.createDataFrame(rows, "x double, y double, code string, lon double, lat double")
+    lat, lon = geo.point_to_wgs84("x", "y", "code")
+    for r in out.select(lat.alias("la"), lon.alias("lo"), "lat", "lon").collect():
+        assert abs(r.la - r.lat) < 2e-8 and abs(r.lo - r.lon) < 2e-8
+    texts = [("POINT (585000 4511000)", "EPSG:32618"), ("POINT (-74 40.7)", "EPSG:4326"), (None, "EPSG:32618"),
+             ("LINESTRING (0 0, 1 1)", "EPSG:32618"), ("POINT (-74 40.7)", None)]
+    got = [r[0] for r in spark.createDataFrame(texts, "g string, c string").select(geo.wkt_point_to_wgs84("g", "c")).collect()]
+    assert got[0].startswith("POINT (-73.99") and got[1:] == ["POINT (-74 40.7)", None, "LINESTRING (0 0, 1 1)", "POINT (-74 40.7)"]
+    with pytest.raises(Exception, match="unsupported CRS EPSG:3857"):
+        spark.createDataFrame([("POINT (1 2)", "EPSG:3857")], "g string, c string").select(geo.wkt_point_to_wgs84("g", "c")).collect()

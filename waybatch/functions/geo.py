@@ -231,3 +231,75 @@ def wkt_point(lon, lat) -> Column:
 
 def is_wkt_point(geometry) -> Column:
     return F.coalesce(_col(geometry).rlike(r"^POINT \("), F.lit(False))
+
+
+def point_to_wgs84(x, y, crs) -> tuple[Column, Column]:
+    """(lat, lon) in degrees of a point in the CRS that each row names.
+
+    ``EPSG:326zz`` / ``EPSG:327zz`` (UTM) and ``EPSG:2263`` (US feet) are
+    converted, ``EPSG:4326`` and null pass. Any other code is an error: a
+    point must not be taken for degrees that it isn't."""
+    x, y, code = _col(x), _col(y), _col(crs)
+    utm = code.rlike("^EPSG:32[67][0-9]{2}$")
+    utm_lat, utm_lon = utm_inverse(x, y, F.substring(code, 9, 2).try_cast("int"), code.startswith("EPSG:327"))
+    feet_lat, feet_lon = lcc_inverse(x, y, NY_LONG_ISLAND_FTUS)
+    unknown = F.raise_error(F.concat(F.lit("unsupported CRS "), code)).cast("double")
+
+    def pick(projected, feet, degrees):
+        passes = code.isNull() | (code == F.lit("EPSG:4326"))
+        return (F.when(passes, degrees).when(utm, projected).when(code == F.lit("EPSG:2263"), feet).otherwise(unknown))
+
+    return pick(utm_lat, feet_lat, y), pick(utm_lon, feet_lon, x)
+
+
+_WKT_POINT = r"^\s*POINT\s*(?:ZM?\s*|M\s*)?\(\s*(\S+)\s+([^\s()]+)"
+
+
+def wkt_point_to_wgs84(geometry, crs) -> Column:
+    """``POINT`` text in the row's CRS as ``POINT (lon lat)``; other text stays as it is."""
+    g = _col(geometry)
+    x, y = (F.regexp_extract(g, _WKT_POINT, k).try_cast("double") for k in (1, 2))
+    lat, lon = point_to_wgs84(x, y, crs)
+    known = _col(crs).isNotNull() & (_col(crs) != F.lit("EPSG:4326")) & x.isNotNull() & y.isNotNull()
+    return F.when(known, wkt_point(lon, lat)).otherwise(g)
+
+
+def wkt_rings(wkt) -> Column:
+    """Rings of ``POLYGON`` or ``MULTIPOLYGON`` text as
+    ``array<struct<hole boolean, points array<struct<x double, y double>>>>``.
+
+    Rings come closed, outer ones counterclockwise and holes clockwise,
+    however they were written, so signed sums take holes off. A third
+    coordinate is ignored. Null, empty polygons, other geometry and text with
+    a coordinate that is no number give null."""
+    text = _col(wkt)
+    # a ring with a parenthesis before it opens a polygon; the rings after it are its holes
+    rings = F.regexp_extract_all(text, F.lit(r"((?:\(\s*)?\([^()]*\))"), F.lit(1))
+
+    def point(pair):
+        parts = F.split(F.trim(pair), r"\s+")
+        return F.struct(F.get(parts, F.lit(0)).try_cast("double").alias("x"), F.get(parts, F.lit(1)).try_cast("double").alias("y"))
+
+    def ring(r):
+        body = F.regexp_replace(r, r"[()]", "")
+        return F.struct((~r.rlike(r"^\(\s*\(")).alias("hole"), F.transform(F.split(body, ","), point).alias("points"))
+
+    def closed(r):
+        p = r["points"]
+        first, last = F.get(p, F.lit(0)), F.get(p, F.size(p) - F.lit(1))
+        return F.struct(r["hole"].alias("hole"), F.when(first == last, p).otherwise(F.concat(p, F.array(first))).alias("points"))
+
+    def wound(r):
+        p = r["points"]
+        x0, y0 = p[0]["x"], p[0]["y"]  # about the first point: no digits lost far from the origin
+        after = F.slice(p, F.lit(2), F.size(p) - F.lit(1))
+        before = F.slice(p, F.lit(1), F.size(p) - F.lit(1))
+        cross = F.zip_with(before, after, lambda a, b: (a["x"] - x0) * (b["y"] - y0) - (b["x"] - x0) * (a["y"] - y0))
+        area = F.aggregate(cross, F.lit(0.0), lambda acc, c: acc + c)
+        turn = F.when(r["hole"], area > F.lit(0.0)).otherwise(area < F.lit(0.0))
+        return F.struct(r["hole"].alias("hole"), F.when(turn, F.reverse(p)).otherwise(p).alias("points"))
+
+    parsed = F.transform(rings, ring)
+    numbers = F.forall(parsed, lambda r: F.forall(r["points"], lambda p: p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])))
+    is_polygon = text.rlike(r"(?i)^\s*(MULTI)?POLYGON\b") & (F.size(parsed) > F.lit(0))
+    return F.when(is_polygon & numbers, F.transform(F.transform(parsed, closed), wound))

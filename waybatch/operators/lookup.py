@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybatch.functions.geo import lcc_inverse, utm_inverse, NY_LONG_ISLAND_FTUS
+from waybatch.functions.geo import lcc_inverse, utm_inverse, wkt_rings, NY_LONG_ISLAND_FTUS
 from waybatch.schema import DEFAULT_ZONE_LAT, DEFAULT_ZONE_LON
 from waybatch.session import broadcast_if_small
 
@@ -76,31 +76,59 @@ def unknown_zones(
     return missing.groupBy("locationid", "role").agg(F.count(F.lit(1)).alias("n_trips"))
 
 
+def polygon_vertices(zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt") -> DataFrame:
+    """Zone polygons as WKT text (``geo.wkt_rings``) to vertex rows ``(zone_id, ring, seq, x, y)``.
+
+    Zones whose text is null, empty or no polygon give no rows (they count as
+    unknown zones later). Several rows of one zone are parts of it: rings are
+    told apart by a hash of the part's text, and equal parts count once, so
+    the place of a row in the table doesn't matter."""
+    parts = zones.select(F.col(id_col).cast("int").alias("zone_id"), F.col(wkt_col).alias("_wb_wkt")).distinct()
+    rings = parts.select("zone_id", F.xxhash64("_wb_wkt").alias("_wb_part"), F.posexplode(wkt_rings("_wb_wkt")).alias("_wb_r", "_wb_ring"))
+    points = rings.select(
+        "zone_id", F.xxhash64("_wb_part", "_wb_r").alias("ring"), F.posexplode("_wb_ring.points").alias("seq", "_wb_p"))
+    return points.select("zone_id", "ring", "seq", F.col("_wb_p.x").alias("x"), F.col("_wb_p.y").alias("y"))
+
+
+_TERM = "decimal(28,20)"  # one edge's share, in units of the zone's frame; a sum holds 1e18 of them
+
+
 def zone_centroid(vertices: DataFrame, decimals: int = 3) -> DataFrame:
     """Area-weighted centroid per zone from ``(zone_id, ring, seq, x, y)``.
 
     Rings are closed (first vertex repeated last) and numbered by ``seq``.
     Edges come from an equi-join of each vertex with the next one, so a
     large ring is spread over tasks. Holes wind the other way, so signed
-    sums subtract them. Zero area gives null.
+    sums subtract them. Zero area gives null; a zone without an edge gives no row.
+
+    Sums are taken in exact decimals, in a frame of the zone's own: its least
+    x and y as origin, its extent (as a power of two) as unit. They don't
+    depend on the order or the partitions of the rows, nor on how far the
+    zone lies from the origin.
     """
-    a = vertices.select("zone_id", "ring", "seq", "x", "y")
-    b = vertices.select(
-        "zone_id", "ring", (F.col("seq") - F.lit(1)).alias("seq"), F.col("x").alias("x2"), F.col("y").alias("y2")
-    )
-    edges = a.join(b, ["zone_id", "ring", "seq"])
+    v = vertices.select("zone_id", "ring", "seq", "x", "y")
+    extent = F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))
+    unit = F.when(extent > F.lit(0.0), F.pow(F.lit(2.0), F.ceil(F.log2(extent)))).otherwise(F.lit(1.0))
+    frame = broadcast_if_small(v.groupBy("zone_id").agg(
+        F.min("x").alias("_wb_x0"), F.min("y").alias("_wb_y0"), unit.alias("_wb_u")))
+    a = v.join(frame, "zone_id").select(
+        "zone_id", "ring", "seq", "_wb_x0", "_wb_y0", "_wb_u",
+        ((F.col("x") - F.col("_wb_x0")) / F.col("_wb_u")).alias("x"), ((F.col("y") - F.col("_wb_y0")) / F.col("_wb_u")).alias("y"))
+    b = a.select("zone_id", "ring", (F.col("seq") - F.lit(1)).alias("seq"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     cross = F.col("x") * F.col("y2") - F.col("x2") * F.col("y")
+    edges = a.join(b, ["zone_id", "ring", "seq"])
     agg = edges.groupBy("zone_id").agg(
-        F.sum(cross).alias("_wb_c"),
-        F.sum((F.col("x") + F.col("x2")) * cross).alias("_wb_sx"),
-        F.sum((F.col("y") + F.col("y2")) * cross).alias("_wb_sy"),
+        F.sum(cross.cast(_TERM)).cast("double").alias("_wb_c"),
+        F.sum(((F.col("x") + F.col("x2")) * cross).cast(_TERM)).cast("double").alias("_wb_sx"),
+        F.sum(((F.col("y") + F.col("y2")) * cross).cast(_TERM)).cast("double").alias("_wb_sy"),
+        *[F.min(c).alias(c) for c in ("_wb_x0", "_wb_y0", "_wb_u")],
     )
     den = F.lit(3.0) * F.col("_wb_c")
     ok = F.col("_wb_c") != F.lit(0.0)
     return agg.select(
         "zone_id",
-        F.round(F.when(ok, F.col("_wb_sx") / den), decimals).alias("cx"),
-        F.round(F.when(ok, F.col("_wb_sy") / den), decimals).alias("cy"),
+        F.round(F.when(ok, F.col("_wb_x0") + F.col("_wb_u") * (F.col("_wb_sx") / den)), decimals).alias("cx"),
+        F.round(F.when(ok, F.col("_wb_y0") + F.col("_wb_u") * (F.col("_wb_sy") / den)), decimals).alias("cy"),
     )
 
 

@@ -118,6 +118,36 @@ def zone_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_vertices_feet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trapezoids in New York feet (EPSG:2263)."""
+    n = F.col("zone_id")
+    x = F.col("x") + F.lit(340000.0) + F.lit(18500.0) * n
+    return zone_vertices(spark, sf_dir).withColumn("x", x).withColumn("y", F.col("y") - F.lit(4300000.0))
+
+
+def zone_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One polygon per nation as WKT text, New York feet: a trapezoid, every
+    third one with a hole, every fourth (n % 4 = 1) with a second part;
+    odd ones wind clockwise. Nation 24 has no polygon."""
+    n = F.col("n_nationkey")
+
+    def ring(points, way):
+        at = [F.concat_ws(" ", (F.lit(980000 + dx) + F.lit(1500) * n).cast("string"), (F.lit(190000 + dy) + F.lit(900) * n).cast("string"))
+              for dx, dy in (points if way else points[::-1])]
+        return F.concat(F.lit("("), F.concat_ws(", ", *at), F.lit(")"))
+
+    def wound(points):
+        return F.when(n % 2 == 0, ring(points, True)).otherwise(ring(points, False))
+
+    body = wound([(0, 0), (1000, 0), (500, 1000), (0, 1000), (0, 0)])
+    hole = F.when(n % 3 == 0, F.concat(F.lit(", "), wound([(300, 300), (400, 300), (400, 400), (300, 400), (300, 300)]))).otherwise(F.lit(""))
+    second = wound([(2000, 0), (2500, 0), (2500, 500), (2000, 500), (2000, 0)])
+    first = F.concat(F.lit("("), body, hole, F.lit(")"))
+    wkt = (F.when(n % 4 == 1, F.concat(F.lit("MULTIPOLYGON ("), first, F.lit(", ("), second, F.lit("))")))
+           .when(n == 24, F.lit("POLYGON EMPTY")).otherwise(F.concat(F.lit("POLYGON "), first)))
+    return table(spark, sf_dir, "nation").select(n.alias("zone_id"), wkt.alias("wkt"))
+
+
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries as text with seeded faults, for the quality report."""
     d = deliveries(spark, sf_dir)

@@ -141,6 +141,19 @@ def utm_inverse_sql(e: str, n: str, zone: str, south: str) -> tuple[str, str]:
     return f"round({phi} * {L(geo.RAD_TO_DEG)}, 8)", f"round({lam} * {L(geo.RAD_TO_DEG)}, 8)"
 
 
+def ny_feet_inverse_sql(x: str, y: str) -> tuple[str, str]:
+    """EPSG:2263 to degrees. Fixed values, worked out apart from the library
+    (Snyder 1987, ch. 15, GRS 80): cone constant, its radius factor, radius of
+    the origin, and the series of the latitude."""
+    xm = f"({x} * 1.2e3 / 3.937e3 - 3e5)"
+    ym = f"(7.462536301142713e6 - {y} * 1.2e3 / 3.937e3)"
+    t = f"pow(sqrt({xm} * {xm} + {ym} * {ym}) / 1.2287232615120316e7, 1e0 / 6.540820912038099e-1)"
+    chi = f"(pi() / 2e0 - 2e0 * atan({t}))"
+    series = ((2, "3.3565514853511422e-3"), (4, "6.571872775293961e-6"), (6, "1.7645643646781633e-8"), (8, "5.3284785490533954e-11"))
+    phi = " + ".join([chi] + [f"{c} * sin({k}e0 * {chi})" for k, c in series])
+    return f"round(degrees({phi}), 8)", f"round(degrees(atan2({xm}, {ym}) / 6.540820912038099e-1) - 7.4e1, 8)"
+
+
 def dist_sql(x1: str, y1: str, x2: str, y2: str) -> str:
     return f"sqrt(({x2} - {x1}) * ({x2} - {x1}) + ({y2} - {y1}) * ({y2} - {y1}))"
 
@@ -321,6 +334,20 @@ FROM deliveries_dup GROUP BY delivery_id HAVING count(*) > 1"""
     lat, lon = utm_inverse_sql("cx", "cy", "18", "false")
     q["zone_centroid_wgs84"] = cen + f"SELECT zone_id AS locationid, {lat} AS lat, {lon} AS lon FROM cen"
 
+    lat, lon = ny_feet_inverse_sql("cx", "cy")
+    # area and centroid of the trapezoid as a rectangle and a triangle, of holes and second parts as squares
+    trapezoid = "CAST(125000000 AS DOUBLE) + 500000000e0 / 3"
+    q["zone_centroid_2263"] = f"""WITH cen AS (SELECT n_nationkey AS zone_id,
+  round(9e5 + 2e4 * n_nationkey + ({trapezoid}) / 7.5e5, 3) AS cx,
+  round(1.9e5 + 9e2 * n_nationkey + (25e7 + 25e7 / 3) / 7.5e5, 3) AS cy FROM nation)
+SELECT zone_id AS locationid, {lat} AS lat, {lon} AS lon FROM cen"""
+    polygons = f"""part AS (SELECT n_nationkey AS n, CAST(n_nationkey % 3 = 0 AS INTEGER) AS hole, CAST(n_nationkey % 4 = 1 AS INTEGER) AS more FROM nation WHERE n_nationkey < 24),
+cen AS (SELECT n,
+  round(9.8e5 + 1.5e3 * n + ({trapezoid} - 3.5e6 * hole + 5.625e8 * more) / (7.5e5 - 1e4 * hole + 2.5e5 * more), 3) AS cx,
+  round(1.9e5 + 9e2 * n + (25e7 + 25e7 / 3 - 3.5e6 * hole + 6.25e7 * more) / (7.5e5 - 1e4 * hole + 2.5e5 * more), 3) AS cy FROM part),
+zones AS (SELECT n AS locationid, {lat} AS lat, {lon} AS lon FROM cen)"""
+    q["prepare_from_polygons"] = prepared.replace(FIXTURES["zones"], polygons)
+
     # batches over deliveries ordered by delivery_id
     bt = with_fixtures(["deliveries"], batched_cte("deliveries", "delivery_id"))
     q["batch_assign"] = bt + "SELECT delivery_id, seq, batch_id, rn FROM bt"
@@ -336,6 +363,10 @@ WHERE starts_with(stop_key, 'p_')"""
     q["stop_path"] = bt + f"""SELECT *, CAST(rn * 2 + CASE WHEN point_type = 'pickup' THEN 1 ELSE 2 END AS INTEGER) AS visit_seq
 FROM ({stops}) s"""
     prj = with_fixtures(["deliveries"], batched_cte("deliveries", "delivery_id"), projected_cte())
+    lat, lon = utm_inverse_sql("pe", "pn", utm_zone_sql("zlon"), "false")
+    q["routes_append_crs"] = prj + f"""SELECT delivery_id, {wkt_sql('glon', 'glat')} AS geometry FROM (
+  SELECT delivery_id, {lat} AS glat, {lon} AS glon FROM (
+    SELECT *, first_value(pickup_lon) OVER (PARTITION BY batch_id ORDER BY rn) AS zlon FROM pr)) x"""
     q["delivery_edges"] = prj + f"""SELECT batch_id, 'p_' || CAST(rn AS VARCHAR) AS src, 'd_' || CAST(rn AS VARCHAR) AS dst, {L(0)} AS weight FROM pr
 UNION ALL SELECT p.batch_id, 'p_' || CAST(p.rn AS VARCHAR), 'd_' || CAST(c.rn AS VARCHAR), {dist_sql('p.pe', 'p.pn', 'c.de', 'c.dn')}
 FROM pr p JOIN pr c ON p.batch_id = c.batch_id AND p.rn <> c.rn"""

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from waybatch.functions.geo import is_wkt_point, wkt_point
+from waybatch.functions.geo import is_wkt_point, wkt_point, wkt_point_to_wgs84
 from waybatch.operators.sequence import with_sequence
 from waybatch.schema import DELIVERY_COLUMNS, ROUTES_SCHEMA, TIMESTAMP_TEXT_FORMAT
 from waybatch.session import checkpoint_root
@@ -59,10 +59,14 @@ def repair_geometry(df: DataFrame) -> DataFrame:
     return df.withColumn("geometry_fixed", bad).withColumn("geometry", fixed)
 
 
-def to_stored(routes: DataFrame) -> DataFrame:
-    """Route rows in stored form: timestamp as text, geometry repaired."""
+def to_stored(routes: DataFrame, crs_col: str | None = None) -> DataFrame:
+    """Route rows in stored form: timestamp as text, geometry repaired and, where
+    ``crs_col`` names the column with the CRS code of each row's geometry,
+    converted to longitude and latitude (a code that isn't known is an error)."""
     if "geometry" not in routes.columns:
         routes = routes.withColumn("geometry", F.lit(None).cast("string"))
+    elif crs_col is not None:
+        routes = routes.withColumn("geometry", wkt_point_to_wgs84("geometry", crs_col))
     r = repair_geometry(routes)
     return r.withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_TEXT_FORMAT))
 
@@ -131,6 +135,7 @@ def append_routes(
     dedupe: bool = False,
     parity: bool = False,
     batch_id: str | None = None,
+    crs_col: str | None = None,
 ) -> int:
     """Appends routes with ``route_key`` continuing above the largest stored key.
     ``path`` is a folder or a catalog table name.
@@ -141,7 +146,7 @@ def append_routes(
     rows whose natural key (coordinates, timestamp) is already stored; a
     folder table keeps Bloom filters of them by month, so the work grows with
     the rows appended. ``parity`` stores a null ``delivery_id``, as a table
-    that replaces the id by its own key. Returns the number of rows appended.
+    that replaces the id by its own key. ``crs_col``: see :func:`to_stored`. Returns the number of rows appended.
     """
     catalog = is_table_name(path)
     if batch_id is not None:
@@ -151,7 +156,7 @@ def append_routes(
     create_routes_table(spark, path)
     checkpoint_root(spark)
     month = F.coalesce(F.substring("timestamp", 1, 7), F.lit("none"))
-    stored = to_stored(routes).withColumn(manifest.MONTH, month)
+    stored = to_stored(routes, crs_col).withColumn(manifest.MONTH, month)
     done = []
     if catalog:
         target = read_routes(spark, path)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybatch.functions.timefn import normalize_nulls, parse_timestamp
+from waybatch.operators.lookup import polygon_vertices
 from waybatch.operators.sequence import with_file_order
 from waybatch.schema import DELIVERY_COLUMNS, DELIVERY_SCHEMA, TRIP_COLUMNS
 from waybatch.session import checkpoint_root, path_exists
@@ -45,6 +46,11 @@ def read_zone_vertices(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def read_zone_polygons(spark: SparkSession, paths, id_col: str = "zone_id", wkt_col: str = "wkt") -> DataFrame:
+    """Zone polygons stored as WKT text in Parquet, as vertex rows (``lookup.polygon_vertices``)."""
+    return polygon_vertices(spark.read.parquet(*_as_list(paths)), id_col, wkt_col)
+
+
 def _text_lines(spark: SparkSession, paths) -> DataFrame:
     return (
         spark.read.option("recursiveFileLookup", "true")
