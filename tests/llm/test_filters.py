@@ -127,6 +127,46 @@ def test_overlaps_of_short_items_by_brute_force(spark, docs):
     assert {(r.doc_id, r.item_id, r.equal_words) for r in got if r.item_id < decontaminate.LONG_FROM} == held
 
 
+def test_overlaps_of_long_items_with_scattered_edits(spark, docs):
+    """Random and periodic edits anywhere: items with over three of five words in place are all found, of all that are held at least 0.9."""
+    rng = np.random.default_rng(6)
+    texts, bench, held, certain, apart = [], [], {}, set(), set()
+    for k in range(900):
+        n = int(rng.integers(decontaminate.LONG_FROM, 61))
+        if k % 3:
+            kept = np.ones(n, bool)
+            kept[rng.permutation(n)[:round(n * rng.uniform(0.2, 0.6))]] = False
+        else:
+            kept = (np.arange(n) + k) % (3 + k % 4) != 0
+        bench.append((k, " ".join(f"i{k}w{j}" for j in range(n)), 0))
+        texts.append("before it " + " ".join(f"i{k}w{j}" if ok else f"x{j}" for j, ok in enumerate(kept)) + " behind")
+        share = int(kept.sum()) / n
+        if share >= decontaminate.ITEM_SHARE:
+            held[k] = share
+            if kept.sum() > 3 * -(-n // 5):
+                certain.add(k)
+        else:
+            start, end = decontaminate.best_stretch(kept)  # the best of all, see above
+            if kept[start:end].sum() < decontaminate.RUN_WORDS:
+                apart.add(k)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(
+        spark, docs(texts), spark.createDataFrame(bench, "item_id long, text string, doc_id int")).collect()}
+    found = {i for d, i in got if d == i}
+    assert len(got) == len(found) and certain <= found and not apart & found and len(certain) > 300 and len(apart) > 100
+    for low, high in ((0.6, 0.65), (0.65, 0.7), (0.7, 0.8), (0.8, 1.0)):
+        band = {k for k, share in held.items() if low <= share < high}
+        assert len(band) > 30 and len(band & found) >= 0.9 * len(band), (low, len(band & found), len(band))
+
+
+def test_overlaps_ties_long_texts_and_clashing_columns(spark, docs):
+    words = " ".join(f"w{j}" for j in range(20))
+    bench = spark.createDataFrame([(1, words, 0, 9), (2, words, 0, 9)], "item_id long, text string, item int, equal_words int")
+    texts = [f"{words} and {words}", "filler " * 200_000 + words, words, words]
+    got = {(r.doc_id, r.item_id): (r.start_word, r.end_word, r.equal_words) for r in decontaminate.overlaps(
+        spark, docs(texts).selectExpr("doc_id", "text", "1 AS item_id", "2 AS item", "3 AS equal_words"), bench).collect()}
+    assert got == {(d, i): (at, at + 20, 20) for d, at in ((0, 0), (1, 200_000), (2, 0), (3, 0)) for i in (1, 2)}
+
+
 def test_overlaps_in_scripts_without_spaces(spark, docs):
     items = ["下列哪一座城市是法国的首都，而不是德国的？", "日本で一番高い山は何ですか。", "เมืองหลวงของประเทศไทยคืออะไร", "quelle est la capitale de la France d’aujourd’hui"]
     other = "今天天气很好。"

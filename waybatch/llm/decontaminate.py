@@ -20,8 +20,14 @@ from pyspark.sql import functions as F
 
 from waybatch.llm.common import NOT_ALNUM, mix, prepared, ragged, small, steps, table, text_buffers, word_hashes, word_spans
 
-#: Ones are compared, zeros ignored.
-MASKS = ("11101011", "1101100011", "110010100101")
+#: Ones are compared, zeros ignored: all ways in which four words can be within
+#: five. An item of which no five neighbours keep four words has three of each
+#: five in place at most, so every item with more than that is found, whatever
+#: the places of its edits.
+MASKS = ("1111", "11101", "11011", "10111")
+#: Equal words from which a stretch far from the others counts for an item of
+#: ``LONG_FROM`` words or more; shorter ones are chance.
+FAR_WORDS = 6
 #: Items with fewer words take the masks of ``SHORT_MASKS``. Of such an item
 #: with ``ITEM_SHARE`` of its words in place three are within five words, and
 #: the masks are all ways in which three can be.
@@ -193,8 +199,9 @@ def _overlaps(items: _Items, words: np.ndarray, before: np.ndarray) -> Iterator[
             runs = [np.flatnonzero(equal[s:e]) + s for s, e in stretches(equal, SHORT)]
             diagonals.append((first, np.flatnonzero(equal), np.concatenate([*runs, np.zeros(0, np.int64)]).astype(np.int64) + low - first))
         covered = _covered(n, diagonals)
-        if n >= LONG_FROM:  # the stretches behind hits of so few words as short items have are chance anywhere else
-            covered = max(covered, len(np.unique(np.concatenate([s[2] for s in best]))))
+        far = [s[2] for s in best if len(s[2]) >= FAR_WORDS]
+        if n >= LONG_FROM and far:
+            covered = max(covered, len(np.unique(np.concatenate(far))))
         start, end, same = max(best, key=lambda s: (len(s[2]), -s[0]))
         if len(same) >= RUN_WORDS or covered >= ITEM_SHARE * n:
             yield text, item, start - int(before[text]), end - int(before[text]), covered
@@ -238,7 +245,11 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col:
     An item is held if a stretch has ``RUN_WORDS`` equal words, if
     ``ITEM_SHARE`` of its words are equal in place, or if stretches beside
     each other or around words put in or left out cover that share; items of fewer than ``SHORT`` words
-    only by a document that has just these words. Null, empty and wordless
+    only by a document that has just these words. Of items of ``LONG_FROM``
+    words or more only those are looked at that keep four of some five
+    neighbouring words: all with more than ``3 * ceil(n / 5)`` of ``n`` words
+    in place, and below that nearly all (a test measures at least 0.9).
+    Of equally good stretches the first counts. Null, empty and wordless
     texts hold nothing and are held by nothing. Repeated documents give
     repeated rows; of equal items each counts (of equal ones under ``SHORT``
     words, the first). Other columns are ignored. Items beyond
