@@ -249,6 +249,18 @@ def q_ingest_route_store(spark, sf):
                           batch_size=BATCH, mode="input_order")
 
 
+def q_ingest_nearest_files(spark, sf):
+    """The whole job in nearest mode over two folders whose files have their columns in other orders."""
+    root = scratch_path(spark, "job-files")
+    d = _delivery_cols(fx.deliveries(spark, sf))
+    cut = d.agg(F.max("delivery_id")).first()[0] // 2
+    _write_ordered_csv(d.filter(F.col("delivery_id") <= cut), f"{root}/raw/a")
+    late = d.filter(F.col("delivery_id") > cut).repartitionByRange(3, "delivery_id").sortWithinPartitions("delivery_id")
+    late.select(*reversed(DELIVERY_COLUMNS)).write.option("header", "true").option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{root}/raw/b")
+    return jobs.route_job(spark, f"{root}/routes", full_path=f"{root}/raw", batch_size=BATCH, mode="nearest")
+
+
 # ------------------------------------------------------------------ others
 def q_prepare(spark, sf):
     return prepare_deliveries(fx.trips(spark, sf), fx.zones_listed(spark, sf), order_by="trip_id",
@@ -381,6 +393,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "optimize_routes": lambda s, sf: routing.optimize_routes(
             fx.deliveries_far_dup(s, sf), order_by="row_no", batch_size=BATCH, mode="input_order"),
         "ingest_route_store": q_ingest_route_store,
+        "ingest_nearest_files": q_ingest_nearest_files,
         **_training_data()[0],
     }
 

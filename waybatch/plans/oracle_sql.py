@@ -395,6 +395,8 @@ SELECT batch_id, rn, nearest_rn, dist FROM (
                            "rk AS (SELECT *, row_number() OVER (ORDER BY batch_id, visit_seq) AS route_k FROM ro)")
     q["routes_readback"] = stored + _stored_select("rk", "route_k")
     q["ingest_route_store"] = q["routes_readback"]
+    q["ingest_nearest_files"] = (walk.rstrip() + ",\nrk AS (SELECT *, row_number() OVER (ORDER BY batch_id, visit_seq) AS route_k FROM rn_route)\n"
+                                 + _stored_select("rk", "route_k"))
     q["routes_append_dedup"] = q["routes_readback"]
     q["routes_append_key"] = stored + """SELECT CAST(route_k AS BIGINT) AS route_key, delivery_id FROM rk
 UNION ALL SELECT CAST(route_k + (SELECT count(*) FROM rk) AS BIGINT), delivery_id FROM rk"""
