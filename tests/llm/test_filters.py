@@ -204,6 +204,63 @@ def test_license_scan(spark, docs):
     assert licenses.scan(spark, docs([])).count() == 0
 
 
+def test_longest_rising_by_brute_force():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        values = rng.permutation(int(rng.integers(0, 9))).tolist()
+        at = licenses._longest_rising(values)
+        assert at == sorted(at) and all(values[i] < values[j] for i, j in zip(at, at[1:]))
+        subsets = ([v for k, v in enumerate(values) if m >> k & 1] for m in range(1 << len(values)))
+        assert len(at) == max(len(x) for x in subsets if x == sorted(x))
+
+
+def test_dense_run_by_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        places = np.flatnonzero(rng.random(int(rng.integers(1, 40))) < rng.choice([0.2, 0.8])).tolist() or [0]
+        pairs = [(p, k) for k, p in enumerate(places)]
+        runs = [pairs[a:b] for a in range(len(pairs)) for b in range(a + 1, len(pairs) + 1)]
+        got = licenses._dense(pairs, 1)
+        assert licenses._value(got, 0) == max(licenses._value(r, 0) for r in runs)
+        assert licenses._dense(pairs, len(pairs) + 1) == pairs
+
+
+def test_licenses_with_edits_are_named_once(spark, docs):
+    """Every template, as it is and with words replaced: it alone is named, at
+    its place, and covered by a longest common subsequence but for a few words."""
+    rng = np.random.default_rng(7)
+    texts, want = [], []
+    for name, template in licenses.TEMPLATES.items():
+        words = licenses._words(pa.array([template]))[0].tolist()
+        for share in (0.0, 0.06, 0.12):
+            plain = "".join(c if c.isalnum() else " " for c in template).split()
+            gone = set(rng.permutation(np.arange(1, len(words) - 1))[:int(share * (len(words) - 2))].tolist())
+            if name.startswith(("GPL", "LGPL", "AGPL", "CC", "BSD", "0BSD", "ISC")):
+                gone = {k for k in gone if plain.count(plain[k]) > 1 and len(plain) > 40 and k > 60}  # what tells relatives apart stays
+            texts.append("junk0 junk1 " + " ".join(f"zz{k}" if k in gone else w for k, w in enumerate(plain)) + " junk2")
+            want.append((name, len(words), len(gone)))
+    got: dict[int, list] = {}
+    for r in licenses.scan(spark, docs(texts)).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for k, (name, n, gone) in enumerate(want):
+        assert [r.license for r in got[k]] == [name], (name, gone, got[k])
+        r = got[k][0]
+        assert (r.start_word, r.end_word) == (2, 2 + n) and (n - gone) / n - 0.03 <= r.coverage <= (n - gone) / n + 1e-9
+
+
+def test_licenses_nested_and_apart(spark, docs):
+    t = licenses.TEMPLATES
+    between = " " + " ".join(f"filler{k}" for k in range(300)) + " "
+    texts = [t["Apache-2.0-notice"], t["Apache-2.0-notice"] + between + t["Apache-2.0-statement"], t["MIT-statement"] + " " + t["MIT"],
+             t["BSD-3-Clause"] + between + t["BSD-2-Clause"], t["MIT"] + between + t["MIT"]]
+    got = sorted((r.doc_id, r.license) for r in licenses.scan(spark, docs(texts)).collect())
+    assert got == [(0, "Apache-2.0-notice"), (1, "Apache-2.0-notice"), (1, "Apache-2.0-statement"), (2, "MIT"), (2, "MIT-statement"),
+                   (3, "BSD-2-Clause"), (3, "BSD-3-Clause"), (4, "MIT")]
+    same = docs(["x " + t["MIT-statement"]] * 3)
+    assert [(r.license, r.coverage) for r in licenses.scan(spark, same).collect()] == [("MIT-statement", 1.0)] * 3
+    assert [r.license for r in licenses.scan(spark, same, {"b": "under the MIT", "a": "under the MIT"}).collect()] == ["a"] * 3
+
+
 def test_license_scan_finds_the_statements_of_the_documents(spark, tables):
     d = tables("documents")
     got = {(r.doc_id, r.license) for r in licenses.scan(spark, d).collect()}

@@ -227,3 +227,47 @@ def test_words_are_kept_over_two_generations(codec):
         some = rng.choices(words, k=5)
         assert small(some) == large(some)
     assert len(small.words) + len(small.older) < 20
+
+
+LINES = ["The river runs past the old mill.", "A storm came over the hills at night.", "She reads by the window.",
+         "Der Fluss fliesst an der Muehle vorbei.", "In der Nacht kam ein Sturm.", "Sie liest am Fenster.",
+         "La riviere passe devant le moulin.", "Un orage est venu dans la nuit."]
+LANGS = ["en"] * 3 + ["de"] * 3 + ["fr"] * 2
+
+
+def _gram_set(text):
+    low = text.lower()
+    return {low[i:i + n] for n in range(1, language.SPECTRUM + 1) for i in range(len(low) - n + 1)}
+
+
+def test_language_model_by_brute_force():
+    """The kernel from sets of n-grams, the regressions by least squares on
+    the landmarks' own kernel: with all texts as landmarks Nystroem is exact."""
+    rows = [(lang, np.unique(language.text_grams(pa.array([t]))[1])) for lang, t in zip(LANGS, LINES, strict=True)]
+    model = language.fit(rows)
+    sets = [_gram_set(t) for t in LINES]
+    seen = set().union(*sets)
+    assert len(model.grams) == len(seen) and model.landmarks.shape == (len(seen), len(LINES))
+    kernel = lambda a, b: len(a & b & seen) / np.sqrt(max(1, len(a & seen)) * max(1, len(b & seen)))
+    own = np.array([[kernel(a, b) for b in sets] for a in sets])
+    target = np.array([[1.0 if x == lang else -1.0 for lang in sorted(set(LANGS))] for x in LANGS])
+    w = np.sqrt([1 / LANGS.count(x) for x in LANGS])[:, None]
+    n = len(LINES)
+    x = np.concatenate([own, np.ones((n, 1))], 1) * w
+    ridge = np.zeros((n + 1, n + 1))
+    ridge[:n, :n] = np.sqrt(language.RIDGE) * np.linalg.cholesky(own + 1e-6 * np.eye(n)).T
+    ridge[n, n] = 1e-9 ** 0.5
+    solved = np.linalg.lstsq(np.concatenate([x, ridge]), np.concatenate([target * w, np.zeros((n + 1, target.shape[1]))]), rcond=None)[0]
+    texts = [*LINES, "The mill by the river at night", "Der Sturm in der Nacht", "le moulin", "???", "x" * 3000]
+    far = np.array([[kernel(_gram_set(t), s) for s in sets] for t in texts])
+    margin = far @ solved[:n] + solved[n]
+    present = language._presence(model, pa.array(texts))
+    got = language._kernel(model, present) @ model.weights + model.bias
+    assert np.abs(got - margin).max() < 1e-3
+    langs, score = language.predict(model, pa.array(texts))
+    share = np.exp(3 * margin) / np.exp(3 * margin).sum(1, keepdims=True)
+    for k, t in enumerate(texts):
+        letters = any(c.isalpha() for c in t)
+        assert langs[k] == (sorted(set(LANGS))[int(margin[k].argmax())] if letters else "und")
+        assert abs(score[k] - (share[k].max() if letters else 0)) < 1e-3
+    assert langs[:n] == LANGS

@@ -23,34 +23,92 @@ from waybatch.llm.common import NOT_ALNUM, prepared, ragged, steps, text_buffers
 #: Least coverage of a match.
 COVERAGE = 0.8
 
-#: Public license statements and notices.
+# Public license texts, notices and statements.
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+    "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+    "substantial portions of the Software.")
+_MIT_DISCLAIMER = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+    "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_ISC_CONDITION = ", provided that the above copyright notice and this permission notice appear in all copies."
+_ISC_DISCLAIMER = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+    "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_BSD_TWO = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. ")
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission. ")
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+    "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+    "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+
+def _gnu_notice(thing: str, kind: str, version: str) -> str:
+    """The notice that the GNU licenses recommend, which differs in three places."""
+    return (f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} License as published "
+            f"by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This {thing} is "
+            "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+            f"FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} License for more details.")
+
+
+#: Whole texts of the short licenses; notices of the long ones, as their
+#: authors have them put in files; one-line statements.
 TEMPLATES = {
     "Apache-2.0-statement": "Licensed under the Apache License, Version 2.0.",
     "MIT-statement": "Released under the MIT License.",
     "GPL-3.0-statement": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-statement": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-4.0-statement": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-statement": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "Apache-2.0-notice": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to "
         'in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
         "either express or implied. See the License for the specific language governing permissions and limitations under the License."),
-    "MIT": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
-        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
-        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
-        "substantial portions of the Software."),
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
-        "the above copyright notice and this permission notice appear in all copies."),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution."),
-    "GPL-3.0-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "MPL-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "GPL-2.0-notice": _gnu_notice("program", "General Public", "2"),
+    "GPL-3.0-notice": _gnu_notice("program", "General Public", "3"),
+    "LGPL-2.1-notice": _gnu_notice("library", "Lesser General Public", "2.1"),
+    "LGPL-3.0-notice": _gnu_notice("library", "Lesser General Public", "3"),
+    "AGPL-3.0-notice": _gnu_notice("program", "Affero General Public", "3"),
+    "MIT": f"{_MIT_GRANT} {_MIT_DISCLAIMER}",
+    "ISC": _ISC_GRANT + _ISC_CONDITION + _ISC_DISCLAIMER,
+    "0BSD": _ISC_GRANT + "." + _ISC_DISCLAIMER,
+    "BSD-2-Clause": _BSD_TWO + _BSD_DISCLAIMER,
+    "BSD-3-Clause": _BSD_TWO + _BSD_THIRD + _BSD_DISCLAIMER,
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this "
+        "software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, "
+        "an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly "
+        "marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any "
+        "source distribution."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, "
+        "or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and "
+        "by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+        "interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment "
+        "of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future "
+        "rights to this software under copyright law."),
 }
 
 
@@ -97,6 +155,27 @@ def align(text: Sequence, template: Sequence) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _value(pairs: list[tuple[int, int]], n: int) -> int:
+    """Aligned words, less the words that the template of ``n`` words and the
+    stretch from the first to the last aligned word have beside them."""
+    return 3 * len(pairs) - n - (pairs[-1][0] - pairs[0][0] + 1)
+
+
+def _dense(pairs: list[tuple[int, int]], least: float) -> list[tuple[int, int]]:
+    """The run of pairs of the highest value, without strays at the ends; all
+    pairs where the run has fewer than ``least``."""
+    start, value, best = 0, 0, (0, 0, 0)
+    for k, (i, _) in enumerate(pairs):
+        gap = i - pairs[k - 1][0] if k else 0
+        if k and value >= gap:
+            value += 3 - gap
+        else:
+            start, value = k, 2
+        best = max(best, (value, -start, k + 1))
+    run = pairs[-best[1]:best[2]]
+    return run if len(run) >= least else pairs
+
+
 class Templates:
     """Templates as word hashes, and for each which words it has."""
 
@@ -111,11 +190,14 @@ class Templates:
     def matches(self, words: np.ndarray, before: np.ndarray, least: float) -> Iterator[tuple[int, str, float, int, int]]:
         """``(text, template, coverage, from, to)``: the best stretch of each
         template in each text. Stretches of one and a half template lengths,
-        half a length apart, are aligned if they hold enough of its words."""
+        half a length apart, are aligned if they hold enough of its words. Of
+        matches that share words of the text the one of the highest value
+        stays (see ``_value``), then the first by name."""
         if len(self.vocabulary) == 0 or len(words) == 0:
             return
         at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
         known = self.vocabulary[at] == words
+        found: dict[int, set[tuple]] = {}
         for k, template in enumerate(self.words):
             n = len(template)
             if n == 0:
@@ -125,18 +207,26 @@ class Templates:
             text, place = ragged(-(-np.diff(before) // step))
             start = before[:-1][text] + place * step
             end = np.minimum(start + width, before[1:][text])
-            best: dict[int, tuple[float, int, int]] = {}
             for i in np.flatnonzero(sums[end] - sums[start] >= least * n).tolist():
                 part = words[start[i]:end[i]].tolist()
                 if sum((Counter(part) & self.counts[k]).values()) < least * n:
                     continue
                 pairs = align(part, template)
                 if len(pairs) >= least * n:
+                    pairs = _dense(pairs, least * n)
                     t, origin = int(text[i]), int(start[i] - before[text[i]])
-                    found = (len(pairs) / n, -(origin + pairs[0][0]), origin + pairs[-1][0] + 1)
-                    best[t] = max(best.get(t, (0.0, 0, 0)), found)
-            for t, (coverage, first, last) in best.items():
-                yield t, self.names[k], coverage, -first, last
+                    first, last = origin + pairs[0][0], origin + pairs[-1][0] + 1
+                    found.setdefault(t, set()).add((-_value(pairs, n), self.names[k], first, last, len(pairs) / n))
+        for t, matches in found.items():
+            taken: list[tuple[int, int]] = []  # disjoint stretches in order
+            best: dict[str, tuple[float, int, int]] = {}
+            for _, name, first, last, coverage in sorted(matches):
+                at = bisect_left(taken, (first, last))
+                if (at == 0 or taken[at - 1][1] <= first) and (at == len(taken) or taken[at][0] >= last):
+                    taken.insert(at, (first, last))
+                    best.setdefault(name, (coverage, first, last))
+            for name, (coverage, first, last) in best.items():
+                yield t, name, coverage, first, last
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +239,9 @@ def scan(spark: SparkSession, docs: DataFrame, templates: dict[str, str] | None
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, license, coverage, start_word, end_word)``: a row for each
     template that a text covers to ``least`` or more, with its best stretch
-    (the first of equal ones) in words of the text.
+    (the first of equal ones) in words of the text. Of templates that match at
+    one place only the best is named: a license that contains another, or
+    differs from it in a word, isn't reported as both.
 
     Words are lower-cased runs of letters and digits. Null, empty and wordless
     texts, and wordless templates, match nothing. Whole texts of any length
