@@ -1,12 +1,15 @@
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from helpers import THREE_ROWS, write_text
+from helpers import SF_TINY, THREE_ROWS, write_text
 from waybatch.operators.prepare import check_row_params, prepare_deliveries
-from waybatch.operators.quality import QualityError
-from waybatch.plans import jobs
+from waybatch.operators.quality import QualityError, observed_rules, quality_report
+from waybatch.plans import fixtures, jobs
+from waybatch.session import checkpoint_root
 
 
 def test_csv_job_two_files(spark, tmp_dir):
@@ -97,3 +100,45 @@ def test_full_set_is_read_though_a_sample_lies_beside_it(spark, tmp_dir):
     args = dict(full_path=f"{tmp_dir}/raw", sample_path=f"{tmp_dir}/sample.csv", batch_size=10)
     assert jobs.route_job(spark, f"{tmp_dir}/r1", **args).count() == 3
     assert jobs.route_job(spark, f"{tmp_dir}/r2", source="auto", **args).count() == 1
+
+
+def _staged_copies(spark):
+    root = checkpoint_root(spark)
+    root = root[len("file:"):] if root.startswith("file:") else root
+    return {os.path.join(at, d) for at, dirs, _ in os.walk(root) for d in dirs if d.startswith("staged-input-")}
+
+
+def test_checks_run_in_the_pass_that_stages(spark, tmp_dir, monkeypatch):
+    before = _staged_copies(spark)
+    write_text(f"{tmp_dir}/raw/a.csv", THREE_ROWS)
+    monkeypatch.setattr(jobs, "quality_report", lambda *a, **k: pytest.fail("no report where nothing is wrong"))
+    assert jobs.route_job(spark, f"{tmp_dir}/routes", full_path=f"{tmp_dir}/raw", batch_size=10).count() == 3
+    assert _staged_copies(spark) == before
+
+
+@pytest.mark.parametrize("stage", [True, False])
+def test_first_error_is_that_of_the_report(spark, tmp_dir, stage):
+    before = _staged_copies(spark)
+    lines = THREE_ROWS.strip().split("\n")
+    write_text(f"{tmp_dir}/raw/b.csv", "\n".join([*lines, lines[1]]) + "\n")  # an id twice
+    write_text(f"{tmp_dir}/raw/c.csv", THREE_ROWS.replace("40.7517", "140.7517"))
+    args = dict(full_path=f"{tmp_dir}/raw", batch_size=10, stage=stage)
+    with pytest.raises(QualityError, match=r"Duplicate delivery_id.*b\.csv"):
+        jobs.route_job(spark, f"{tmp_dir}/routes", **args)
+    write_text(f"{tmp_dir}/raw/b.csv", THREE_ROWS)  # one id in two files is none
+    with pytest.raises(QualityError, match=r"latitude range.*c\.csv: 1 rows"):
+        jobs.route_job(spark, f"{tmp_dir}/routes", **args)
+    args["batch_size"] = 3  # a batch holds an id once; so each file is a batch
+    assert jobs.route_job(spark, f"{tmp_dir}/lax", strict=False, **args).count() == 6
+    assert _staged_copies(spark) == before
+
+
+def test_observed_counts_are_those_of_the_report(spark, tmp_dir):
+    raw = fixtures.raw_text(spark, SF_TINY)
+    seen = Observation("counts")
+    watched = observed_rules(raw, seen)
+    watched.write.format("noop").mode("overwrite").save()
+    want = {f"{r.rule}:{r.column}": r.n_bad for r in quality_report(raw).collect()
+            if r.rule not in ("empty", "required_columns", "duplicate_id")}
+    assert watched.columns == raw.columns and sum(want.values()) > 0
+    assert seen.get == want | {"rows": raw.count()}

@@ -1,13 +1,14 @@
 """Data-quality checks of delivery inputs as a report DataFrame.
 
 One aggregation pass per source computes every row-level rule, one more
-pass finds repeated ids. ``raise_on_failure`` turns the report into the
+pass finds repeated ids. ``observed_rules`` counts the row-level rules while
+rows are on their way elsewhere, without a pass. ``raise_on_failure`` turns the report into the
 first error in the order the studied validator checks its rules.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waybatch.functions.timefn import normalize_nulls, parse_timestamp
@@ -22,21 +23,22 @@ SOURCE = "source"
 _INT_TEXT = r"^[+-]?[0-9]+$"
 
 
-def _rules():
-    """(rule, column, bad-row predicate) in the studied check order."""
+def _rules(col=F.col):
+    """(rule, column, bad-row predicate) in the studied check order; ``col``
+    gives the normalized text of a column."""
     out = []
     for c in COORD_COLUMNS:
-        v = F.col(c)
+        v = col(c)
         num = v.try_cast("double")
         out.append(("numeric", c, v.isNotNull() & num.isNull()))
         out.append(("not_null", c, v.isNull()))
         lo, hi = (-90.0, 90.0) if c.endswith("lat") else (-180.0, 180.0)
         rule = "lat_range" if c.endswith("lat") else "lon_range"
         out.append((rule, c, num.isNotNull() & ~num.between(F.lit(lo), F.lit(hi))))
-    ident = F.col("delivery_id")
+    ident = col("delivery_id")
     out.append(("integer", "delivery_id", ident.isNull() | ~ident.rlike(_INT_TEXT)))
     out.append(("not_null", "delivery_id", ident.isNull()))
-    ts = F.col("timestamp")
+    ts = col("timestamp")
     out.append(("timestamp", "timestamp", ts.isNotNull() & parse_timestamp(ts).isNull()))
     return out
 
@@ -124,6 +126,22 @@ def quality_report(df: DataFrame, source_col: str | None = None) -> DataFrame:
     return report.withColumn("passed", F.col("n_bad") == 0)
 
 
+def observed_rules(df: DataFrame, observation: Observation) -> DataFrame:
+    """``df`` as it is. The action that runs over it fills ``observation`` with
+    the count of ``rows`` and, as ``rule:column``, of the rows that break each
+    row-level rule, over all sources."""
+    text = F.struct(*[normalize_nulls(F.col(c).cast("string")).alias(c) for c in DELIVERY_COLUMNS])
+    rules = _rules(lambda c: F.col("_wb_checked").getField(c))
+    counts = [F.count_if(pred).alias(f"{r}:{c}") for r, c, pred in rules]
+    return df.withColumn("_wb_checked", text).observe(observation, F.count(F.lit(1)).alias("rows"), *counts).drop("_wb_checked")
+
+
+def has_repeated_ids(df: DataFrame, source_col: str) -> bool:
+    """Whether any source has an id more than once; reads these two columns."""
+    ids = normalized_text(df).select(source_col, "delivery_id")
+    return not duplicate_ids(ids, source_col).isEmpty()
+
+
 def raise_on_failure(report: DataFrame) -> None:
     """Raises :class:`QualityError` for the first failing rule, in the
     studied order (per source in name order). Only that row reaches the

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from waybatch.operators.batching import FILE_ORDER, check_batch_size
 from waybatch.operators.prepare import check_row_params, prepare_deliveries
-from waybatch.operators.quality import invalid_timestamps, quality_report, raise_on_failure, yield_check
+from waybatch.operators.quality import (
+    has_repeated_ids, invalid_timestamps, observed_rules, quality_report, raise_on_failure, yield_check,
+)
 from waybatch.operators.routing import optimize_routes
 from waybatch.operators.sequence import FILE_COL
 from waybatch.schema import (
@@ -109,25 +111,39 @@ def route_job(
 
     The only driver-side data are per-file reports and per-range counts. With
     a ``batch_id`` a job that ran already appends nothing (``append_routes``).
+
+    A staged input is checked by the pass that writes it; only repeated ids
+    need another read, of two columns. The report by file is made just where
+    a check fails, to name the first error. The staged copy is deleted when
+    the job ends, by an error too.
     """
     check_batch_size(batch_size)
     if full_path is None:
         raise ValueError("full_path is required")
     text = load_deliveries(spark, full_path, sample_path, source)
-    staged = None
-    if stage:
-        text, staged = stage_input(text, spark)
-    if strict:
-        raise_on_failure(quality_report(text, source_col=FILE_COL))
+    if not stage:
+        if strict:
+            raise_on_failure(quality_report(text, source_col=FILE_COL))
+        return _routed(spark, text, target_path, batch_size, mode, dedupe, batch_id, _observe, _appended)
+    seen = Observation("waybatch_checks")
+    text, staged = stage_input(observed_rules(text, seen) if strict else text, spark)
+    try:
+        if strict and (any(n for rule, n in seen.get.items() if rule != "rows") or has_repeated_ids(text, FILE_COL)):
+            raise_on_failure(quality_report(text, source_col=FILE_COL))
+        return _routed(spark, text, target_path, batch_size, mode, dedupe, batch_id, _observe, _appended)
+    finally:
+        delete_path(spark, staged)  # the routes are stored, or the job failed
+
+
+def _routed(spark, text, target_path, batch_size, mode, dedupe, batch_id, observe, appended) -> DataFrame:
+    """Routes checked input and appends it; the stored table."""
     typed = typed_deliveries(text)
-    if _observe:
-        typed = typed.observe(_observe[0], F.count(F.lit(1)).alias("rows"))
+    if observe:
+        typed = typed.observe(observe[0], F.count(F.lit(1)).alias("rows"))
     routes = optimize_routes(typed, order_by=FILE_ORDER, batch_size=batch_size, mode=mode)
-    if _observe:
-        routes = routes.observe(_observe[1], F.count(F.lit(1)).alias("rows"))
+    if observe:
+        routes = routes.observe(observe[1], F.count(F.lit(1)).alias("rows"))
     n = append_routes(spark, routes, target_path, dedupe=dedupe, batch_id=batch_id)
-    if _appended is not None:
-        _appended.append(n)
-    if staged:
-        delete_path(spark, staged)  # the routes are stored; the copy is not needed any more
+    if appended is not None:
+        appended.append(n)
     return read_routes(spark, target_path)
