@@ -9,7 +9,6 @@ there). The projection formulas repeat the operation order of
 
 from __future__ import annotations
 
-from waybatch.functions import geo
 from waybatch.schema import NULL_TOKENS
 
 
@@ -18,6 +17,18 @@ def L(x: float) -> str:
     return format(float(x), ".17e")
 
 
+# Transverse Mercator on WGS 84, Krueger series of third order,
+# written out here so that a wrong coefficient in the library shows.
+DEG_TO_RAD = 0.017453292519943295
+RAD_TO_DEG = 57.29577951308232
+UTM_E = 0.08181919084262149
+UTM_KA = 6364902.166165086
+UTM_FALSE_EASTING = 500000.0
+UTM_FALSE_NORTHING_SOUTH = 10000000.0
+UTM_ALPHA = (0.0008377318188192541, 7.608496958699166e-07, 1.2034877875966646e-09)
+UTM_BETA = (0.000837732164082144, 5.906110863719917e-08, 1.6769911794379754e-10)
+UTM_DELTA = (0.003356551448628875, 6.571913193172695e-06, 1.76774599620756e-08)
+
 # ---------------------------------------------------------------- fixtures
 FIXTURES = {
     "zones": """zones AS (
@@ -103,42 +114,42 @@ def utm_crs_sql(lon: str, lat: str) -> str:
 
 
 def _lam0(zone: str) -> str:
-    return f"((least({zone}, 60) * {L(6)} - {L(183)}) * {L(geo.DEG_TO_RAD)})"
+    return f"((least({zone}, 60) * {L(6)} - {L(183)}) * {L(DEG_TO_RAD)})"
 
 
 def utm_forward_sql(lon: str, lat: str, zone: str, south: str) -> tuple[str, str]:
-    phi = f"({lat} * {L(geo.DEG_TO_RAD)})"
-    dlam = f"({lon} * {L(geo.DEG_TO_RAD)} - {_lam0(zone)})"
+    phi = f"({lat} * {L(DEG_TO_RAD)})"
+    dlam = f"({lon} * {L(DEG_TO_RAD)} - {_lam0(zone)})"
     s = f"sin({phi})"
-    t = f"sinh(atanh({s}) - {L(geo.UTM_E)} * atanh({L(geo.UTM_E)} * {s}))"
+    t = f"sinh(atanh({s}) - {L(UTM_E)} * atanh({L(UTM_E)} * {s}))"
     xi1 = f"atan2({t}, cos({dlam}))"
     eta1 = f"atanh(sin({dlam}) / sqrt({L(1)} + {t} * {t}))"
     xi, eta = xi1, eta1
-    for j, a in enumerate(geo.UTM_ALPHA, start=1):
+    for j, a in enumerate(UTM_ALPHA, start=1):
         k = L(2.0 * j)
         xi = f"({xi} + {L(a)} * sin({k} * {xi1}) * cosh({k} * {eta1}))"
         eta = f"({eta} + {L(a)} * cos({k} * {xi1}) * sinh({k} * {eta1}))"
-    e = f"({L(geo.UTM_FALSE_EASTING)} + {L(geo.UTM_KA)} * {eta})"
-    n = f"({L(geo.UTM_KA)} * {xi})"
-    n = f"(CASE WHEN {south} THEN {L(geo.UTM_FALSE_NORTHING_SOUTH)} + {n} ELSE {n} END)"
+    e = f"({L(UTM_FALSE_EASTING)} + {L(UTM_KA)} * {eta})"
+    n = f"({L(UTM_KA)} * {xi})"
+    n = f"(CASE WHEN {south} THEN {L(UTM_FALSE_NORTHING_SOUTH)} + {n} ELSE {n} END)"
     return f"round({e}, 3)", f"round({n}, 3)"
 
 
 def utm_inverse_sql(e: str, n: str, zone: str, south: str) -> tuple[str, str]:
-    n = f"(CASE WHEN {south} THEN {n} - {L(geo.UTM_FALSE_NORTHING_SOUTH)} ELSE {n} END)"
-    xi = f"({n} / {L(geo.UTM_KA)})"
-    eta = f"(({e} - {L(geo.UTM_FALSE_EASTING)}) / {L(geo.UTM_KA)})"
+    n = f"(CASE WHEN {south} THEN {n} - {L(UTM_FALSE_NORTHING_SOUTH)} ELSE {n} END)"
+    xi = f"({n} / {L(UTM_KA)})"
+    eta = f"(({e} - {L(UTM_FALSE_EASTING)}) / {L(UTM_KA)})"
     xi1, eta1 = xi, eta
-    for j, b in enumerate(geo.UTM_BETA, start=1):
+    for j, b in enumerate(UTM_BETA, start=1):
         k = L(2.0 * j)
         xi1 = f"({xi1} - {L(b)} * sin({k} * {xi}) * cosh({k} * {eta}))"
         eta1 = f"({eta1} - {L(b)} * cos({k} * {xi}) * sinh({k} * {eta}))"
     chi = f"asin(sin({xi1}) / cosh({eta1}))"
     phi = chi
-    for j, d in enumerate(geo.UTM_DELTA, start=1):
+    for j, d in enumerate(UTM_DELTA, start=1):
         phi = f"({phi} + {L(d)} * sin({L(2.0 * j)} * {chi}))"
     lam = f"({_lam0(zone)} + atan2(sinh({eta1}), cos({xi1})))"
-    return f"round({phi} * {L(geo.RAD_TO_DEG)}, 8)", f"round({lam} * {L(geo.RAD_TO_DEG)}, 8)"
+    return f"round({phi} * {L(RAD_TO_DEG)}, 8)", f"round({lam} * {L(RAD_TO_DEG)}, 8)"
 
 
 def ny_feet_inverse_sql(x: str, y: str) -> tuple[str, str]:
