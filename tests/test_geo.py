@@ -109,3 +109,22 @@ def test_points_in_the_crs_of_their_row(spark):
     assert got[0].startswith("POINT (-73.99") and got[1:] == ["POINT (-74 40.7)", None, "LINESTRING (0 0, 1 1)", "POINT (-74 40.7)"]
     with pytest.raises(Exception, match="unsupported CRS EPSG:3857"):
         spark.createDataFrame([("POINT (1 2)", "EPSG:3857")], "g string, c string").select(geo.wkt_point_to_wgs84("g", "c")).collect()
+
+
+def test_texts_of_a_table_are_converted_in_steps(spark):
+    x, y = geo.NY_LONG_ISLAND_FTUS.forward_py(-73.98, 40.75)
+    texts = ["POINT (585000.123 4511000.5)", f"POINT ({x} {y})", "POINT Z (-74 40.7 3)", "point (1 2)", "POINT (1 x)", "POINT (NaN 1)",
+             "POINT (1e300 4511000)", "POINT EMPTY", "LINESTRING (0 0, 1 1)", "", None]
+    codes = ["EPSG:32618", "EPSG:32761", "EPSG:32600", "EPSG:2263", "EPSG:4326", None]
+    rows = [(i, g, c) for i, (g, c) in enumerate((g, c) for g in texts for c in codes)]
+    rows += [(1000, None, "EPSG:3857"), (1001, "POINT EMPTY", "EPSG:3857"), (1002, None, None)]
+    df = spark.createDataFrame(rows, "id long, geometry string, crs string").repartition(3)
+    got = geo.with_wkt_in_wgs84(df, "geometry", "crs")
+    assert got.columns == df.columns
+    want = df.select("id", geo.wkt_point_to_wgs84("geometry", "crs").alias("geometry"), "crs")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert got.filter("id in (0, 9)").orderBy("id").collect()[1].geometry == "POINT (-73.98 40.75)"
+    # in both forms a code that isn't known is an error as soon as there is a point
+    bad = spark.createDataFrame([(1, "POINT (1 2)", "EPSG:3857")], df.schema).repartition(2)
+    with pytest.raises(Exception, match="unsupported CRS EPSG:3857"):
+        geo.with_wkt_in_wgs84(bad, "geometry", "crs").collect()

@@ -160,3 +160,17 @@ def test_dedupe_keeps_nulls_equal(spark, tmp_dir):
     sinks.append_routes(spark, _routes(spark), path)  # null timestamps
     assert sinks.append_routes(spark, _routes(spark), path, dedupe=True) == 0
     assert [c.rows for c in manifest.commits(spark, path)] == [3, 0]
+
+
+def test_stored_geometry_is_parsed_and_converted_once(spark):
+    rows = [(i, 40.7, -74.0, 40.8, -73.9, None, f"POINT ({585000 + i} 4511000)", "EPSG:32618") for i in range(20)]
+    routes = spark.createDataFrame(rows, "delivery_id long, pickup_lat double, pickup_lon double, dropoff_lat double, dropoff_lon double, "
+                                         "timestamp timestamp_ntz, geometry string, crs string").repartition(2)
+    stored = sinks.to_stored(routes, "crs")
+    assert stored.columns == [*routes.columns, "geometry_fixed"]
+    got = {r.delivery_id: r.geometry for r in stored.collect()}
+    assert len(set(got.values())) == 20 and all(g.startswith("POINT (-73.99") for g in got.values())
+    plan = stored._jdf.queryExecution().optimizedPlan().toString().lower()
+    # x and y of the text; the two series of the inverse UTM projection end in one asin and one atan2, the conic's in one more atan2
+    assert plan.count("regexp_extract(") == 2
+    assert plan.count("asin(") == 1 and plan.count("atan2(") == 2

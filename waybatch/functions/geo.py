@@ -10,9 +10,10 @@ see the same distances and break ties the same way.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # WGS 84 ellipsoid and the UTM grid.
@@ -58,6 +59,29 @@ def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+#: Takes values that a formula uses several times, and returns what to use for them.
+Keep = Callable[..., tuple[Column, ...]]
+
+
+def _in_place(**values: Column) -> tuple[Column, ...]:
+    """Each use repeats the expression. Spark evaluates it once where the whole
+    result is always needed, but not inside ``CASE``."""
+    return tuple(values.values())
+
+
+class _Steps:
+    """Each value becomes a column of ``df``, in a projection of its own, and is evaluated once a row."""
+
+    def __init__(self, df: DataFrame):
+        self.df, self.added = df, []
+
+    def __call__(self, **values: Column) -> tuple[Column, ...]:
+        named = {f"_wb_{len(self.added) + i}_{k}": c for i, (k, c) in enumerate(values.items())}
+        self.df = self.df.withColumns(named)
+        self.added += named
+        return tuple(F.col(c) for c in named)
+
+
 def utm_zone(lon) -> Column:
     """``int((lon + 180) / 6) + 1``; lon = 180 gives 61, as studied."""
     return (F.floor((_col(lon) + F.lit(180.0)) / F.lit(6.0)) + F.lit(1)).cast("int")
@@ -99,18 +123,18 @@ def utm_forward(lon, lat, zone, south) -> tuple[Column, Column]:
     return F.round(easting, PROJECTED_DECIMALS), F.round(northing, PROJECTED_DECIMALS)
 
 
-def utm_inverse(easting, northing, zone, south) -> tuple[Column, Column]:
+def utm_inverse(easting, northing, zone, south, keep: Keep = _in_place) -> tuple[Column, Column]:
     """(lat, lon) in degrees from UTM metres, rounded to 1e-8 degree."""
     e, n = _col(easting), _col(northing)
     n = F.when(_col(south), n - F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(n)
-    xi = n / F.lit(UTM_KA)
-    eta = (e - F.lit(UTM_FALSE_EASTING)) / F.lit(UTM_KA)
+    xi, eta = keep(xi=n / F.lit(UTM_KA), eta=(e - F.lit(UTM_FALSE_EASTING)) / F.lit(UTM_KA))
     xi1, eta1 = xi, eta
     for j, b in enumerate(UTM_BETA, start=1):
         k = F.lit(2.0 * j)
         xi1 = xi1 - F.lit(b) * F.sin(k * xi) * F.cosh(k * eta)
         eta1 = eta1 - F.lit(b) * F.cos(k * xi) * F.sinh(k * eta)
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
+    xi1, eta1 = keep(xi1=xi1, eta1=eta1)
+    (chi,) = keep(chi=F.asin(F.sin(xi1) / F.cosh(eta1)))
     phi = chi
     for j, d in enumerate(UTM_DELTA, start=1):
         phi = phi + F.lit(d) * F.sin(F.lit(2.0 * j) * chi)
@@ -182,7 +206,7 @@ NY_LONG_ISLAND_FTUS = LambertConic(
 )
 
 
-def lcc_inverse(x, y, proj: LambertConic = NY_LONG_ISLAND_FTUS) -> tuple[Column, Column]:
+def lcc_inverse(x, y, proj: LambertConic = NY_LONG_ISLAND_FTUS, keep: Keep = _in_place) -> tuple[Column, Column]:
     """(lat, lon) in degrees from Lambert conformal conic coordinates.
 
     Latitude comes from the conformal latitude by its series in e^2, so
@@ -191,11 +215,12 @@ def lcc_inverse(x, y, proj: LambertConic = NY_LONG_ISLAND_FTUS) -> tuple[Column,
     e, e2, n, big_f, rho0 = proj.constants()
     xm = _col(x) * F.lit(proj.unit_m) - F.lit(proj.false_easting_m)
     ym = F.lit(rho0) - (_col(y) * F.lit(proj.unit_m) - F.lit(proj.false_northing_m))
+    xm, ym = keep(xm=xm, ym=ym)
     sign = 1.0 if n > 0 else -1.0
     rho = F.lit(sign) * F.sqrt(xm * xm + ym * ym)
     theta = F.atan2(F.lit(sign) * xm, F.lit(sign) * ym)
     t = F.pow(rho / F.lit(proj.a * big_f), F.lit(1.0 / n))
-    chi = F.lit(math.pi / 2.0) - F.lit(2.0) * F.atan(t)
+    (chi,) = keep(chi=F.lit(math.pi / 2.0) - F.lit(2.0) * F.atan(t))
     e4, e6, e8 = e2 * e2, e2**3, e2**4
     c2 = e2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360
     c4 = 7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520
@@ -233,21 +258,23 @@ def is_wkt_point(geometry) -> Column:
     return F.coalesce(_col(geometry).rlike(r"^POINT \("), F.lit(False))
 
 
-def point_to_wgs84(x, y, crs) -> tuple[Column, Column]:
+def point_to_wgs84(x, y, crs, keep: Keep = _in_place) -> tuple[Column, Column]:
     """(lat, lon) in degrees of a point in the CRS that each row names.
 
     ``EPSG:326zz`` / ``EPSG:327zz`` (UTM) and ``EPSG:2263`` (US feet) are
     converted, ``EPSG:4326`` and null pass. Any other code is an error: a
     point must not be taken for degrees that it isn't."""
     x, y, code = _col(x), _col(y), _col(crs)
-    utm = code.rlike("^EPSG:32[67][0-9]{2}$")
-    utm_lat, utm_lon = utm_inverse(x, y, F.substring(code, 9, 2).try_cast("int"), code.startswith("EPSG:327"))
-    feet_lat, feet_lon = lcc_inverse(x, y, NY_LONG_ISLAND_FTUS)
+    utm, feet = keep(utm=code.rlike("^EPSG:32[67][0-9]{2}$"), feet=code == F.lit("EPSG:2263"))
+    # null for rows of another CRS, whose formulas then cost nothing
+    utm_lat, utm_lon = utm_inverse(
+        F.when(utm, x), F.when(utm, y), F.substring(code, 9, 2).try_cast("int"), code.startswith("EPSG:327"), keep)
+    feet_lat, feet_lon = lcc_inverse(F.when(feet, x), F.when(feet, y), NY_LONG_ISLAND_FTUS, keep)
     unknown = F.raise_error(F.concat(F.lit("unsupported CRS "), code)).cast("double")
 
-    def pick(projected, feet, degrees):
+    def pick(projected, in_feet, degrees):
         passes = code.isNull() | (code == F.lit("EPSG:4326"))
-        return (F.when(passes, degrees).when(utm, projected).when(code == F.lit("EPSG:2263"), feet).otherwise(unknown))
+        return (F.when(passes, degrees).when(utm, projected).when(feet, in_feet).otherwise(unknown))
 
     return pick(utm_lat, feet_lat, y), pick(utm_lon, feet_lon, x)
 
@@ -255,15 +282,24 @@ def point_to_wgs84(x, y, crs) -> tuple[Column, Column]:
 _WKT_POINT = r"^\s*POINT\s*(?:ZM?\s*|M\s*)?\(\s*(\S+)\s+([^\s()]+)"
 
 
-def wkt_point_to_wgs84(geometry, crs) -> Column:
-    """``POINT`` text in the row's CRS as ``POINT (lon lat)``; other text stays as it is."""
+def wkt_point_to_wgs84(geometry, crs, keep: Keep = _in_place) -> Column:
+    """``POINT`` text in the row's CRS as ``POINT (lon lat)``; other text stays as it is.
+    For tables of many rows: :func:`with_wkt_in_wgs84`."""
     g = _col(geometry)
-    x, y = (F.regexp_extract(g, _WKT_POINT, k).try_cast("double") for k in (1, 2))
-    lat, lon = point_to_wgs84(x, y, crs)
+    x, y = keep(**{c: F.regexp_extract(g, _WKT_POINT, k).try_cast("double") for c, k in (("x", 1), ("y", 2))})
+    lat, lon = point_to_wgs84(x, y, crs, keep)
     known = _col(crs).isNotNull() & (_col(crs) != F.lit("EPSG:4326")) & x.isNotNull() & y.isNotNull()
     return F.when(known, wkt_point(lon, lat)).otherwise(g)
 
 
+def with_wkt_in_wgs84(df: DataFrame, geometry: str, crs: str) -> DataFrame:
+    """``df`` with its column ``geometry`` as :func:`wkt_point_to_wgs84` gives it. The text is parsed once a
+    row, and each value that the series use several times is a column of a projection below them."""
+    steps = _Steps(df)
+    converted = wkt_point_to_wgs84(geometry, crs, steps)
+    return steps.df.withColumn(geometry, converted).drop(*steps.added)
+
+
 def wkt_rings(wkt) -> Column:
     """Rings of ``POLYGON`` or ``MULTIPOLYGON`` text as
     ``array<struct<hole boolean, points array<struct<x double, y double>>>>``.

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from waybatch.functions.geo import is_wkt_point, wkt_point, wkt_point_to_wgs84
+from waybatch.functions.geo import is_wkt_point, with_wkt_in_wgs84, wkt_point
 from waybatch.operators.sequence import with_sequence
 from waybatch.schema import DELIVERY_COLUMNS, ROUTES_SCHEMA, TIMESTAMP_TEXT_FORMAT
 from waybatch.session import checkpoint_root
@@ -66,7 +66,7 @@ def to_stored(routes: DataFrame, crs_col: str | None = None) -> DataFrame:
     if "geometry" not in routes.columns:
         routes = routes.withColumn("geometry", F.lit(None).cast("string"))
     elif crs_col is not None:
-        routes = routes.withColumn("geometry", wkt_point_to_wgs84("geometry", crs_col))
+        routes = with_wkt_in_wgs84(routes, "geometry", crs_col)
     r = repair_geometry(routes)
     return r.withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_TEXT_FORMAT))
 
