@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, key):
     con = duckdb.connect()
-    for t in ("pages", "documents"):
+    for t in ("pages", "documents", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.queries()[key](spark, SF)
     want = con.sql(queries.oracle_sql()[key])
